@@ -83,3 +83,7 @@ SELECT transaction_id, currency_code, amount, amount_usd FROM acc3
 def q_fx_usd(spark, sf_dir):
     acc = pay.clean_acceptance(si.acceptance_seed(spark, sf_dir))
     return acc.select("transaction_id", "currency_code", "amount", "amount_usd")
+
+
+# Other query families register themselves on import.
+from wharf.plans import game_kpis  # noqa: E402,F401

@@ -138,3 +138,100 @@ fact AS (
   FROM acc3 a LEFT JOIN cb c ON a.transaction_id = c.transaction_id
 )
 """
+
+
+# --- game events (stand-in of the repaired event table) ----------------------
+# fixed values of this stand-in (mirrored by GAME_EVENTS_CTE)
+GAME_CURRENCIES = ["EUR", "USD", "GBP", ""]     # by k mod 4 for paid events
+GAME_CONSTANTS = {"client_version": "2.0.1", "event_name": "login",
+                  "server_version": "5.4", "user_device_country": "DE",
+                  "user_server_region": "EU", "user_type": "PLAYER"}
+PAID_ABOVE = 100.0
+
+
+def game_events_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows with amounts as text (comma decimals for odd k), the way a
+    repaired raw event file looks before typing."""
+    e = read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    paid = F.col("value") > F.lit(PAID_ABOVE)
+    vtext = F.col("value").cast("string")
+    amount_text = F.when(paid, F.when(F.pmod(k, F.lit(2)) == 1, F.regexp_replace(vtext, r"\.", ","))
+                         .otherwise(vtext))
+    uid = F.col("user_id")
+    return e.select(
+        "event_id",
+        F.when(k == 0, F.lit(None)).otherwise(F.col("ts")).alias("event_timestamp"),
+        F.upper("event_type").alias("platform"),
+        F.when(uid == 0, F.lit(None)).otherwise(uid.cast("string")).alias("user_id"),
+        F.concat(F.lit("p"), uid.cast("string")).alias("player_name"),
+        F.concat_ws(".", F.lit("10.0"), F.pmod(uid, F.lit(256)).cast("string"),
+                    F.floor(uid / 256).cast("string")).alias("user_ip"),
+        F.when(k == 1, F.lit(None)).otherwise(F.col("event_id").cast("string")).alias("session_id"),
+        F.when(paid, _rotate(GAME_CURRENCIES, k)).alias("real_currency_type"),
+        amount_text.alias("real_currency_amount"),
+        F.when(F.col("value") > 300, F.lit("coins_large"))
+        .when(F.col("value") > 200, F.lit("coins_medium"))
+        .when(paid, F.lit("coins_small")).alias("product_name"),
+        F.lit(False).alias("is_premium"),
+        *[F.lit(v).alias(c) for c, v in GAME_CONSTANTS.items()],
+    )
+
+
+def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed game events: amounts in cents, USD cost, spender flag per user."""
+    from wharf.functions.columns import cents
+    t = game_events_text(spark, sf_dir)
+    base = (t.withColumn("real_currency_amount_centum", cents("real_currency_amount"))
+            .drop("real_currency_amount"))
+    base = base.withColumn(
+        "usd_cost_centum",
+        F.when(F.col("real_currency_type") == "GBP",
+               F.floor(F.col("real_currency_amount_centum") / 100).cast("bigint"))
+        .otherwise(F.col("real_currency_amount_centum")))
+    return with_spender_flag(base)
+
+
+def with_spender_flag(ev: DataFrame, user: str = "user_id",
+                      amount: str = "real_currency_amount_centum") -> DataFrame:
+    """``user_is_spender``: the user paid at least once. Per-user aggregate
+    joined back null-safely (NULL users form one group, as in SQL), rather
+    than a window whose hot user would sit in one task."""
+    sp = ev.groupBy(F.col(user).alias("_u")).agg(F.bool_or(F.col(amount) > 0).alias("user_is_spender"))
+    return ev.join(sp, ev[user].eqNullSafe(sp["_u"]), "inner").drop("_u")
+
+
+GAME_EVENTS_CTE = """
+ge0 AS (
+  SELECT event_id, ts, user_id AS uid, event_type, value,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events),
+ge1 AS (
+  SELECT event_id,
+         CASE WHEN k = 0 THEN NULL ELSE ts END AS event_timestamp,
+         upper(event_type) AS platform,
+         CASE WHEN uid = 0 THEN NULL ELSE CAST(uid AS VARCHAR) END AS user_id,
+         'p' || CAST(uid AS VARCHAR) AS player_name,
+         '10.0.' || CAST(uid % 256 AS VARCHAR) || '.' || CAST(uid // 256 AS VARCHAR) AS user_ip,
+         CASE WHEN k = 1 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS session_id,
+         CASE WHEN value > 100 THEN ['EUR', 'USD', 'GBP', ''][k % 4 + 1] END AS real_currency_type,
+         CASE WHEN value > 100 THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END
+           AS real_currency_amount_centum,
+         CASE WHEN value > 300 THEN 'coins_large' WHEN value > 200 THEN 'coins_medium'
+              WHEN value > 100 THEN 'coins_small' END AS product_name,
+         false AS is_premium, '2.0.1' AS client_version, 'login' AS event_name,
+         '5.4' AS server_version, 'DE' AS user_device_country, 'EU' AS user_server_region,
+         'PLAYER' AS user_type
+  FROM ge0),
+ge2 AS (
+  SELECT *, CASE WHEN real_currency_type = 'GBP' THEN real_currency_amount_centum // 100
+                 ELSE real_currency_amount_centum END AS usd_cost_centum
+  FROM ge1),
+ge AS (
+  SELECT g.*, s.user_is_spender
+  FROM ge2 g JOIN (SELECT user_id, bool_or(real_currency_amount_centum > 0) AS user_is_spender
+                   FROM ge2 GROUP BY user_id) s
+    ON g.user_id IS NOT DISTINCT FROM s.user_id),
+gp AS (
+  SELECT *, CASE WHEN real_currency_amount_centum > 0 THEN 1 ELSE 0 END AS paid_session FROM ge)
+"""
