@@ -88,3 +88,4 @@ def q_fx_usd(spark, sf_dir):
 # Other query families register themselves on import.
 from wharf.plans import game_kpis  # noqa: E402,F401
 from wharf.plans import reports  # noqa: E402,F401
+from wharf.plans import ingest  # noqa: E402,F401
