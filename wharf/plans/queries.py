@@ -89,3 +89,4 @@ def q_fx_usd(spark, sf_dir):
 from wharf.plans import game_kpis  # noqa: E402,F401
 from wharf.plans import reports  # noqa: E402,F401
 from wharf.plans import ingest  # noqa: E402,F401
+from wharf.plans import loads  # noqa: E402,F401
