@@ -75,3 +75,15 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df, factor: int = 1):
+    """Round-robin ``df`` over the cluster's cores when it has fewer input
+    partitions than cores (a few large files or row groups); a no-op when the
+    input already has enough splits, so no shuffle is added at scale. Used
+    before CPU-heavy per-row work such as text repair and JSON parsing."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism * factor
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.functions.columns import cents
+from wharf.session import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -65,16 +66,14 @@ def parse_events(lines: DataFrame, fields: list[str], line_col: str = "value") -
     ``_corrupt_record`` holding the repaired text of lines that failed."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields]
                           + [T.StructField(CORRUPT, T.StringType())])
-    text = drop_bad_bytes(F.col(line_col))
-    body = repair_line(text)
-    nonempty = lines.select(body.alias("_json")).where(F.length("_json") > 0)
-    parsed = nonempty.select(
-        F.from_json("_json", schema, {"mode": "PERMISSIVE",
-                                      "columnNameOfCorruptRecord": CORRUPT}).alias("r"), "_json")
-    out = parsed.select(*[F.col(f"r.{f}").alias(f) for f in fields],
-                        F.when(F.col(f"r.{CORRUPT}").isNotNull() | F.col("r").isNull(),
-                               F.col("_json")).alias(CORRUPT))
-    return out
+    # Filter on the raw line (a record has a '{'), so the repair chain is not
+    # pushed into the filter and evaluated twice; from_json keeps the text of
+    # a failed record in its own corrupt-record field.
+    body = repair_line(drop_bad_bytes(F.col(line_col)))
+    records = spread(lines.where(F.col(line_col).contains("{")))
+    parsed = records.select(F.from_json(body, schema, {"mode": "PERMISSIVE",
+                                                       "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    return parsed.select("r.*")
 
 
 def type_events(raw: DataFrame, types: Mapping[str, str], money: Mapping[str, str]) -> DataFrame:
@@ -90,7 +89,12 @@ def type_events(raw: DataFrame, types: Mapping[str, str], money: Mapping[str, st
             cols.append(F.col(c).try_cast(types[c]).alias(c))
         else:
             cols.append(F.col(c))
-    return raw.where(F.col(CORRUPT).isNull()).select(*cols)
+    # Keep parseable rows with a one-element array filtered inside a generator:
+    # a plain Filter on the parsed struct would be pushed below the projection
+    # and evaluate the repair and the JSON parse a second time.
+    packed = F.array(F.struct(*[F.col(c) for c in raw.columns]))
+    ok = raw.select(F.inline(F.filter(packed, lambda r: r[CORRUPT].isNull())))
+    return ok.select(*cols)
 
 
 def problem_rows(raw: DataFrame, types: Mapping[str, str], money: Mapping[str, str],
