@@ -3,7 +3,8 @@ and the checks over the loaded tables.
 
 State between runs lives in parquet folders under the session's shared
 ``spark.checkpoint.dir`` (see ``wharf.session.work_dir``); each run reads
-the previous state and writes the next version, which also cuts lineage.
+the previous state and writes the touched buckets or partitions back, which
+also cuts lineage.
 The oracle SQL computes the final tables directly from the base tables.
 """
 
@@ -22,7 +23,7 @@ from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
 from wharf.session import read_table, work_dir
-from wharf.sources.tables import (VersionedTable, append, ensure_table,
+from wharf.sources.tables import (BucketedTable, append, ensure_table,
                                   replace_window_partitions)
 
 # --- fixed values of the two-run stand-ins --------------------------------------
@@ -178,20 +179,22 @@ def order_snapshots(spark, sf_dir):
     return (o1, li1), (o, o2, li)
 
 
-def run_payment_model(spark, sf_dir, backfill_days: int = 0):
-    """Two runs of staging (acceptance, chargeback) and fact."""
+def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 16):
+    """Two runs of staging (acceptance, chargeback) and fact. Each table is
+    bucketed by ``transaction_id``; a run rewrites only the buckets its
+    changed ids fall in."""
     root = work_dir(spark, "payments")
-    acc_t, cb_t, fact_t = (VersionedTable(spark, f"{root}/{n}") for n in ("acc", "cb", "fact"))
+    acc_t, cb_t, fact_t = (BucketedTable(spark, f"{root}/{n}", "transaction_id", buckets)
+                           for n in ("acc", "cb", "fact"))
     (o1, li1), (_, o2, li2) = order_snapshots(spark, sf_dir)
     for ts, orders, lineitem in ((STAGE_TS1, o1, li1), (STAGE_TS2, o2, li2)):
-        acc = pay.stage(pay.clean_acceptance(si.acceptance_seed(spark, sf_dir, orders)), ts,
-                        acc_t.read())
-        acc = acc_t.write(acc)
-        cb = pay.stage(pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem)), ts,
-                       cb_t.read())
-        cb = cb_t.write(cb)
-        fact = pay.build_fact(acc, cb, ts, fact_t.read(), backfill_days=backfill_days)
-        fact_t.write(fact)
+        acc_clean = pay.clean_acceptance(si.acceptance_seed(spark, sf_dir, orders))
+        acc = acc_t.merge(acc_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur))
+        cb_clean = pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem))
+        cb = cb_t.merge(cb_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur))
+        fact_now = fact_t.read()
+        changed = pay.fact_changes(acc, cb, ts, fact_now, backfill_days=backfill_days)
+        fact_t.merge(changed, lambda src, cur, ts=ts: pay.merge_fact(src, cur))
     return acc_t.read(), cb_t.read(), fact_t.read()
 
 

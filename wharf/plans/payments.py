@@ -101,12 +101,13 @@ def join_payments(acceptance: DataFrame, chargeback: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(acceptance: DataFrame, chargeback: DataFrame, run_ts,
-               fact: DataFrame | None = None, run_date=None,
-               backfill_days: int | None = 0) -> DataFrame:
-    """Payment fact. With an existing ``fact``: restrict both staged inputs to
-    the changed ids (read in full for those ids), join, and MERGE by id
-    keeping ``dw_created_at``. Without: full build."""
+def fact_changes(acceptance: DataFrame, chargeback: DataFrame, run_ts,
+                 fact: DataFrame | None = None, run_date=None,
+                 backfill_days: int | None = 0) -> DataFrame:
+    """New fact rows for this run. With an existing ``fact``: restrict both
+    staged inputs to the changed ids (each side read in full for those ids,
+    so an unchanged side is not mistaken for a missing one), then join.
+    Without: all rows (full build)."""
     if fact is not None:
         mark = fact_mark(fact)
         ids = changed_ids(acceptance, chargeback, mark,
@@ -114,12 +115,24 @@ def build_fact(acceptance: DataFrame, chargeback: DataFrame, run_ts,
                           backfill_days=backfill_days)
         acceptance = acceptance.join(ids, "transaction_id", "left_semi")
         chargeback = chargeback.join(ids, "transaction_id", "left_semi")
-    joined = join_payments(acceptance, chargeback)
     ts = lit_ts(run_ts)
-    new = joined.withColumn("dw_created_at", ts).withColumn("dw_modified_at", ts)
+    return (join_payments(acceptance, chargeback)
+            .withColumn("dw_created_at", ts).withColumn("dw_modified_at", ts))
+
+
+def merge_fact(new: DataFrame, fact: DataFrame | None) -> DataFrame:
+    """MERGE by id keeping ``dw_created_at`` of existing rows."""
     return upsert(fact, new, "transaction_id", keep=["dw_created_at"])
 
 
+def build_fact(acceptance: DataFrame, chargeback: DataFrame, run_ts,
+               fact: DataFrame | None = None, run_date=None,
+               backfill_days: int | None = 0) -> DataFrame:
+    """Whole new fact table content (changes merged into ``fact``)."""
+    new = fact_changes(acceptance, chargeback, run_ts, fact, run_date, backfill_days)
+    return merge_fact(new, fact)
+
+
 # -- reports ------------------------------------------------------------------------
 
 def acceptance_daily(fact: DataFrame) -> DataFrame:

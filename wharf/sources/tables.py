@@ -123,3 +123,48 @@ def replace_window_partitions(spark: SparkSession, root: str, new: DataFrame, da
     for d in win:
         if d not in present:
             delete_path(spark, f"{root.rstrip('/')}/{date_col}={d.isoformat()}")
+
+
+BUCKET_COL = "_bucket"
+
+
+def bucket_of(key, buckets: int):
+    """Stable bucket number of a key: pmod(xxhash64(key), buckets)."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+class BucketedTable:
+    """A parquet table partitioned by a hash bucket of its key.
+
+    ``merge`` upserts a batch by rewriting only the buckets its keys fall
+    in: the touched bucket numbers (at most ``buckets`` values) restrict the
+    read of the current rows by partition pruning, the caller's merge plan
+    combines them with the batch, and a dynamic partition overwrite swaps
+    in exactly those buckets when the job commits. A failed job leaves the
+    table as it was; untouched buckets are never read or written.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 64):
+        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
+
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.root)
+
+    def read(self) -> DataFrame | None:
+        if not self.exists():
+            return None
+        return self.spark.read.parquet(self.root).drop(BUCKET_COL)
+
+    def merge(self, batch: DataFrame, merge_fn) -> DataFrame:
+        """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
+        the new content of the touched buckets."""
+        b = bucket_of(self.key, self.buckets)
+        current = None
+        if self.exists():
+            touched = [r[0] for r in batch.select(b.alias("b")).distinct().collect()]
+            current = (self.spark.read.parquet(self.root)
+                       .where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL))
+        merged = merge_fn(batch, current).withColumn(BUCKET_COL, b)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET_COL).parquet(self.root))
+        return self.read()
