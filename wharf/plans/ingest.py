@@ -8,10 +8,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wharf.functions.columns import is_text_false, is_text_true
+from wharf.operators import aggregates as agg
+from wharf.plans import payments as pay
+from wharf.plans import standins as si
 from wharf.plans.registry import query
-from wharf.session import read_table
+from wharf.plans.reports import users_transactions
+from wharf.session import read_table, work_dir
 from wharf.sources import documents as docs
 from wharf.sources import events as evsrc
+from wharf.sources.files import read_csv, read_seed
+from wharf.streaming.ingest import ingest_event_files, read_ingested
 
 # --- fixed values of the raw-event stand-in ----------------------------------
 EVENT_FIELDS = ["event_id", "event_timestamp", "platform", "user_id", "session_id",
@@ -66,7 +73,7 @@ WITH e AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
 """
 
 
-@query("repaired_events", covers=("S1", "S2", "P2", "F11"), sql=_EVENTS_BASE + """
+_REPAIRED_SQL = _EVENTS_BASE + """
 SELECT event_id,
        CASE WHEN k = 0 THEN NULL ELSE CAST(date_trunc('second', ts) AS TIMESTAMP) END AS event_timestamp,
        upper(event_type) AS platform,
@@ -77,7 +84,10 @@ SELECT event_id,
        CASE WHEN user_id % 10 = 3 THEN 'O''p' ELSE 'p' END || CAST(user_id AS VARCHAR) AS player_name,
        CASE WHEN k % 5 = 0 THEN 'Mr True' ELSE 'ok' END AS note
 FROM e WHERE k <> 99
-""")
+"""
+
+
+@query("repaired_events", covers=("S1", "S2", "P2", "F11"), sql=_REPAIRED_SQL)
 def q_repaired_events(spark, sf_dir):
     raw = evsrc.parse_events(raw_event_lines(spark, sf_dir), EVENT_FIELDS)
     return evsrc.type_events(raw, EVENT_TYPES, EVENT_MONEY)
@@ -132,3 +142,64 @@ FROM e
 def q_hourly_doc(spark, sf_dir):
     parsed = docs.parse_documents(hourly_documents(spark, sf_dir), keep=["doc_no"])
     return docs.flatten_hourly(parsed, keep=["doc_no"])
+
+
+# -- files written by Spark from the driver's tables, read back by the readers ---
+
+@query("nightly_event_ingest", covers=("S1", "S11", "I12"), sql=_REPAIRED_SQL)
+def q_nightly_event_ingest(spark, sf_dir):
+    """Two nights of raw event files loaded by two availableNow runs of a
+    streaming query; the second run reads only the second night's files."""
+    root = work_dir(spark, "nightly")
+    src, tgt, bad, ckpt = (f"{root}/{n}" for n in ("incoming", "events", "problems", "_checkpoint"))
+    lines = raw_event_lines(spark, sf_dir).withColumn(
+        "_night", F.regexp_extract("value", r"'event_timestamp': '(\d{4}-\d{2}-\d{2})", 1))
+    cut = "2024-01-16"
+    for night in (lines.where(F.col("_night") < cut), lines.where(~(F.col("_night") < cut))):
+        night.select("value").write.mode("append").text(src)
+        ingest_event_files(spark, src, tgt, bad, ckpt, EVENT_FIELDS, EVENT_TYPES, EVENT_MONEY,
+                           "event_id")
+    return read_ingested(spark, tgt).drop("batch_id")
+
+
+@query("category_totals_csv", covers=("S6", "J1", "A13", "P9"), sql="""
+SELECT t.o_orderpriority AS transaction_category_id,
+       CAST(sum(CAST(floor(t.o_totalprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_amount,
+       CAST(count(DISTINCT t.o_custkey) AS BIGINT) AS num_users
+FROM orders t
+WHERE t.o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+  AND NOT (t.o_orderstatus = 'P')
+GROUP BY t.o_orderpriority
+""")
+def q_category_totals_csv(spark, sf_dir):
+    """users.csv / transactions.csv written by Spark (headers in other case
+    and order, a duplicated user row), read back by header name."""
+    root = work_dir(spark, "csv")
+    users, tx = users_transactions(spark, sf_dir)
+    (users.select(F.col("is_active").alias("IS_ACTIVE"), F.col("user_id").alias("User_Id"))
+     .write.option("header", True).csv(f"{root}/users"))
+    (tx.select(F.col("transaction_category_id"),
+               (F.col("transaction_amount") / 100).cast("decimal(18,2)").alias("Transaction_Amount"),
+               F.col("user_id").alias("USER_ID"), F.col("is_blocked"), F.col("transaction_id"))
+     .write.option("header", True).csv(f"{root}/transactions"))
+    u = read_csv(spark, f"{root}/users", {"user_id": "bigint", "is_active": "string"})
+    t = read_csv(spark, f"{root}/transactions", {
+        "user_id": "bigint", "is_blocked": "string", "transaction_amount": "decimal(18,2)",
+        "transaction_category_id": "string"})
+    out = agg.category_totals(t.where(is_text_false("is_blocked")), u.where(is_text_true("is_active")))
+    return out.select("transaction_category_id", F.col("sum_amount").cast("double").alias("sum_amount"),
+                      "num_users")
+
+
+@query("fx_usd_seed_csv", covers=("S7", "P12", "F17"), sql="WITH " + si.PAYMENT_FACT_CTE.replace(
+    "{run_ts}", "2024-01-01 00:00:00") + """
+SELECT transaction_id, currency_code, amount, amount_usd FROM acc3
+""")
+def q_fx_usd_seed_csv(spark, sf_dir):
+    """The acceptance seed written as CSV (JSON rates inside quotes) and read
+    back as text by the seed reader."""
+    root = work_dir(spark, "seed")
+    (si.acceptance_seed(spark, sf_dir).write.option("header", True)
+     .option("quote", '"').option("escape", '"').csv(root))
+    acc = pay.clean_acceptance(read_seed(spark, root))
+    return acc.select("transaction_id", "currency_code", "amount", "amount_usd")
