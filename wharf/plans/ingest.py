@@ -203,3 +203,34 @@ def q_fx_usd_seed_csv(spark, sf_dir):
      .option("quote", '"').option("escape", '"').csv(root))
     acc = pay.clean_acceptance(read_seed(spark, root))
     return acc.select("transaction_id", "currency_code", "amount", "amount_usd")
+
+
+# -- nightly load of yesterday's hourly data (S5, I12) ----------------------------
+NIGHT_RUNS = ["2024-01-19 03:00:00", "2024-01-20 03:00:00", "2024-01-20 03:00:00"]   # last is a rerun
+
+
+def nightly_weather_load(spark, sf_dir, root: str, run_ts: str) -> None:
+    """Flatten the hourly documents, keep the entries of the day before
+    ``run_ts`` and restate that one day of the date-partitioned table, so a
+    rerun of the same night replaces its day instead of doubling it."""
+    import datetime as dt
+    from wharf.sources.tables import replace_window_partitions
+    flat = docs.flatten_hourly(docs.parse_documents(hourly_documents(spark, sf_dir), keep=["doc_no"]))
+    day_rows = (flat.where(docs.in_day_window(F.col("timestamp"), run_ts))
+                .select("time", "timestamp", "temperature", "summary",
+                        F.to_date("timestamp").alias("day")))
+    run_date = dt.date.fromisoformat(run_ts[:10])
+    replace_window_partitions(spark, root, day_rows, "day", run_date, 1)
+
+
+@query("nightly_weather", covers=("S4", "S5", "I11", "I12", "F20"), sql="""
+SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS time,
+       make_timestamp(CAST(epoch_us(ts) // 1000000 AS BIGINT) * 1000000) AS timestamp,
+       value AS temperature, event_type AS summary, CAST(ts AS DATE) AS day
+FROM events WHERE ts >= TIMESTAMP '2024-01-18 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
+""")
+def q_nightly_weather(spark, sf_dir):
+    root = work_dir(spark, "weather")
+    for run_ts in NIGHT_RUNS:
+        nightly_weather_load(spark, sf_dir, root, run_ts)
+    return spark.read.parquet(root).select("time", "timestamp", "temperature", "summary", "day")

@@ -135,7 +135,7 @@ final_customer AS (SELECT * FROM crun1 UNION ALL SELECT * FROM crun2)
 """
 
 
-@query("insert_new", covers=("I1", "I2", "S8", "S9", "S10", "S11", "J9", "O3"), sql="WITH " + _COPY_CTE + """
+@query("insert_new", covers=("I1", "I2", "S8", "S9", "S10", "S11", "J9", "O3", "P16"), sql="WITH " + _COPY_CTE + """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, created_at, o_orderpriority, import_date
 FROM final_orders
 """)
@@ -272,7 +272,7 @@ def q_upsert_staging(spark, sf_dir):
                       "dw_modified_at")
 
 
-@query("payment_fact_incremental", covers=("I6", "I7", "I8", "I9", "J5", "J6", "O5"),
+@query("payment_fact_incremental", covers=("I6", "I7", "I8", "I9", "J5", "J6", "O5", "F3", "F19"),
        sql="WITH " + _STAGE_CTE + """
 SELECT * FROM fact_final
 """)

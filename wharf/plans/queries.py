@@ -30,14 +30,19 @@ def _with_fact(select_sql: str) -> str:
     return "WITH " + si.PAYMENT_FACT_CTE.replace("{run_ts}", RUN_TS) + select_sql
 
 
-@query("acceptance_daily", covers=("A16", "J4", "P10", "P12", "P13", "F17", "I4", "I9"), sql=_with_fact("""
+_DAILY_SQL = _with_fact("""
 SELECT transaction_date,
        CAST(count_if(is_accepted) AS BIGINT) AS accepted_count,
        CAST(count(*) AS BIGINT) AS total_count,
        CAST(count_if(is_accepted) AS DOUBLE) / nullif(CAST(count(*) AS DOUBLE), 0) AS acceptance_rate,
        max(dw_modified_at) AS dw_modified_at
 FROM fact GROUP BY transaction_date
-"""))
+""")
+
+
+@query("acceptance_daily", sql=_DAILY_SQL, covers=(
+    "A16", "J4", "P1", "P10", "P12", "P13", "F2", "F4", "F5", "F14", "F17", "F18", "F24",
+    "I4", "I9", "I10"))
 def q_acceptance_daily(spark, sf_dir):
     return pay.acceptance_daily(payment_fact(spark, sf_dir))
 
@@ -90,3 +95,17 @@ from wharf.plans import game_kpis  # noqa: E402,F401
 from wharf.plans import reports  # noqa: E402,F401
 from wharf.plans import ingest  # noqa: E402,F401
 from wharf.plans import loads  # noqa: E402,F401
+
+
+@query("acceptance_daily_sql", sql=_DAILY_SQL, covers=("S14", "A16", "F24"))
+def q_acceptance_daily_sql(spark, sf_dir):
+    """The daily report as Spark SQL over a temporary view of the fact."""
+    from wharf.sources.tables import register_view
+    register_view(payment_fact(spark, sf_dir), "fct_payments")
+    return spark.sql("""
+        SELECT transaction_date,
+               count_if(is_accepted) AS accepted_count,
+               count(*) AS total_count,
+               CAST(count_if(is_accepted) AS DOUBLE) / nullif(CAST(count(*) AS DOUBLE), 0) AS acceptance_rate,
+               max(dw_modified_at) AS dw_modified_at
+        FROM fct_payments GROUP BY transaction_date""")

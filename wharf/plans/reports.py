@@ -52,7 +52,7 @@ _PERIOD_SQL = "SELECT DISTINCT g.p_name AS good_name,\n" + ",\n".join(
     ]) + "\nFROM part g"
 
 
-@query("period_totals", sql=_PERIOD_SQL, covers=("A9", "J7", "P7", "F13", "F15"))
+@query("period_totals", sql=_PERIOD_SQL, covers=("A9", "J7", "P5", "P7", "F1", "F13", "F15"))
 def q_period_totals(spark, sf_dir):
     goods, sales = goods_sales(spark, sf_dir)
     return agg.period_totals(goods, sales, AS_OF)
@@ -66,7 +66,7 @@ def docs_standin(spark, sf_dir):
         F.get_json_object("props", "$.k").try_cast("int").alias("rate"))
 
 
-@query("top1_week", covers=("W1", "P8", "J2", "P6"), sql="""
+@query("top1_week", covers=("W1", "P8", "J2", "P6", "F23"), sql="""
 SELECT tmp.WeekNum, tmp.id, g.c_name AS good_name, gg.n_name AS good_group_name,
        tmp.s_date, tmp.amount, tmp.rate
 FROM (
