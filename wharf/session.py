@@ -74,6 +74,8 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
+    """Read one of the driver's parquet tables (no schema inference beyond
+    the parquet footer; filters and projections reach the scan)."""
     return spark.read.parquet(table_path(sf_dir, name))
 
 

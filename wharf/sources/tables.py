@@ -129,18 +129,24 @@ BUCKET_COL = "_bucket"
 
 
 def bucket_of(key, buckets: int):
-    """Stable bucket number of a key: pmod(xxhash64(key), buckets)."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    """Bucket number of a key: ``pmod(hash(key), buckets)`` — the same value
+    as the partition id of ``repartition(buckets, key)`` (Murmur3, seed 42),
+    so a write task after that repartition holds exactly one bucket."""
+    return F.pmod(F.hash(F.col(key)), F.lit(buckets)).cast("int")
 
 
 class BucketedTable:
     """A parquet table partitioned by a hash bucket of its key.
 
     ``merge`` upserts a batch by rewriting only the buckets its keys fall
-    in: the touched bucket numbers (at most ``buckets`` values) restrict the
-    read of the current rows by partition pruning, the caller's merge plan
-    combines them with the batch, and a dynamic partition overwrite swaps
-    in exactly those buckets when the job commits. A failed job leaves the
+    in. One aggregation over the batch yields, per bucket, the key count and
+    the distinct key count: it proves the batch holds no key twice and lists
+    the touched buckets (at most ``buckets`` values) in the same job. The
+    touched buckets restrict the read of the current rows (partition
+    pruning); the caller's merge plan combines them with the batch; the
+    result is hash-partitioned into ``buckets`` tasks so each task writes
+    one file into one bucket, and a dynamic partition overwrite swaps in
+    exactly those buckets when the job commits. A failed job leaves the
     table as it was; untouched buckets are never read or written.
     """
 
@@ -155,16 +161,28 @@ class BucketedTable:
             return None
         return self.spark.read.parquet(self.root).drop(BUCKET_COL)
 
-    def merge(self, batch: DataFrame, merge_fn) -> DataFrame:
+    def touched_buckets(self, batch: DataFrame, unique: bool = True) -> list[int]:
+        from wharf.operators.incremental import DuplicateKeyError
+        k = F.col(self.key)
+        stats = (batch.groupBy(bucket_of(self.key, self.buckets).alias("b"))
+                 .agg(F.count(k).alias("n"), F.count_distinct(k).alias("d")).collect())
+        if unique:
+            bad = [r["b"] for r in stats if r["n"] != r["d"]]
+            if bad:
+                raise DuplicateKeyError(f"batch holds a key of {self.key} twice (bucket {bad[0]})")
+        return sorted(r["b"] for r in stats)
+
+    def merge(self, batch: DataFrame, merge_fn, unique: bool = True) -> DataFrame:
         """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
         the new content of the touched buckets."""
-        b = bucket_of(self.key, self.buckets)
+        touched = self.touched_buckets(batch, unique)
         current = None
         if self.exists():
-            touched = [r[0] for r in batch.select(b.alias("b")).distinct().collect()]
             current = (self.spark.read.parquet(self.root)
                        .where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL))
-        merged = merge_fn(batch, current).withColumn(BUCKET_COL, b)
+        merged = (merge_fn(batch, current)
+                  .repartition(self.buckets, F.col(self.key))
+                  .withColumn(BUCKET_COL, bucket_of(self.key, self.buckets)))
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET_COL).parquet(self.root))
         return self.read()
