@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from wharf.functions.columns import NULL_TEXT, lit_date, null_safe_text, ratio
 
 
-def _cols(cols):
-    return [cols] if isinstance(cols, str) else list(cols)
-
-
 def money_sum(c, name: str | None = None) -> Column:
     """Exact money sum: each double rounded half-up to whole cents, summed as
     integers (order-independent), returned as double units."""

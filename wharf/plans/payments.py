@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wharf.functions.columns import (clean_upper, lit_ts, rates_map, ratio, record_hash,
                                      seed_bool, usd_amount)
+from wharf.operators.aggregates import money_sum
 from wharf.operators.incremental import (DEFAULT_SOURCE_MARK, assert_unique, changed_ids,
                                          combined_stamp, stamp_and_merge, upsert)
 
@@ -154,12 +155,6 @@ def acceptance_monthly(daily: DataFrame) -> DataFrame:
             .withColumn("acceptance_rate", ratio("accepted_count", "total_count")))
 
 
-def money_sum(c) -> F.Column:
-    """Sum money exactly: each value rounded half-up to whole cents, summed as
-    integers (order-independent), shown as double units."""
-    return (F.sum(F.floor(F.col(c) * 100 + 0.5)) / 100.0).alias(c)
-
-
 def declined_by_country(fact: DataFrame, threshold: float = DECLINED_USD_THRESHOLD) -> DataFrame:
     """Countries whose declined USD amount exceeds ``threshold`` (HAVING)."""
     agg = (fact.where(F.col("is_declined"))
