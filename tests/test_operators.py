@@ -163,3 +163,14 @@ def test_match_counts_and_reconcile(spark):
     assert (r["total_rows"], r["matched_rows"]) == (3, 2)
     rec = chk.reconcile([("t", left, right)]).first()
     assert (rec["source_count"], rec["target_count"], rec["counts_match"]) == (3, 4, False)
+
+
+def test_period_totals_good_without_sales(spark):
+    goods = spark.createDataFrame([(1, "Pen"), (2, "Unsold")], "id int, good_name string")
+    sales = spark.createDataFrame([(1, dt.datetime(2016, 2, 29, 10), 500)],
+                                  "id_good int, s_date timestamp_ntz, amount_cents long")
+    got = {r["good_name"]: (r["YTD"], r["MTD"], r["PYTD"]) for r in agg.period_totals(goods, sales, "2016-02-29").collect()}
+    assert got == {"Pen": (5.0, 5.0, 0.0), "Unsold": (0.0, 0.0, 0.0)}
+    # as_of 2017-02-28: a year back is 2016-02-28, so the 29 Feb sale is outside PYTD
+    got2 = {r["good_name"]: r["PYTD"] for r in agg.period_totals(goods, sales, "2017-02-28").collect()}
+    assert got2["Pen"] == 0.0
