@@ -117,13 +117,19 @@ def control_totals(df: DataFrame, sum_cols: Sequence[str]) -> DataFrame:
 def category_totals(tx: DataFrame, users: DataFrame, user_key: str = "user_id",
                     category: str = "transaction_category_id",
                     amount: str = "transaction_amount") -> DataFrame:
-    """Sum and distinct users per category over unblocked transactions of
-    active users, largest sum first. ``users`` must already be the active
-    ones; the membership test is a left semi join, so duplicate user rows
-    never multiply transactions (Spark/AQE broadcasts the small side)."""
-    kept = tx.join(users.select(user_key), on=user_key, how="left_semi")
+    """Sum and distinct users per category over the transactions of the
+    given (active) users, largest sum first.
+
+    Transactions are first summed per (user, category) — a map-side
+    combined aggregate, so a user holding a large share of the rows becomes
+    one row per category before any join. The membership test is then a
+    left semi join (duplicate user rows never multiply sums), and since each
+    (user, category) is one row, distinct users are a plain count.
+    """
+    per_user = tx.groupBy(user_key, category).agg(F.sum(amount).alias("_s"))
+    kept = per_user.join(users.select(user_key), on=user_key, how="left_semi")
     return (kept.groupBy(category)
-            .agg(F.sum(amount).alias("sum_amount"), F.count_distinct(user_key).alias("num_users"))
+            .agg(F.sum("_s").alias("sum_amount"), F.count(user_key).alias("num_users"))
             .orderBy(F.desc("sum_amount")))
 
 
@@ -170,13 +176,18 @@ def period_totals(goods: DataFrame, sales: DataFrame, as_of, good_key: str = "id
 def daily_totals(sales: DataFrame, goods: DataFrame, begin, end, good_key: str = "id",
                  name: str = "good_name", sale_good: str = "id_good", sale_ts: str = "s_date",
                  amount_cents: str = "amount_cents") -> DataFrame:
-    """Sum by good name and day for days in [begin, end] (pivot input)."""
+    """Sum by good name and day for days in [begin, end] (pivot input).
+
+    Sales are summed per (good, day) before the join to the goods, so a hot
+    good reaches the join as one row per day; goods sharing a name are
+    summed together afterwards."""
     d = F.to_date(F.col(sale_ts))
     s = sales.where((F.col(sale_ts) >= lit_date(begin).cast("timestamp_ntz"))
                     & (F.col(sale_ts) < F.date_add(lit_date(end), 1).cast("timestamp_ntz")))
+    per_good = s.groupBy(sale_good, d.alias("dat")).agg(F.sum(amount_cents).alias("_s"))
     g = goods.select(F.col(good_key).alias(sale_good), F.col(name))
-    return (s.join(g, on=sale_good, how="inner")
-            .groupBy(name, d.alias("dat")).agg(F.sum(amount_cents).alias("sum_amount")))
+    return (per_good.join(g, on=sale_good, how="inner")
+            .groupBy(name, "dat").agg(F.sum("_s").alias("sum_amount")))
 
 
 __all__ = ["NULL_TEXT", "profile", "constant_columns", "frequency", "keys_with_many",

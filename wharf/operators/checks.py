@@ -74,10 +74,13 @@ def run_checks(spark: SparkSession, df: DataFrame, rules: Sequence) -> DataFrame
                 F.lit("unique").alias("rule"), F.lit(",".join(cols)).alias("column"),
                 F.col("failing_rows").cast("bigint")))
         elif isinstance(r, Relationship):
+            # child rows counted per key first (map-side combined), so a hot
+            # key reaches the anti join as one row
             pc = r.parent_col or r.col
-            child = df.where(F.col(r.col).isNotNull()).select(F.col(r.col).alias("_k"))
+            child = (df.where(F.col(r.col).isNotNull())
+                     .groupBy(F.col(r.col).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
             orphans = child.join(r.parent.select(F.col(pc).alias("_k")), "_k", "left_anti")
-            parts.append(orphans.agg(F.count(F.lit(1)).alias("failing_rows")).select(
+            parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failing_rows")).select(
                 F.lit("relationships").alias("rule"), F.lit(r.col).alias("column"),
                 F.col("failing_rows").cast("bigint")))
         else:
@@ -102,11 +105,15 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
 
 def match_counts(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """Rows of ``left`` and how many of them found a partner in ``right``
-    (``right`` deduplicated on the key first, so partners never multiply)."""
+    (``right`` deduplicated on the key first, so partners never multiply;
+    ``left`` counted per key first, so a hot key is one row in the join)."""
     rk = right_key or key
     r = right.select(F.col(rk).alias("_rk")).distinct()
-    j = left.select(F.col(key).alias("_lk")).join(r, F.col("_lk") == F.col("_rk"), "left")
-    return j.agg(F.count(F.lit(1)).alias("total_rows"), F.count("_rk").alias("matched_rows"))
+    per_key = left.groupBy(F.col(key).alias("_lk")).agg(F.count(F.lit(1)).alias("_n"))
+    j = per_key.join(r, F.col("_lk") == F.col("_rk"), "left")
+    return j.agg(F.sum("_n").cast("bigint").alias("total_rows"),
+                 F.coalesce(F.sum(F.when(F.col("_rk").isNotNull(), F.col("_n"))), F.lit(0))
+                 .cast("bigint").alias("matched_rows"))
 
 
 def reconcile(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
