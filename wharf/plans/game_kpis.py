@@ -36,7 +36,7 @@ SELECT CAST(count(*) AS BIGINT) AS rows_count,
 FROM ge
 """))
 def q_profile(spark, sf_dir):
-    return agg.profile(si.game_events(spark, sf_dir), PROFILE_COLS)
+    return agg.profile(si.game_events(spark, sf_dir, with_spender=True), PROFILE_COLS)
 
 
 @query("kpi_constant_columns", covers=("A2",), sql=_sql("""
@@ -46,7 +46,8 @@ SELECT column_name FROM (
 WHERE distinct_count = 1
 """).replace("SELECT column_name FROM (\n  UNPIVOT", "SELECT replace(column_name, '_distinct_count', '') AS column_name FROM (\n  UNPIVOT"))
 def q_constant_columns(spark, sf_dir):
-    return agg.constant_columns(agg.profile(si.game_events(spark, sf_dir), PROFILE_COLS))
+    return agg.constant_columns(agg.profile(si.game_events(spark, sf_dir, with_spender=True),
+                                            PROFILE_COLS))
 
 
 @query("kpi_product_frequency", covers=("A3", "O1"), sql=_sql("""
@@ -92,7 +93,7 @@ SELECT platform, user_id, user_is_spender,
 FROM ge GROUP BY platform, user_id, user_is_spender
 """))
 def q_user_footprint(spark, sf_dir):
-    return agg.distinct_counts(si.game_events(spark, sf_dir),
+    return agg.distinct_counts(si.game_events(spark, sf_dir, with_spender=True),
                                ["platform", "user_id", "user_is_spender"], ["user_ip", "session_id"])
 
 
@@ -115,8 +116,8 @@ SELECT platform, CAST(count(DISTINCT user_id) AS BIGINT) AS user_id_count,
 FROM d GROUP BY platform
 """))
 def q_spender_conversion(spark, sf_dir):
-    return agg.spender_conversion(si.game_events(spark, sf_dir), "platform", "user_id",
-                                  "user_is_spender")
+    return agg.spender_conversion(si.game_events(spark, sf_dir, with_spender=True),
+                                  "platform", "user_id", "user_is_spender")
 
 
 @query("kpi_revenue", covers=("A10",), sql=_sql("""

@@ -178,8 +178,10 @@ def game_events_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed game events: amounts in cents, USD cost, spender flag per user."""
+def game_events(spark: SparkSession, sf_dir: str, with_spender: bool = False) -> DataFrame:
+    """Typed game events: amounts in cents, USD cost; with ``with_spender``
+    also the per-user spender flag (an extra aggregate and join, so only
+    the reports that use it ask for it)."""
     from wharf.functions.columns import cents
     t = game_events_text(spark, sf_dir)
     base = (t.withColumn("real_currency_amount_centum", cents("real_currency_amount"))
@@ -189,7 +191,7 @@ def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("real_currency_type") == "GBP",
                F.floor(F.col("real_currency_amount_centum") / 100).cast("bigint"))
         .otherwise(F.col("real_currency_amount_centum")))
-    return with_spender_flag(base)
+    return with_spender_flag(base) if with_spender else base
 
 
 def with_spender_flag(ev: DataFrame, user: str = "user_id",
