@@ -179,7 +179,7 @@ def order_snapshots(spark, sf_dir):
     return (o1, li1), (o, o2, li)
 
 
-def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 16,
+def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 8,
                       with_fact: bool = True):
     """Two runs of staging (acceptance, chargeback) and fact. Each table is
     bucketed by ``transaction_id``; a run rewrites only the buckets its
