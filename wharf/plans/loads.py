@@ -22,7 +22,7 @@ from wharf.operators.incremental import extract_since, insert_new, last_import,
 from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
-from wharf.session import read_table, work_dir
+from wharf.session import read_table, spread, work_dir
 from wharf.sources.tables import (BucketedTable, append, ensure_table,
                                   replace_window_partitions)
 
@@ -190,7 +190,9 @@ def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 8,
                            for n in ("acc", "cb", "fact"))
     (o1, li1), (_, o2, li2) = order_snapshots(spark, sf_dir)
     for ts, orders, lineitem in ((STAGE_TS1, o1, li1), (STAGE_TS2, o2, li2)):
-        acc_clean = pay.clean_acceptance(si.acceptance_seed(spark, sf_dir, orders))
+        # staging materialises every column, including the per-row rates JSON
+        # parse: spread a seed read as fewer splits than cores (no-op at scale)
+        acc_clean = pay.clean_acceptance(spread(si.acceptance_seed(spark, sf_dir, orders)))
         acc = acc_t.merge(acc_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False))
         cb_clean = pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem))
         cb = cb_t.merge(cb_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False))

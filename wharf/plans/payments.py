@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from wharf.functions.columns import (clean_upper, lit_ts, rates_map, ratio, record_hash,
                                      seed_bool, usd_amount)
 from wharf.operators.aggregates import money_sum
-from wharf.session import spread
 from wharf.operators.incremental import (DEFAULT_SOURCE_MARK, assert_unique, changed_ids,
                                          combined_stamp, stamp_and_merge, upsert)
 
@@ -32,10 +31,8 @@ CHARGEBACK_SEED_COLS = ["external_ref", "status", "source", "chargeback"]
 
 
 def clean_acceptance(seed: DataFrame) -> DataFrame:
-    """Rename, cast and enrich the acceptance seed (no stamps yet). The
-    rates JSON is parsed per row, so a seed read as fewer splits than cores
-    is spread first (no-op on large inputs)."""
-    r = spread(seed).select(
+    """Rename, cast and enrich the acceptance seed (no stamps yet)."""
+    r = seed.select(
         F.col("external_ref").alias("transaction_id"),
         seed_bool("status").alias("report_status"),
         F.col("source").alias("payment_source"),
