@@ -48,18 +48,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def _spark_context(spark: SparkSession):
+    """The SparkContext of a classic session, None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = _spark_context(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if root:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(root)
         return root
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a shared folder is required on a cluster")
     root = tempfile.mkdtemp(prefix="wharf-ckpt-")
-    sc.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 
@@ -84,8 +94,12 @@ def spread(df, factor: int = 1):
     partitions than cores (a few large files or row groups); a no-op when the
     input already has enough splits, so no shuffle is added at scale. Used
     before CPU-heavy per-row work such as text repair and JSON parsing."""
-    sc = df.sparkSession.sparkContext
+    sc = _spark_context(df.sparkSession)
+    if sc is None:
+        return df
     want = sc.defaultParallelism * factor
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+        return df
+    return df.repartition(want) if have < want else df

@@ -14,6 +14,8 @@ works on HDFS, object stores and local disk.
 
 from __future__ import annotations
 
+import os
+import shutil
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,37 +28,58 @@ VERSION_PREFIX = "v="
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+    """Hadoop FileSystem for ``path`` (any scheme), or None without a JVM
+    gateway (Spark Connect), where only local paths are supported."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+    except Exception:  # noqa: BLE001
+        return None, None, None
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
+    if fs is None:
+        return os.path.exists(_local(path))
     return bool(fs.exists(p))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
-    if fs.exists(p):
+    if fs is None:
+        shutil.rmtree(_local(path), ignore_errors=True)
+    elif fs.exists(p):
         fs.delete(p, True)
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, has _SUCCESS marker) of the sub-folders of ``path``."""
+    fs, p, jvm = _fs(spark, path)
+    if fs is None:
+        root = _local(path)
+        if not os.path.isdir(root):
+            return []
+        return [(n, os.path.exists(os.path.join(root, n, "_SUCCESS")))
+                for n in os.listdir(root) if os.path.isdir(os.path.join(root, n))]
+    if not fs.exists(p):
+        return []
+    return [(st.getPath().getName(),
+             bool(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))))
+            for st in fs.listStatus(p) if st.isDirectory()]
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
         self.spark, self.root, self.keep = spark, root.rstrip("/"), keep_versions
 
     def versions(self) -> list[int]:
-        fs, p, jvm = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(VERSION_PREFIX) and fs.exists(
-                    jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
-        return sorted(out)
+        return sorted(int(n[len(VERSION_PREFIX):]) for n, done in list_dirs(self.spark, self.root)
+                      if n.startswith(VERSION_PREFIX) and done)
 
     def _path(self, v: int) -> str:
         return f"{self.root}/{VERSION_PREFIX}{v:08d}"
