@@ -42,8 +42,14 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
 # -- high-water marks ---------------------------------------------------------
 
 def last_import(targets: Sequence[DataFrame], col: str = "import_date",
-                default: dt.date = DEFAULT_IMPORT_MARK):
-    """Newest ``col`` over several targets, else ``default`` (one scalar)."""
+                default: dt.date = DEFAULT_IMPORT_MARK, before=None):
+    """Newest ``col`` over several targets, else ``default`` (one scalar).
+
+    With ``before`` (the current run date) only earlier runs count, so a
+    rerun of a run that failed half-way computes the same mark as the first
+    attempt; rows it already inserted are then skipped by key."""
+    if before is not None:
+        targets = [t.where(F.col(col) < F.lit(before)) for t in targets]
     marks = [t.select(F.max(col).alias("m")) for t in targets]
     u = marks[0]
     for m in marks[1:]:
@@ -98,7 +104,9 @@ def stamp_and_merge(staged: DataFrame, target: DataFrame | None, key: str, run_t
 
     ``staged`` must not hold a key twice (see ``assert_unique``); rows with a
     NULL key are not merged.  One full outer join on the key replaces the
-    MERGE statement; the caller writes the result as a new table version.
+    MERGE statement; the caller writes the result back (see
+    ``wharf.sources.tables.BucketedTable.merge``, which passes only the touched
+    buckets of the target).
     """
     ts = lit_ts(run_ts)
     staged = staged.where(F.col(key).isNotNull())

@@ -41,11 +41,12 @@ def sync_tables(spark: SparkSession, targets: Mapping[str, tuple[str, T.StructTy
                 sources: Mapping[str, DataFrame], keys: Mapping[str, str], run_date,
                 default_mark=COPY_DEFAULT_MARK, created_col: str = "created_at") -> dict[str, DataFrame]:
     """One run of the insert-only copy: one mark over all targets (newest
-    ``import_date``, else ``default_mark``), extract ``created_col >= mark``
-    from every source, insert rows whose key is new, append by name.
-    Returns the rejected rows per table (NULL keys)."""
+    ``import_date`` of earlier runs, else ``default_mark``), extract
+    ``created_col >= mark`` from every source, insert rows whose key is new,
+    append by name. Rerunning the same ``run_date`` after a failure is
+    idempotent. Returns the rejected rows per table (NULL keys)."""
     tdfs = {n: ensure_table(spark, p, s) for n, (p, s) in targets.items()}
-    mark = last_import(list(tdfs.values()), default=default_mark)
+    mark = last_import(list(tdfs.values()), default=default_mark, before=run_date)
     rejected = {}
     for n, src in sources.items():
         path, schema = targets[n]
