@@ -1,0 +1,93 @@
+"""One key holding a third of all rows: results stay whole and exact, and
+the hot key is combined or limited before it is shuffled or joined."""
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from wharf.operators import aggregates as agg
+from wharf.operators import incremental as inc
+from wharf.operators import windows as win
+from wharf.plans.standins import with_spender_flag
+
+N = 3000
+
+
+def hot_rows(seed=3):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(N):
+        user = "hot" if i % 3 == 0 else f"u{rnd.randint(0, 50)}"
+        rows.append((i, user, dt.date(2023, 1, 1) + dt.timedelta(days=rnd.randint(0, 60)),
+                     rnd.randint(1, 9), rnd.choice(["c1", "c2", "c3"])))
+    return rows
+
+
+SCHEMA = "id int, user_id string, day date, amount int, category string"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prev_days_count_hot_user(spark):
+    rows = hot_rows()
+    tx = spark.createDataFrame(rows, SCHEMA)
+    got = {r[0]: r[1] for r in win.prev_days_count(tx, "user_id", "day").select("id", "trans_prev_7d").collect()}
+    by_user = {}
+    for i, u, d, _, _ in rows:
+        by_user.setdefault(u, []).append(d)
+    want = {i: sum(1 for d2 in by_user[u] if 1 <= (d - d2).days <= 7) for i, u, d, _, _ in rows}
+    assert got == want and len(got) == N
+
+
+def test_category_totals_hot_user_preaggregates(spark):
+    rows = hot_rows()
+    tx = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("category", "transaction_category_id") \
+        .withColumnRenamed("amount", "transaction_amount")
+    users = spark.createDataFrame([("hot",), ("hot",)] + [(f"u{i}",) for i in range(0, 51, 2)], "user_id string")
+    out = agg.category_totals(tx, users)
+    active = {"hot"} | {f"u{i}" for i in range(0, 51, 2)}
+    want = {}
+    for _, u, _, a, c in rows:
+        if u in active:
+            s, us = want.get(c, (0, set()))
+            want[c] = (s + a, us | {u})
+    assert {r[0]: (r[1], r[2]) for r in out.collect()} == {c: (s, len(us)) for c, (s, us) in want.items()}
+    p = plan(out)
+    below_join = p[p.index("Join"):]
+    assert "partial_sum" in below_join          # summed per (user, category) before the join
+
+
+def test_insert_new_hot_duplicate_key(spark):
+    rows = [(1 if i % 3 == 0 else i + 10, f"v{i:05d}", dt.date(2020, 1, 1)) for i in range(N)]
+    batch = spark.createDataFrame(rows, "id int, v string, created_at date")
+    target = spark.createDataFrame([], "id int, v string, created_at date, import_date date")
+    fresh, rejected = inc.insert_new(target, batch, "id", dt.date(2020, 2, 1), order_cols=["created_at"])
+    got = {r["id"]: r["v"] for r in fresh.collect()}
+    assert len(got) == N - N // 3 + 1 and got[1] == "v00000"
+    assert "partial_min" in plan(fresh)             # per-key choice combined map-side
+
+
+def test_top1_hot_group_limited_before_shuffle(spark):
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, SCHEMA)
+    top = win.top1_per_group(df, ["user_id"], [F.col("day").desc(), F.col("id")])
+    want = {}
+    for i, u, d, _, _ in rows:
+        if u not in want or (d, -i) > (want[u][0], -want[u][1]):
+            want[u] = (d, i)
+    assert {r["user_id"]: r["id"] for r in top.collect()} == {u: v[1] for u, v in want.items()}
+    p = plan(top)
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_spender_flag_hot_user(spark):
+    rows = [(i, "hot" if i % 3 == 0 else (None if i % 7 == 0 else f"u{i % 20}"), 0 if i % 5 else 100)
+            for i in range(N)]
+    ev = spark.createDataFrame(rows, "id int, user_id string, real_currency_amount_centum int")
+    got = {r["id"]: r["user_is_spender"] for r in with_spender_flag(ev).collect()}
+    spender = {}
+    for _, u, a in rows:
+        spender[u] = spender.get(u, False) or a > 0
+    assert got == {i: spender[u] for i, u, _ in rows}     # NULL users form one group, as in SQL
