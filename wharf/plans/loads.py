@@ -199,7 +199,8 @@ def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 8,
         cb = cb_t.merge(cb_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False))
         if with_fact:
             changed = pay.fact_changes(acc, cb, ts, fact_t.read(), backfill_days=backfill_days)
-            fact_t.merge(changed, lambda src, cur: pay.merge_fact(src, cur))
+            # ids are unique by construction: staging ids left-joined to unique chargeback ids
+            fact_t.merge(changed, lambda src, cur: pay.merge_fact(src, cur), unique=False)
     return acc_t.read(), cb_t.read(), fact_t.read()
 
 

@@ -197,12 +197,16 @@ class BucketedTable:
 
     def merge(self, batch: DataFrame, merge_fn, unique: bool = True) -> DataFrame:
         """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
-        the new content of the touched buckets."""
-        touched = self.touched_buckets(batch, unique)
+        the new content of the touched buckets. ``unique=False`` when the
+        batch's keys are unique by construction (no check; and no statistics
+        job at all for the first write of the table)."""
+        exists = self.exists()
         current = None
-        if self.exists():
-            current = (self.spark.read.parquet(self.root)
-                       .where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL))
+        if exists or unique:
+            touched = self.touched_buckets(batch, unique)
+            if exists:
+                current = (self.spark.read.parquet(self.root)
+                           .where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL))
         merged = (merge_fn(batch, current)
                   .repartition(self.buckets, F.col(self.key))
                   .withColumn(BUCKET_COL, bucket_of(self.key, self.buckets)))
