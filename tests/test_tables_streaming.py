@@ -61,3 +61,11 @@ def test_streaming_ingest_reads_each_file_once(spark, tmp_dir):
     assert sorted(r["id"] for r in read_ingested(spark, tgt).collect()) == [1, 2, 3]
     probs = [(r["id"], r["problem"]) for r in spark.read.parquet(bad).collect()]
     assert probs == [("x", "unparseable record")]
+
+
+def test_bucketed_merge_rejects_null_keys(spark, tmp_dir):
+    from wharf.operators.incremental import NullKeyError
+    t = tb.BucketedTable(spark, f"{tmp_dir}/bt3", "k", buckets=4)
+    batch = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    with pytest.raises(NullKeyError):
+        t.merge(batch, lambda src, cur: upsert(cur, src, "k"))

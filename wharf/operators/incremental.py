@@ -27,6 +27,10 @@ class DuplicateKeyError(ValueError):
     """A source batch holds one key more than once (a MERGE would be ambiguous)."""
 
 
+class NullKeyError(ValueError):
+    """A source batch holds rows without a key (they cannot be merged by key)."""
+
+
 def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
     """Raise when a key occurs more than once (NULL keys are ignored).
 

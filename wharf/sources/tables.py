@@ -185,15 +185,21 @@ class BucketedTable:
         return self.spark.read.parquet(self.root).drop(BUCKET_COL)
 
     def touched_buckets(self, batch: DataFrame, unique: bool = True) -> list[int]:
-        from wharf.operators.incremental import DuplicateKeyError
+        """Bucket numbers of the batch's keys; with ``unique`` also proves every
+        row has a key and no key occurs twice (raises otherwise), in the same job."""
+        from wharf.operators.incremental import DuplicateKeyError, NullKeyError
         k = F.col(self.key)
         stats = (batch.groupBy(bucket_of(self.key, self.buckets).alias("b"))
-                 .agg(F.count(k).alias("n"), F.count_distinct(k).alias("d")).collect())
+                 .agg(F.count(F.lit(1)).alias("rows"), F.count(k).alias("n"),
+                      F.count_distinct(k).alias("d")).collect())
         if unique:
+            nulls = sum(r["rows"] - r["n"] for r in stats)
+            if nulls:
+                raise NullKeyError(f"batch holds {nulls} rows without {self.key}")
             bad = [r["b"] for r in stats if r["n"] != r["d"]]
             if bad:
                 raise DuplicateKeyError(f"batch holds a key of {self.key} twice (bucket {bad[0]})")
-        return sorted(r["b"] for r in stats)
+        return sorted(r["b"] for r in stats if r["n"] > 0)
 
     def merge(self, batch: DataFrame, merge_fn, unique: bool = True) -> DataFrame:
         """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
