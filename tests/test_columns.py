@@ -84,3 +84,12 @@ def test_day_window_start(spark):
         F.col("s").cast("timestamp_ntz").alias("ts"))
     got = df.select(C.day_window_start("ts")).first()[0]
     assert got.replace(tzinfo=None) == dt.datetime(2024, 2, 29, 0, 0)
+
+
+def test_size_conf_and_buckets():
+    from wharf.session import MB, bucket_count, size_conf
+    tb = 1024 ** 4
+    conf = size_conf(100 * tb)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * tb // (256 * MB)
+    assert bucket_count(10 * tb) == 32768 and bucket_count(1) == 8
+    assert bucket_count(10 * tb) * 512 * MB >= 10 * tb

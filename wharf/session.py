@@ -103,3 +103,30 @@ def spread(df, factor: int = 1):
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
         return df
     return df.repartition(want) if have < want else df
+
+
+# --- sizing for a given data volume -------------------------------------------
+MB = 1024 * 1024
+
+
+def size_conf(input_bytes: int, target_partition_bytes: int = 256 * MB,
+              max_split_bytes: int = 512 * MB) -> dict[str, str]:
+    """Shuffle and scan settings for jobs reading about ``input_bytes``:
+    enough shuffle partitions that each holds ~``target_partition_bytes``
+    (AQE coalesces below that at runtime), scan splits no larger than
+    ``max_split_bytes``, and skew-join splitting above 4× the target."""
+    parts = max(1, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(max_split_bytes, target_partition_bytes)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
+def bucket_count(table_bytes: int, target_file_bytes: int = 512 * MB, minimum: int = 8) -> int:
+    """Buckets for a key-bucketed table so that one bucket (one file per
+    write) stays near ``target_file_bytes``; a power of two."""
+    need = max(minimum, -(-table_bytes // target_file_bytes))
+    return 1 << (need - 1).bit_length()
