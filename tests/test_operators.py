@@ -174,3 +174,11 @@ def test_period_totals_good_without_sales(spark):
     # as_of 2017-02-28: a year back is 2016-02-28, so the 29 Feb sale is outside PYTD
     got2 = {r["good_name"]: r["PYTD"] for r in agg.period_totals(goods, sales, "2017-02-28").collect()}
     assert got2["Pen"] == 0.0
+
+
+def test_control_diff(spark):
+    before = spark.createDataFrame([(1, 100), (2, 250)], "id int, cents long")
+    after = spark.createDataFrame([(1, 100), (2, 249)], "id int, cents long")
+    got = {r["metric"]: (r["before_value"], r["after_value"], r["matches"])
+           for r in chk.control_diff(before, after, ["cents"]).collect()}
+    assert got == {"rows_count": (2, 2, True), "cents_sum": (350, 349, False)}

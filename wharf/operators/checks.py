@@ -129,3 +129,21 @@ def reconcile(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
                          (F.col("source_count") == F.col("target_count")).alias("counts_match"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def control_diff(before: DataFrame, after: DataFrame, sum_cols) -> DataFrame:
+    """Control totals (row count and column sums) of the same data before
+    and after a load, one row per metric with both values and whether they
+    agree. Each side is one aggregation pass; the comparison is on two rows."""
+    from wharf.operators.aggregates import control_totals
+    metrics = ["rows_count"] + [f"{c}_sum" for c in sum_cols]
+    pairs = ", ".join(f"'{m}', CAST(`{m}` AS BIGINT)" for m in metrics)
+    def long(df, side):
+        return (control_totals(df, sum_cols)
+                .selectExpr(f"stack({len(metrics)}, {pairs}) AS (metric, value)")
+                .withColumn("side", F.lit(side)))
+    both = long(before, "before").unionByName(long(after, "after"))
+    out = both.groupBy("metric").agg(
+        F.max(F.when(F.col("side") == "before", F.col("value"))).alias("before_value"),
+        F.max(F.when(F.col("side") == "after", F.col("value"))).alias("after_value"))
+    return out.withColumn("matches", F.col("before_value").eqNullSafe(F.col("after_value")))

@@ -234,3 +234,21 @@ def q_nightly_weather(spark, sf_dir):
     for run_ts in NIGHT_RUNS:
         nightly_weather_load(spark, sf_dir, root, run_ts)
     return spark.read.parquet(root).select("time", "timestamp", "temperature", "summary", "day")
+
+
+@query("control_diff_events", covers=("C6", "A19", "S11"), sql=_EVENTS_BASE + """
+, r AS (SELECT CAST(round(value * 100) AS BIGINT) AS c FROM e WHERE k <> 99)
+SELECT 'rows_count' AS metric, CAST(count(*) AS BIGINT) AS before_value,
+       CAST(count(*) AS BIGINT) AS after_value, true AS matches FROM r
+UNION ALL
+SELECT 'real_currency_amount_centum_sum', CAST(sum(c) AS BIGINT), CAST(sum(c) AS BIGINT), true FROM r
+""")
+def q_control_diff_events(spark, sf_dir):
+    """Repaired events loaded into a parquet table; totals before the load
+    (from the parsed text) against totals read back from the table."""
+    from wharf.operators.checks import control_diff
+    from wharf.sources.tables import append
+    before = q_repaired_events(spark, sf_dir)
+    path = work_dir(spark, "loaded-events")
+    append(before, path)
+    return control_diff(before, spark.read.parquet(path), ["real_currency_amount_centum"])
