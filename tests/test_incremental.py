@@ -180,3 +180,15 @@ def test_sync_tables_rerun_after_partial_failure(spark, tmp_dir):
     for name in ("a", "b"):
         got = sorted((r["id"], r["import_date"]) for r in spark.read.parquet(f"{tmp_dir}/{name}").collect())
         assert got == [(1, D(2019, 1, 10)), (2, D(2019, 1, 20))], name
+
+
+def test_replace_and_drop_table(spark, tmp_dir):
+    p = f"{tmp_dir}/rt"
+    tb.replace_table(spark, spark.createDataFrame([(1,)], "x int"), p)
+    cur = tb.VersionedTable(spark, p).read()
+    out = tb.replace_table(spark, cur.withColumn("x", F.col("x") * 10), p)   # reads the table it replaces
+    assert [r["x"] for r in out.collect()] == [10]
+    empty = tb.replace_table(spark, cur.limit(0), p)                         # empty the table
+    assert empty.count() == 0
+    tb.drop_table(spark, p)
+    assert not tb.path_exists(spark, p)

@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wharf.operators.incremental import extract_since  # noqa: F401  (re-exported: S8)
+
 
 def read_csv(spark: SparkSession, path: str, types: Mapping[str, str], sep: str = ",") -> DataFrame:
     """Read a CSV with a header, all columns as text, then pick the wanted
@@ -29,9 +31,3 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """Seed CSV, every column as text; JSON inside double quotes kept whole."""
     return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
             .option("multiLine", False).csv(path))
-
-
-def extract_since(df: DataFrame, col: str, since) -> DataFrame:
-    """Rows with ``col >= since``; on parquet or JDBC the predicate is pushed
-    into the scan."""
-    return df.where(F.col(col) >= F.lit(since))

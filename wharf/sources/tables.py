@@ -107,6 +107,17 @@ class VersionedTable:
         return self.spark.read.parquet(path)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """CREATE OR REPLACE: ``df`` becomes the table's next version (safe even
+    when ``df`` reads the current version); returns the new content."""
+    return VersionedTable(spark, path).write(df)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """DROP TABLE IF EXISTS."""
+    delete_path(spark, path)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Create an empty parquet table with ``schema`` when absent; return it."""
     if not path_exists(spark, path):
