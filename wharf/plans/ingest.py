@@ -146,7 +146,7 @@ def q_hourly_doc(spark, sf_dir):
 
 # -- files written by Spark from the driver's tables, read back by the readers ---
 
-@query("nightly_event_ingest", covers=("S1", "S11", "I12"), sql=_REPAIRED_SQL)
+@query("nightly_event_ingest", stateful=True, covers=("S1", "S11", "I12"), sql=_REPAIRED_SQL)
 def q_nightly_event_ingest(spark, sf_dir):
     """Two nights of raw event files loaded by two availableNow runs of a
     streaming query; the second run reads only the second night's files."""
@@ -162,7 +162,7 @@ def q_nightly_event_ingest(spark, sf_dir):
     return read_ingested(spark, tgt).drop("batch_id")
 
 
-@query("category_totals_csv", covers=("S6", "J1", "A13", "P9"), sql="""
+@query("category_totals_csv", stateful=True, covers=("S6", "J1", "A13", "P9"), sql="""
 SELECT t.o_orderpriority AS transaction_category_id,
        CAST(sum(CAST(floor(t.o_totalprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_amount,
        CAST(count(DISTINCT t.o_custkey) AS BIGINT) AS num_users
@@ -191,7 +191,7 @@ def q_category_totals_csv(spark, sf_dir):
                       "num_users")
 
 
-@query("fx_usd_seed_csv", covers=("S7", "P12", "F17"), sql="WITH " + si.PAYMENT_FACT_CTE.replace(
+@query("fx_usd_seed_csv", stateful=True, covers=("S7", "P12", "F17"), sql="WITH " + si.PAYMENT_FACT_CTE.replace(
     "{run_ts}", "2024-01-01 00:00:00") + """
 SELECT transaction_id, currency_code, amount, amount_usd FROM acc3
 """)
@@ -223,7 +223,7 @@ def nightly_weather_load(spark, sf_dir, root: str, run_ts: str) -> None:
     replace_window_partitions(spark, root, day_rows, "day", run_date, 1)
 
 
-@query("nightly_weather", covers=("S4", "S5", "I11", "I12", "F20"), sql="""
+@query("nightly_weather", stateful=True, covers=("S4", "S5", "I11", "I12", "F20"), sql="""
 SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS time,
        make_timestamp(CAST(epoch_us(ts) // 1000000 AS BIGINT) * 1000000) AS timestamp,
        value AS temperature, event_type AS summary, CAST(ts AS DATE) AS day
@@ -236,7 +236,7 @@ def q_nightly_weather(spark, sf_dir):
     return spark.read.parquet(root).select("time", "timestamp", "temperature", "summary", "day")
 
 
-@query("control_diff_events", covers=("C6", "A19", "S11"), sql=_EVENTS_BASE + """
+@query("control_diff_events", stateful=True, covers=("C6", "A19", "S11"), sql=_EVENTS_BASE + """
 , r AS (SELECT CAST(round(value * 100) AS BIGINT) AS c FROM e WHERE k <> 99)
 SELECT 'rows_count' AS metric, CAST(count(*) AS BIGINT) AS before_value,
        CAST(count(*) AS BIGINT) AS after_value, true AS matches FROM r

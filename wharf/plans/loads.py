@@ -136,7 +136,7 @@ final_customer AS (SELECT * FROM crun1 UNION ALL SELECT * FROM crun2)
 """
 
 
-@query("insert_new", covers=("I1", "I2", "S8", "S9", "S10", "S11", "J9", "O3", "P16"), sql="WITH " + _COPY_CTE + """
+@query("insert_new", stateful=True, covers=("I1", "I2", "S8", "S9", "S10", "S11", "J9", "O3", "P16"), sql="WITH " + _COPY_CTE + """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, created_at, o_orderpriority, import_date
 FROM final_orders
 """)
@@ -145,7 +145,7 @@ def q_insert_new(spark, sf_dir):
     return final["orders"]
 
 
-@query("reconcile_copy", covers=("C5", "O4"), sql="WITH " + _COPY_CTE + """
+@query("reconcile_copy", stateful=True, covers=("C5", "O4"), sql="WITH " + _COPY_CTE + """
 SELECT 'orders' AS table_name, CAST((SELECT count(*) FROM batch2) AS BIGINT) AS source_count,
        CAST((SELECT count(*) FROM final_orders) AS BIGINT) AS target_count,
        (SELECT count(*) FROM batch2) = (SELECT count(*) FROM final_orders) AS counts_match
@@ -270,7 +270,7 @@ fact_final AS (
 """
 
 
-@query("upsert_staging", covers=("I3", "I4", "I5", "S12", "P13"), sql="WITH " + _STAGE_CTE.format(backfill="") + """
+@query("upsert_staging", stateful=True, covers=("I3", "I4", "I5", "S12", "P13"), sql="WITH " + _STAGE_CTE.format(backfill="") + """
 SELECT transaction_id, transaction_state, amount, dw_created_at, dw_modified_at FROM acc_final
 """)
 def q_upsert_staging(spark, sf_dir):
@@ -279,7 +279,7 @@ def q_upsert_staging(spark, sf_dir):
                       "dw_modified_at")
 
 
-@query("payment_fact_incremental", covers=("I6", "I7", "I8", "I9", "J5", "J6", "O5", "F3", "F19"),
+@query("payment_fact_incremental", stateful=True, covers=("I6", "I7", "I8", "I9", "J5", "J6", "O5", "F3", "F19"),
        sql="WITH " + _STAGE_CTE.format(backfill="") + """
 SELECT * FROM fact_final
 """)
@@ -304,7 +304,7 @@ def restate_inputs(spark, sf_dir):
     return initial, settled
 
 
-@query("replace_window", covers=("I11", "I12", "S13", "P6"), sql="""
+@query("replace_window", stateful=True, covers=("I11", "I12", "S13", "P6"), sql="""
 SELECT event_id, CAST(ts AS DATE) AS day, event_type, value FROM events
 WHERE CAST(ts AS DATE) < DATE '2024-01-11'
 UNION ALL
@@ -383,7 +383,7 @@ def q_join_match_counts(spark, sf_dir):
 BACKFILL_FROM = dt.date(1999, 7, 1)
 
 
-@query("payment_fact_backfill", covers=("I7", "I8"), sql="WITH " + _STAGE_CTE.format(
+@query("payment_fact_backfill", stateful=True, covers=("I7", "I8"), sql="WITH " + _STAGE_CTE.format(
     backfill=f"\n     OR transaction_date >= DATE '{BACKFILL_FROM.isoformat()}'") + """
 SELECT * FROM fact_final
 """)

@@ -18,7 +18,8 @@ RUN_TS = "2024-02-01 06:00:00"        # pinned load time of the payment model
 
 
 def payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full build of the payment fact from the stand-in seeds."""
+    """Full build of the payment fact from the stand-in seeds (ids are unique
+    by construction: one seed row per order, chargebacks grouped by order)."""
     acc = pay.stage(pay.clean_acceptance(si.acceptance_seed(spark, sf_dir)), RUN_TS,
                     check_unique=False)
     cb = pay.stage(pay.clean_chargeback(si.chargeback_seed(spark, sf_dir)), RUN_TS,

@@ -19,17 +19,18 @@ class Query:
     fn: QueryFn
     sql: str | None
     covers: tuple[str, ...] = ()
+    stateful: bool = False          # writes and re-reads state (two-run loads, file round trips)
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None, covers: tuple[str, ...] = ()):
+def query(name: str, sql: str | None = None, covers: tuple[str, ...] = (), stateful: bool = False):
     """Decorator registering a query function under ``name``."""
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        REGISTRY[name] = Query(name, fn, sql, covers)
+        REGISTRY[name] = Query(name, fn, sql, covers, stateful)
         return fn
     return deco
 
