@@ -69,3 +69,14 @@ def test_bucketed_merge_rejects_null_keys(spark, tmp_dir):
     batch = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
     with pytest.raises(NullKeyError):
         t.merge(batch, lambda src, cur: upsert(cur, src, "k"))
+
+
+def test_bucketed_merge_key_checks_on_existing_table(spark, tmp_dir):
+    from wharf.operators.incremental import NullKeyError
+    t = tb.BucketedTable(spark, f"{tmp_dir}/bt4", "k", buckets=4)
+    t.merge(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), lambda s, c: upsert(c, s, "k"))
+    with pytest.raises(NullKeyError):
+        t.merge(spark.createDataFrame([("c", 1), (None, 2)], "k string, v int"), lambda s, c: upsert(c, s, "k"))
+    with pytest.raises(DuplicateKeyError):
+        t.merge(spark.createDataFrame([("a", 5), ("a", 6)], "k string, v int"), lambda s, c: upsert(c, s, "k"))
+    assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [("a", 1), ("b", 2)]   # unchanged

@@ -184,8 +184,8 @@ def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 8,
                       with_fact: bool = True):
     """Two runs of staging (acceptance, chargeback) and fact. Each table is
     bucketed by ``transaction_id``; a run rewrites only the buckets its
-    changed ids fall in. The uniqueness of each batch's ids is proved by the
-    bucket statistics of ``BucketedTable.merge``."""
+    changed ids fall in. Staging batches must hold each id once and no row
+    without one; ``BucketedTable.merge`` checks that inside its write job."""
     root = work_dir(spark, "payments")
     acc_t, cb_t, fact_t = (BucketedTable(spark, f"{root}/{n}", "transaction_id", buckets)
                            for n in ("acc", "cb", "fact"))

@@ -169,64 +169,79 @@ def bucket_of(key, buckets: int):
     return F.pmod(F.hash(F.col(key)), F.lit(buckets)).cast("int")
 
 
+DUPLICATE_KEY_MSG = "wharf: batch holds a key twice"
+NULL_KEY_MSG = "wharf: batch holds a row without a key"
+
+
 class BucketedTable:
     """A parquet table partitioned by a hash bucket of its key.
 
     ``merge`` upserts a batch by rewriting only the buckets its keys fall
-    in. One aggregation over the batch yields, per bucket, the key count and
-    the distinct key count: it proves the batch holds no key twice and lists
-    the touched buckets (at most ``buckets`` values) in the same job. The
-    touched buckets restrict the read of the current rows (partition
-    pruning); the caller's merge plan combines them with the batch; the
-    result is hash-partitioned into ``buckets`` tasks so each task writes
-    one file into one bucket, and a dynamic partition overwrite swaps in
-    exactly those buckets when the job commits. A failed job leaves the
-    table as it was; untouched buckets are never read or written.
+    in. The touched bucket numbers (at most ``buckets`` values, from a
+    map-side combined ``distinct``) restrict the read of the current rows by
+    partition pruning; the caller's merge plan combines them with the batch;
+    the result is hash-partitioned into ``buckets`` tasks so each task
+    writes one file into one bucket, and a dynamic partition overwrite swaps
+    in exactly those buckets when the job commits.
+
+    Key checks run inside the write job itself: a row without a key, or a
+    key occurring twice in the merged output (the target's keys are unique,
+    so only a duplicated batch key can do that), raises an error in the task
+    and the job commits nothing. The per-key count runs over data already
+    hash-partitioned by key, so the check adds a sort but no shuffle and no
+    separate pass over the batch. A failed job leaves the table as it was;
+    untouched buckets are never read or written.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 64):
         self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.root)
+        """True once a write has committed: bucket folders are moved in only at
+        job commit, so a failed first write leaves none."""
+        return any(n.startswith(BUCKET_COL + "=") for n, _ in list_dirs(self.spark, self.root))
 
     def read(self) -> DataFrame | None:
         if not self.exists():
             return None
         return self.spark.read.parquet(self.root).drop(BUCKET_COL)
 
-    def touched_buckets(self, batch: DataFrame, unique: bool = True) -> list[int]:
-        """Bucket numbers of the batch's keys; with ``unique`` also proves every
-        row has a key and no key occurs twice (raises otherwise), in the same job."""
-        from wharf.operators.incremental import DuplicateKeyError, NullKeyError
-        k = F.col(self.key)
-        stats = (batch.groupBy(bucket_of(self.key, self.buckets).alias("b"))
-                 .agg(F.count(F.lit(1)).alias("rows"), F.count(k).alias("n"),
-                      F.count_distinct(k).alias("d")).collect())
-        if unique:
-            nulls = sum(r["rows"] - r["n"] for r in stats)
-            if nulls:
-                raise NullKeyError(f"batch holds {nulls} rows without {self.key}")
-            bad = [r["b"] for r in stats if r["n"] != r["d"]]
-            if bad:
-                raise DuplicateKeyError(f"batch holds a key of {self.key} twice (bucket {bad[0]})")
-        return sorted(r["b"] for r in stats if r["n"] > 0)
+    def touched_buckets(self, batch: DataFrame) -> list[int]:
+        """Bucket numbers of the batch's non-NULL keys (one light job)."""
+        b = bucket_of(self.key, self.buckets)
+        rows = batch.where(F.col(self.key).isNotNull()).select(b.alias("b")).distinct().collect()
+        return sorted(r["b"] for r in rows)
 
     def merge(self, batch: DataFrame, merge_fn, unique: bool = True) -> DataFrame:
         """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
-        the new content of the touched buckets. ``unique=False`` when the
-        batch's keys are unique by construction (no check; and no statistics
-        job at all for the first write of the table)."""
-        exists = self.exists()
-        current = None
-        if exists or unique:
-            touched = self.touched_buckets(batch, unique)
-            if exists:
+        the new content of the touched buckets. With ``unique`` the batch must
+        hold every key at most once and no row without a key (checked in the
+        write job; raises ``DuplicateKeyError`` / ``NullKeyError``)."""
+        from pyspark.sql import Window
+        from wharf.operators.incremental import DuplicateKeyError, NullKeyError
+        k = F.col(self.key)
+        if unique:
+            batch = batch.withColumn(self.key, F.when(k.isNull(), F.raise_error(F.lit(NULL_KEY_MSG)))
+                                     .otherwise(k))
+        try:
+            current = None
+            if self.exists():
                 current = (self.spark.read.parquet(self.root)
-                           .where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL))
-        merged = (merge_fn(batch, current)
-                  .repartition(self.buckets, F.col(self.key))
-                  .withColumn(BUCKET_COL, bucket_of(self.key, self.buckets)))
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET_COL).parquet(self.root))
+                           .where(F.col(BUCKET_COL).isin(self.touched_buckets(batch)))
+                           .drop(BUCKET_COL))
+            merged = merge_fn(batch, current).repartition(self.buckets, k)
+            if unique:
+                per_key = F.count(F.lit(1)).over(Window.partitionBy(self.key))
+                merged = merged.withColumn(
+                    self.key, F.when(per_key > 1, F.raise_error(F.lit(DUPLICATE_KEY_MSG))).otherwise(k))
+            merged = merged.withColumn(BUCKET_COL, bucket_of(self.key, self.buckets))
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET_COL).parquet(self.root))
+        except Exception as e:  # noqa: BLE001 - translate the in-task key checks
+            text = str(e)
+            if DUPLICATE_KEY_MSG in text:
+                raise DuplicateKeyError(f"batch holds a key of {self.key} twice") from None
+            if NULL_KEY_MSG in text:
+                raise NullKeyError(f"batch holds rows without {self.key}") from None
+            raise
         return self.read()
