@@ -182,3 +182,12 @@ def test_control_diff(spark):
     got = {r["metric"]: (r["before_value"], r["after_value"], r["matches"])
            for r in chk.control_diff(before, after, ["cents"]).collect()}
     assert got == {"rows_count": (2, 2, True), "cents_sum": (350, 349, False)}
+
+
+def test_load_with_totals_observes_during_write(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 100), (2, 250), (3, None)], "id int, cents long")
+    before = chk.load_with_totals(df, f"{tmp_dir}/t", ["cents"])
+    assert before == {"rows_count": 3, "cents_sum": 350}
+    got = {r["metric"]: r["matches"] for r in
+           chk.control_diff_loaded(spark, before, spark.read.parquet(f"{tmp_dir}/t"), ["cents"]).collect()}
+    assert got == {"rows_count": True, "cents_sum": True}

@@ -131,19 +131,46 @@ def reconcile(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     return out
 
 
-def control_diff(before: DataFrame, after: DataFrame, sum_cols) -> DataFrame:
-    """Control totals (row count and column sums) of the same data before
-    and after a load, one row per metric with both values and whether they
-    agree. Each side is one aggregation pass; the comparison is on two rows."""
+def _totals_long(df: DataFrame, sum_cols, side: str) -> DataFrame:
     from wharf.operators.aggregates import control_totals
     metrics = ["rows_count"] + [f"{c}_sum" for c in sum_cols]
     pairs = ", ".join(f"'{m}', CAST(`{m}` AS BIGINT)" for m in metrics)
-    def long(df, side):
-        return (control_totals(df, sum_cols)
-                .selectExpr(f"stack({len(metrics)}, {pairs}) AS (metric, value)")
-                .withColumn("side", F.lit(side)))
-    both = long(before, "before").unionByName(long(after, "after"))
+    return (control_totals(df, sum_cols)
+            .selectExpr(f"stack({len(metrics)}, {pairs}) AS (metric, value)")
+            .withColumn("side", F.lit(side)))
+
+
+def _compare(both: DataFrame) -> DataFrame:
     out = both.groupBy("metric").agg(
         F.max(F.when(F.col("side") == "before", F.col("value"))).alias("before_value"),
         F.max(F.when(F.col("side") == "after", F.col("value"))).alias("after_value"))
     return out.withColumn("matches", F.col("before_value").eqNullSafe(F.col("after_value")))
+
+
+def control_diff(before: DataFrame, after: DataFrame, sum_cols) -> DataFrame:
+    """Control totals (row count and column sums) of the same data before
+    and after a load, one row per metric with both values and whether they
+    agree. Each side is one aggregation pass; the comparison is on two rows."""
+    return _compare(_totals_long(before, sum_cols, "before")
+                    .unionByName(_totals_long(after, sum_cols, "after")))
+
+
+def load_with_totals(df: DataFrame, path: str, sum_cols, name: str = "load_totals") -> dict:
+    """Append ``df`` to the parquet table at ``path`` and return its control
+    totals, measured by ``DataFrame.observe`` while the rows are written: no
+    second pass over the source."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows_count"),
+                          *[F.sum(c).alias(f"{c}_sum") for c in sum_cols])
+    observed.write.mode("append").parquet(path)
+    return obs.get
+
+
+def control_diff_loaded(spark, before: dict, after: DataFrame, sum_cols) -> DataFrame:
+    """``control_diff`` with the before-side totals already measured (see
+    ``load_with_totals``); they are a handful of values."""
+    metrics = ["rows_count"] + [f"{c}_sum" for c in sum_cols]
+    rows = [(m, None if before.get(m) is None else int(before[m]), "before") for m in metrics]
+    b = spark.createDataFrame(rows, "metric string, value bigint, side string")
+    return _compare(b.unionByName(_totals_long(after, sum_cols, "after")))

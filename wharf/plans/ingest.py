@@ -245,10 +245,9 @@ SELECT 'real_currency_amount_centum_sum', CAST(sum(c) AS BIGINT), CAST(sum(c) AS
 """)
 def q_control_diff_events(spark, sf_dir):
     """Repaired events loaded into a parquet table; totals before the load
-    (from the parsed text) against totals read back from the table."""
-    from wharf.operators.checks import control_diff
-    from wharf.sources.tables import append
-    before = q_repaired_events(spark, sf_dir)
+    are observed while the rows are written, totals after are read back."""
+    from wharf.operators.checks import control_diff_loaded, load_with_totals
+    cols = ["real_currency_amount_centum"]
     path = work_dir(spark, "loaded-events")
-    append(before, path)
-    return control_diff(before, spark.read.parquet(path), ["real_currency_amount_centum"])
+    before = load_with_totals(q_repaired_events(spark, sf_dir), path, cols)
+    return control_diff_loaded(spark, before, spark.read.parquet(path), cols)
