@@ -80,3 +80,20 @@ def test_bucketed_merge_key_checks_on_existing_table(spark, tmp_dir):
     with pytest.raises(DuplicateKeyError):
         t.merge(spark.createDataFrame([("a", 5), ("a", 6)], "k string, v int"), lambda s, c: upsert(c, s, "k"))
     assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [("a", 1), ("b", 2)]   # unchanged
+
+
+def test_bucketed_watermark_tracked_during_writes(spark, tmp_dir):
+    import datetime as dt
+    t = tb.BucketedTable(spark, f"{tmp_dir}/bt5", "k", buckets=4)
+    ts = lambda d: dt.datetime(2024, 1, d)
+    first = spark.createDataFrame([("a", ts(1)), ("b", ts(3))], "k string, stamp timestamp_ntz")
+    t.merge(first, lambda s, c: upsert(c, s, "k"), track_max="stamp")
+    assert t.watermark("stamp") == ts(3)
+    # a later batch touching only some buckets: the mark is the max over the whole table
+    t.merge(spark.createDataFrame([("a", ts(2))], "k string, stamp timestamp_ntz"),
+            lambda s, c: upsert(c, s, "k"), track_max="stamp")
+    assert t.watermark("stamp") == ts(3)
+    t.merge(spark.createDataFrame([("c", ts(5))], "k string, stamp timestamp_ntz"),
+            lambda s, c: upsert(c, s, "k"), track_max="stamp")
+    assert t.watermark("stamp") == ts(5) == t.read().agg(F.max("stamp")).first()[0]
+    assert sorted(t.read().columns) == ["k", "stamp"]          # the mark folder is not table data

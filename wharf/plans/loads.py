@@ -198,9 +198,13 @@ def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 8,
         cb_clean = pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem))
         cb = cb_t.merge(cb_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False))
         if with_fact:
-            changed = pay.fact_changes(acc, cb, ts, fact_t.read(), backfill_days=backfill_days)
+            fact_now = fact_t.read()
+            mark = fact_t.watermark("source_dw_modified_at") if fact_now is not None else None
+            changed = pay.fact_changes(acc, cb, ts, fact_now, backfill_days=backfill_days,
+                                       mark=mark or pay.DEFAULT_SOURCE_MARK)
             # ids are unique by construction: staging ids left-joined to unique chargeback ids
-            fact_t.merge(changed, lambda src, cur: pay.merge_fact(src, cur), unique=False)
+            fact_t.merge(changed, lambda src, cur: pay.merge_fact(src, cur), unique=False,
+                         track_max="source_dw_modified_at")
     return acc_t.read(), cb_t.read(), fact_t.read()
 
 

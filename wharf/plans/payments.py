@@ -104,13 +104,15 @@ def join_payments(acceptance: DataFrame, chargeback: DataFrame) -> DataFrame:
 
 def fact_changes(acceptance: DataFrame, chargeback: DataFrame, run_ts,
                  fact: DataFrame | None = None, run_date=None,
-                 backfill_days: int | None = 0) -> DataFrame:
+                 backfill_days: int | None = 0, mark=None) -> DataFrame:
     """New fact rows for this run. With an existing ``fact``: restrict both
     staged inputs to the changed ids (each side read in full for those ids,
     so an unchanged side is not mistaken for a missing one), then join.
-    Without: all rows (full build)."""
+    Without: all rows (full build). ``mark`` is the fact's newest
+    ``source_dw_modified_at`` if already known (else it is computed)."""
     if fact is not None:
-        mark = fact_mark(fact)
+        if mark is None:
+            mark = fact_mark(fact)
         ids = changed_ids(acceptance, chargeback, mark,
                           run_date=run_date or dt.date.fromisoformat(str(run_ts)[:10]),
                           backfill_days=backfill_days)

@@ -206,23 +206,44 @@ class BucketedTable:
             return None
         return self.spark.read.parquet(self.root).drop(BUCKET_COL)
 
+    def _mark_path(self, col: str) -> str:
+        return f"{self.root}/_watermark_{col}"
+
+    def watermark(self, col: str):
+        """Newest ``col`` in the table, or None when empty. Kept up to date by
+        ``merge(..., track_max=col)`` in a one-row folder (names starting with
+        '_' are not part of the table for Spark's reader); if that is missing,
+        the column is scanned."""
+        if not self.exists():
+            return None
+        if path_exists(self.spark, self._mark_path(col)):
+            return self.spark.read.parquet(self._mark_path(col)).first()["m"]
+        return self.read().agg(F.max(col).alias("m")).first()["m"]
+
     def touched_buckets(self, batch: DataFrame) -> list[int]:
         """Bucket numbers of the batch's non-NULL keys (one light job)."""
         b = bucket_of(self.key, self.buckets)
         rows = batch.where(F.col(self.key).isNotNull()).select(b.alias("b")).distinct().collect()
         return sorted(r["b"] for r in rows)
 
-    def merge(self, batch: DataFrame, merge_fn, unique: bool = True) -> DataFrame:
+    def merge(self, batch: DataFrame, merge_fn, unique: bool = True,
+              track_max: str | None = None) -> DataFrame:
         """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
         the new content of the touched buckets. With ``unique`` the batch must
         hold every key at most once and no row without a key (checked in the
-        write job; raises ``DuplicateKeyError`` / ``NullKeyError``)."""
+        write job; raises ``DuplicateKeyError`` / ``NullKeyError``).
+
+        ``track_max`` names a column that never decreases for a key (a change
+        stamp): its maximum over the written rows is observed during the write
+        and combined with the previous watermark, so ``watermark`` needs no
+        scan of the table."""
         from pyspark.sql import Window
         from wharf.operators.incremental import DuplicateKeyError, NullKeyError
         k = F.col(self.key)
         if unique:
             batch = batch.withColumn(self.key, F.when(k.isNull(), F.raise_error(F.lit(NULL_KEY_MSG)))
                                      .otherwise(k))
+        previous = self.watermark(track_max) if track_max else None
         try:
             current = None
             if self.exists():
@@ -235,6 +256,11 @@ class BucketedTable:
                 merged = merged.withColumn(
                     self.key, F.when(per_key > 1, F.raise_error(F.lit(DUPLICATE_KEY_MSG))).otherwise(k))
             merged = merged.withColumn(BUCKET_COL, bucket_of(self.key, self.buckets))
+            obs = None
+            if track_max:
+                from pyspark.sql import Observation
+                obs = Observation(f"max_{track_max}")
+                merged = merged.observe(obs, F.max(track_max).alias("m"))
             (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BUCKET_COL).parquet(self.root))
         except Exception as e:  # noqa: BLE001 - translate the in-task key checks
@@ -244,4 +270,11 @@ class BucketedTable:
             if NULL_KEY_MSG in text:
                 raise NullKeyError(f"batch holds rows without {self.key}") from None
             raise
+        if track_max:
+            seen = obs.get.get("m")
+            marks = [m for m in (previous, seen) if m is not None]
+            if marks:
+                dtype = self.spark.read.parquet(self.root).schema[track_max].dataType.simpleString()
+                (self.spark.createDataFrame([(max(marks),)], f"m {dtype}")
+                 .write.mode("overwrite").parquet(self._mark_path(track_max)))
         return self.read()
