@@ -97,3 +97,12 @@ def test_bucketed_watermark_tracked_during_writes(spark, tmp_dir):
             lambda s, c: upsert(c, s, "k"), track_max="stamp")
     assert t.watermark("stamp") == ts(5) == t.read().agg(F.max("stamp")).first()[0]
     assert sorted(t.read().columns) == ["k", "stamp"]          # the mark folder is not table data
+
+
+def test_bucketed_watermark_falls_back_to_scan(spark, tmp_dir):
+    import datetime as dt
+    t = tb.BucketedTable(spark, f"{tmp_dir}/bt6", "k", buckets=4)
+    t.merge(spark.createDataFrame([("a", dt.datetime(2024, 1, 4))], "k string, stamp timestamp_ntz"),
+            lambda s, c: upsert(c, s, "k"), track_max="stamp")
+    tb.delete_path(spark, t._mark_path("stamp"))              # e.g. lost between two jobs
+    assert t.watermark("stamp") == dt.datetime(2024, 1, 4)
