@@ -1,12 +1,15 @@
 """Table helpers on plain parquet folders.
 
-* ``VersionedTable``: a folder of versions ``v=00000001`` …; a version is
-  readable once Spark wrote its ``_SUCCESS`` marker, and the newest such
-  version is the table. Upserts write the next version from the current
-  one, so a table is never overwritten while it is being read, and a
-  failed job leaves the previous version in place.
+* ``BucketedTable``: partitioned by a hash bucket of its key; upserts read
+  and rewrite only the buckets their keys touch, check keys inside the write
+  job, and keep a watermark of a change stamp without scanning the table.
+* ``VersionedTable`` (``replace_table``): a folder of versions
+  ``v=00000001`` …; a version is readable once Spark wrote its ``_SUCCESS``
+  marker, and the newest such version is the table, so a table can be
+  replaced by a plan that reads it, and a failed job leaves the previous
+  version in place.
 * Date-partitioned tables restated over a rolling window of days.
-* Create-if-absent, append by column name, temp views.
+* Create-if-absent, append by column name, drop, temp views.
 
 File-system calls go through Hadoop's FileSystem API, so the same code
 works on HDFS, object stores and local disk.
