@@ -191,3 +191,11 @@ def test_load_with_totals_observes_during_write(spark, tmp_dir):
     got = {r["metric"]: r["matches"] for r in
            chk.control_diff_loaded(spark, before, spark.read.parquet(f"{tmp_dir}/t"), ["cents"]).collect()}
     assert got == {"rows_count": True, "cents_sum": True}
+
+
+def test_profile_approx_option(spark):
+    df = spark.range(2000).select((F.col("id") % 500).alias("a"), F.lit("x").alias("b"))
+    exact = agg.profile(df, ["a", "b"]).first()
+    approx = agg.profile(df, ["a", "b"], approx=True).first()
+    assert exact["a_distinct_count"] == 500 and approx["b_distinct_count"] == 1
+    assert abs(approx["a_distinct_count"] - 500) <= 25          # HyperLogLog, default 5 % error
