@@ -91,3 +91,36 @@ def test_spender_flag_hot_user(spark):
     for _, u, a in rows:
         spender[u] = spender.get(u, False) or a > 0
     assert got == {i: spender[u] for i, u, _ in rows}     # NULL users form one group, as in SQL
+
+
+def test_aqe_splits_hot_key_in_join_back(spark):
+    """With broadcasts off and small skew thresholds (standing in for a big
+    cluster), AQE splits the hot (user, day) partition of the join back."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rnd = random.Random(1)
+        rows = [(i, "hot" if i % 3 == 0 else f"u{rnd.randint(0, 200)}",
+                 dt.date(2023, 1, 1) + dt.timedelta(days=rnd.randint(0, 3))) for i in range(30000)]
+        out = win.prev_days_count(spark.createDataFrame(rows, "id int, user_id string, day date"),
+                                  "user_id", "day")
+        got = {r["id"]: r["trans_prev_7d"] for r in out.collect()}
+        assert len(got) == len(rows)
+        assert "SortMergeJoin(skew=true)" in plan(out)
+        hot_first_day = [i for i, u, d in rows if u == "hot" and d == dt.date(2023, 1, 2)]
+        expect = sum(1 for _, u, d in rows if u == "hot" and d == dt.date(2023, 1, 1))
+        assert all(got[i] == expect for i in hot_first_day)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
