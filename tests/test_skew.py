@@ -1,5 +1,6 @@
 """One key holding a third of all rows: results stay whole and exact, and
 the hot key is combined or limited before it is shuffled or joined."""
+import contextlib
 import datetime as dt
 import random
 
@@ -93,20 +94,35 @@ def test_spender_flag_hot_user(spark):
     assert got == {i: spender[u] for i, u, _ in rows}     # NULL users form one group, as in SQL
 
 
-def test_aqe_splits_hot_key_in_join_back(spark):
-    """With broadcasts off and small skew thresholds (standing in for a big
-    cluster), AQE splits the hot (user, day) partition of the join back."""
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.shuffle.partitions": "16"}
-    old = {k: spark.conf.get(k, None) for k in conf}
+SKEW_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.shuffle.partitions": "16"}
+
+
+@contextlib.contextmanager
+def cluster_like_skew_settings(spark):
+    """Broadcasts off and small skew thresholds, standing in for a big
+    cluster's sizes on a small fixture; restores the session afterwards."""
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     try:
-        for k, v in conf.items():
+        for k, v in SKEW_CONF.items():
             spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_aqe_splits_hot_key_in_join_back(spark):
+    """AQE splits the hot (user, day) partition of the 7-day count's join back."""
+    with cluster_like_skew_settings(spark):
         rnd = random.Random(1)
         rows = [(i, "hot" if i % 3 == 0 else f"u{rnd.randint(0, 200)}",
                  dt.date(2023, 1, 1) + dt.timedelta(days=rnd.randint(0, 3))) for i in range(30000)]
@@ -118,9 +134,14 @@ def test_aqe_splits_hot_key_in_join_back(spark):
         hot_first_day = [i for i, u, d in rows if u == "hot" and d == dt.date(2023, 1, 2)]
         expect = sum(1 for _, u, d in rows if u == "hot" and d == dt.date(2023, 1, 1))
         assert all(got[i] == expect for i in hot_first_day)
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+
+
+def test_aqe_splits_hot_user_in_spender_flag(spark):
+    """The per-user spender flag joins back null-safely; the hot user is split."""
+    with cluster_like_skew_settings(spark):
+        rows = [(i, "hot" if i % 3 == 0 else f"u{i % 300}", 100 if i % 11 == 0 else 0) for i in range(30000)]
+        ev = spark.createDataFrame(rows, "id int, user_id string, real_currency_amount_centum int")
+        out = with_spender_flag(ev)
+        got = out.collect()
+        assert len(got) == len(rows) and all(r["user_is_spender"] for r in got if r["user_id"] == "hot")
+        assert "SortMergeJoin(skew=true)" in plan(out)
