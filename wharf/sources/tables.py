@@ -192,8 +192,10 @@ class BucketedTable:
     so only a duplicated batch key can do that), raises an error in the task
     and the job commits nothing. The per-key count runs over data already
     hash-partitioned by key, so the check adds a sort but no shuffle and no
-    separate pass over the batch. A failed job leaves the table as it was;
-    untouched buckets are never read or written.
+    separate pass over the batch. A job that fails before its commit leaves
+    the table as it was (the commit moves the touched bucket folders one by
+    one, so it is not atomic across buckets); untouched buckets are never
+    read or written.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 64):
