@@ -106,3 +106,14 @@ def test_bucketed_watermark_falls_back_to_scan(spark, tmp_dir):
             lambda s, c: upsert(c, s, "k"), track_max="stamp")
     tb.delete_path(spark, t._mark_path("stamp"))              # e.g. lost between two jobs
     assert t.watermark("stamp") == dt.datetime(2024, 1, 4)
+
+
+def test_bucketed_merge_all_buckets_same_result(spark, tmp_dir):
+    a = tb.BucketedTable(spark, f"{tmp_dir}/ab1", "k", buckets=4)
+    b = tb.BucketedTable(spark, f"{tmp_dir}/ab2", "k", buckets=4)
+    first = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v"))
+    change = spark.createDataFrame([("3", 1), ("new", 2)], "k string, v int")
+    for t, full in ((a, False), (b, True)):
+        t.merge(first, lambda s, c: upsert(c, s, "k"))
+        t.merge(change, lambda s, c: upsert(c, s, "k"), all_buckets=full)
+    assert sorted(map(tuple, a.read().collect())) == sorted(map(tuple, b.read().collect()))

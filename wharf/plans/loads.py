@@ -194,9 +194,13 @@ def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int = 8,
         # staging materialises every column, including the per-row rates JSON
         # parse: spread a seed read as fewer splits than cores (no-op at scale)
         acc_clean = pay.clean_acceptance(spread(si.acceptance_seed(spark, sf_dir, orders)))
-        acc = acc_t.merge(acc_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False))
+        acc = acc_t.merge(  # seeds are full snapshots: every bucket is touched
+            acc_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False),
+            all_buckets=True)
         cb_clean = pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem))
-        cb = cb_t.merge(cb_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False))
+        cb = cb_t.merge(  # seeds are full snapshots: every bucket is touched
+            cb_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False),
+            all_buckets=True)
         if with_fact:
             fact_now = fact_t.read()
             mark = fact_t.watermark("source_dw_modified_at") if fact_now is not None else None

@@ -232,7 +232,7 @@ class BucketedTable:
         return sorted(r["b"] for r in rows)
 
     def merge(self, batch: DataFrame, merge_fn, unique: bool = True,
-              track_max: str | None = None) -> DataFrame:
+              track_max: str | None = None, all_buckets: bool = False) -> DataFrame:
         """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
         the new content of the touched buckets. With ``unique`` the batch must
         hold every key at most once and no row without a key (checked in the
@@ -241,7 +241,11 @@ class BucketedTable:
         ``track_max`` names a column that never decreases for a key (a change
         stamp): its maximum over the written rows is observed during the write
         and combined with the previous watermark, so ``watermark`` needs no
-        scan of the table."""
+        scan of the table.
+
+        ``all_buckets`` skips listing the touched buckets when the batch is a
+        full snapshot that touches every bucket anyway (rows of an untouched
+        bucket would pass through the merge unchanged)."""
         from pyspark.sql import Window
         from wharf.operators.incremental import DuplicateKeyError, NullKeyError
         k = F.col(self.key)
@@ -252,9 +256,10 @@ class BucketedTable:
         try:
             current = None
             if self.exists():
-                current = (self.spark.read.parquet(self.root)
-                           .where(F.col(BUCKET_COL).isin(self.touched_buckets(batch)))
-                           .drop(BUCKET_COL))
+                current = self.spark.read.parquet(self.root)
+                if not all_buckets:
+                    current = current.where(F.col(BUCKET_COL).isin(self.touched_buckets(batch)))
+                current = current.drop(BUCKET_COL)
             merged = merge_fn(batch, current).repartition(self.buckets, k)
             if unique:
                 per_key = F.count(F.lit(1)).over(Window.partitionBy(self.key))
