@@ -170,7 +170,7 @@ def _stars(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     as their signatures allow."""
     degree = members.groupBy("node").agg(F.count("*").alias("degree"))
     ranked = members.join(degree, "node")
-    hub = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"))
+    hub = materialise(ranked.groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("hub")), "near-hubs")
     pairs = (members.join(hub, "bucket").where("node <> hub")
              .select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct())
     sig = nodes.select("node", "sig")
@@ -213,7 +213,7 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
     known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = [F.count("*").alias("n"), F.min("root").alias("a"), F.max("root").alias("b")]
     # a bucket of two is settled by its star
-    open_ = known.groupBy("bucket").agg(*several).where("n > 2 and a <> b").select("bucket")
+    open_ = materialise(known.groupBy("bucket").agg(*several).where("n > 2 and a <> b").select("bucket"), "near-buckets")
     left = materialise(known.join(open_, "bucket", "left_semi"), "near-open")
     alone = (sets.join(left.select("node").distinct(), "node", "left_semi")
              .select("node", F.explode("shingles").alias("shingle"))
@@ -221,11 +221,11 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
              .groupBy("node").agg(F.count("*").alias("own")))
     nodes = nodes.join(alone, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     left = left.join(nodes.select("node", "size", "own"), "node")
-    fewest = left.groupBy("bucket").agg(F.min("own").alias("fewest"))
+    fewest = materialise(left.groupBy("bucket").agg(F.min("own").alias("fewest")), "near-fewest")
     left = materialise(left.join(fewest, "bucket").where(
         (100 * (F.col("size") - F.col("own")) >= percent * (F.col("size") + F.col("fewest")))), "near-left")
-    blocks = (left.groupBy("bucket").agg(*several).where("a <> b")
-              .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    blocks = materialise(left.groupBy("bucket").agg(*several).where("a <> b")
+                         .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "near-blocks")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (left.join(blocks, "bucket").withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -255,8 +255,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     signed = materialise(own.mapInArrow(_sign(shingle, bands * rows, seed),
                                         "id long, node binary, size long, sig array<int>"), "near-signed")
-    shared = (_buckets(signed, bands, rows).groupBy("bucket")
-              .agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("bucket"))
+    # written before it is joined back, here and below, so that AQE can split a bucket's rows
+    shared = materialise(_buckets(signed, bands, rows).groupBy("bucket")
+                         .agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("bucket"),
+                         "near-shared")
     members = materialise(_buckets(signed, bands, rows).join(shared, "bucket", "left_semi").distinct(),
                           "near-members")
     nodes = materialise(signed.join(members.select("node").distinct(), "node", "left_semi")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wharf.llm.licences import KNOWN, SPELLINGS
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -105,3 +107,80 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_
 FROM dw d LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
 """
+
+TOOL_CALLS = """
+WITH RECURSIVE u AS (
+  SELECT conv_id, turn, length(text) AS n, to_json(text)::VARCHAR AS quoted, 'call_' || conv_id || '_' || turn AS call_id
+  FROM conversations WHERE role = 'user'),
+c AS (
+  SELECT conv_id, turn, call_id, n,
+         CASE WHEN n % 29 = 0 THEN 'paint' WHEN n % 3 = 0 THEN 'search' WHEN n % 3 = 1 THEN 'fetch' ELSE 'note' END AS tool,
+         n % 3 = 2 AND n % 13 = 0 AS broken,
+         CASE WHEN n % 3 = 0 THEN '{"limit":' || CASE WHEN n % 7 = 0 THEN '"' || n || '"' ELSE n::VARCHAR END
+                || ',"query":' || quoted || '}'
+              WHEN n % 3 = 1 THEN CASE WHEN n % 5 = 0 THEN '{' ELSE '{"depth":' || n || ',' END || '"url":' || quoted || '}'
+              WHEN n % 2 = 0 THEN '{"colour":1,"text":' || quoted || '}'
+              ELSE '{"pinned":true,"text":' || quoted || '}' END AS canonical,
+         CASE WHEN turn % 3 <> 0 THEN 'call_' || conv_id || '_' || (turn - 2) END AS a,
+         CASE WHEN turn % 5 = 4 THEN 'call_' || conv_id || '_' || (turn + 2) END AS b FROM u),
+e AS (
+  SELECT d.call_id, d.dep FROM (SELECT call_id, a AS dep FROM c UNION SELECT call_id, b FROM c) d
+  JOIN c ON c.call_id = d.dep),
+walk AS (
+  SELECT call_id, 0 AS level FROM c
+  UNION SELECT e.call_id, level + 1 FROM walk JOIN e ON e.dep = walk.call_id WHERE level < 64),
+lv AS (SELECT call_id, CASE WHEN max(level) < 64 THEN max(level) END AS level FROM walk GROUP BY call_id),
+placed AS (
+  SELECT c.*, level, CASE WHEN level IS NOT NULL THEN row_number() OVER (
+           PARTITION BY conv_id, level IS NULL ORDER BY level, turn // 256, turn, call_id) - 1 END AS place
+  FROM c JOIN lv USING (call_id)),
+r AS (SELECT 'call_' || conv_id || '_' || (turn - 1) AS of_, text AS content FROM conversations WHERE role = 'assistant')
+SELECT conv_id, turn, coalesce(call_id, of_) AS call_id, tool, level, place,
+       CASE WHEN call_id IS NULL THEN 'orphan' WHEN level IS NULL THEN 'cycle' WHEN of_ IS NOT NULL THEN 'linked'
+            ELSE 'unanswered' END AS status,
+       CASE WHEN call_id IS NULL THEN NULL WHEN tool = 'paint' THEN ['unknown tool'] WHEN broken THEN ['not JSON']
+            WHEN tool = 'search' AND n % 7 = 0 THEN ['limit: not integer']
+            WHEN tool = 'fetch' AND n % 5 = 0 THEN ['depth: missing']
+            WHEN tool = 'note' AND n % 2 = 0 THEN ['colour: unknown'] ELSE [] END AS problems,
+       CASE WHEN call_id IS NOT NULL THEN '{"arguments":' || CASE WHEN broken THEN 'null' ELSE canonical END
+         || ',"id":"' || call_id || '","name":"' || tool || '","result":' || coalesce(to_json(content)::VARCHAR, 'null')
+         || '}' END AS message
+FROM placed FULL JOIN r ON call_id = of_
+"""
+
+
+def _same_spelling(padded: str) -> str:
+    for other, usual in SPELLINGS.items():
+        padded = f"replace({padded}, ' {other} ', ' {usual} ')"
+    return padded
+
+
+def _canonical(rows: str) -> str:
+    """SQL for (id, lines) of the (id, text) rows: canonical lines without those of copyright holders."""
+    one = _same_spelling("' ' || trim(x) || ' '")
+    holder = "^(copyright|c) ((c )?[0-9]|by |the |all rights)|^all rights reserved$"
+    return f"""(SELECT id, list_transform(list_filter(string_split(regexp_replace(lower(coalesce(text, '')),
+               '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)), lambda x: NOT regexp_matches(trim(x), '{holder}')),
+               lambda x: trim({one})) AS lines FROM {rows})"""
+
+
+_KNOWN_ROWS = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in KNOWN)
+LICENCE_SCAN = f"""
+WITH known AS (
+  SELECT trim(array_to_string(list_filter(lines, lambda x: x <> ''), ' ')) AS canon, min(id) AS licence
+  FROM {_canonical(f"(SELECT * FROM (VALUES {_KNOWN_ROWS}) AS v(id, text))")} GROUP BY 1),
+d AS (SELECT id, lines FROM {_canonical("(SELECT doc_id AS id, text FROM documents)")}),
+units AS (
+  SELECT id, 'whole' AS unit, trim(array_to_string(list_filter(lines, lambda x: x <> ''), ' ')) AS canon FROM d
+  UNION ALL
+  SELECT id, 'block', trim(replace(unnest(regexp_split_to_array(array_to_string(lines, chr(10)), '\n\n+')), chr(10), ' '))
+  FROM d
+  UNION ALL
+  SELECT id, 'line', unnest(lines) FROM d),
+m AS (
+  SELECT id, max(licence) FILTER (WHERE unit = 'whole') AS whole, list_sort(list(DISTINCT licence)) AS licences,
+         count(*) AS n FROM units JOIN known USING (canon) WHERE canon <> '' GROUP BY id),
+n AS (SELECT id, count(*) FILTER (WHERE canon <> '') AS n_units FROM units GROUP BY id)
+SELECT d.id AS doc_id, whole, coalesce(array_to_string(licences, ','), '') AS licences, coalesce(m.n, 0) AS n_matches, n_units
+FROM d LEFT JOIN m USING (id) LEFT JOIN n USING (id)
+"""

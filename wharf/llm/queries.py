@@ -11,11 +11,53 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wharf.llm import decontamination, exact_dedup, line_dedup, mixing, near_dedup, sharding
-from wharf.llm import oracles
-from wharf.llm.common import count_words, read
+from wharf.llm import (decontamination, exact_dedup, licences, line_dedup, mixing, near_dedup, oracles, quality,
+                       sharding, token_counts, tool_calls)
+from wharf.llm.common import count_words, materialise, read
 
 SHARDS = 24
+#: What a redaction pass takes out of the texts whose tokens op7 counts: e-mail addresses and long numbers.
+REDACTED = r"(?<![\w.+-])[\w.+-]++@[\w.-]+|(?<!\d)\d(?:[ -]?\d){6,}"
+#: Schemas of the tools that op1's calls name.
+TOOLS = {"search": {"query": ("string", True), "limit": ("integer", False)},
+         "fetch": {"url": ("string", True), "depth": ("integer", True)},
+         "note": {"text": ("string", True), "pinned": ("boolean", False)}}
+
+
+def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tool calls and results read out of the given turns, which have none of
+    their own: a user's turn is a call whose arguments hold its text (with
+    missing, ill-typed and unknown fields and an unknown tool by rules on its
+    length), an assistant's turn the result of the turn before. A call depends on
+    the call two turns back, some also on the one two turns on, which makes cycles."""
+    name = lambda turn: F.concat(F.lit("call_"), F.col("conv_id"), F.lit("_"), turn)
+    n, turn = F.length("text"), F.col("turn")
+    quoted = F.to_json(F.array("text"))
+    quoted = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    tool = F.when(n % 29 == 0, "paint").when(n % 3 == 0, "search").when(n % 3 == 1, "fetch").otherwise("note")
+    arguments = (F.when(n % 3 == 0, F.concat(F.lit('{ "query": '), quoted, F.lit(', "limit" : '), F.when(
+        n % 7 == 0, F.concat(F.lit('"'), n, F.lit('"'))).otherwise(n.cast("string")), F.lit("}")))
+        .when(n % 3 == 1, F.concat(F.lit('{"url": '), quoted, F.when(n % 5 == 0, "").otherwise(
+            F.concat(F.lit(', "depth": '), n)), F.lit(" }")))
+        .otherwise(F.concat(F.lit('{"text": '), quoted, F.when(n % 2 == 0, ', "colour": 1').otherwise(
+            ', "pinned": true'), F.when(n % 13 == 0, "").otherwise("}"))))
+    depends = F.filter(F.array(F.when(turn % 3 != 0, name(turn - 2)), F.when(turn % 5 == 4, name(turn + 2))),
+                       lambda x: x.isNotNull())
+    calls = conversations.where("role = 'user'").select(
+        "conv_id", "turn", name(turn).alias("call_id"), tool.alias("tool"), arguments.alias("arguments"),
+        depends.alias("depends_on"))
+    results = conversations.where("role = 'assistant'").select(
+        name(turn - 1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link(*conversation_calls(read(spark, sf_dir, "conversations")), TOOLS)
+
+
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(read(spark, sf_dir, "documents"))
+    return found.withColumn("licences", F.array_join("licences", ","))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +88,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trees = materialise(token_counts.build_trees(read(spark, sf_dir, "documents")), "token-trees")
+    edited = token_counts.apply_edits(trees, pattern=REDACTED, replacement="<x>")
+    return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_leaves", "n_encoded")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return (decontamination.mark_benchmark(docs, read(spark, sf_dir, "benchmark"))
@@ -58,10 +110,14 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_tool_calls": (op1_tool_calls, oracles.TOOL_CALLS),
+    "op2_licence_scan": (op2_licence_scan, oracles.LICENCE_SCAN),
     "op3_mixing": (op3_mixing, oracles.MIXING),
     "op4_sharding": (op4_sharding, None),
     "op5_exact_dedup": (op5_exact_dedup, oracles.EXACT_DEDUP),
     "op6_line_dedup": (op6_line_dedup, oracles.LINE_DEDUP),
+    "op7_token_counts": (op7_token_counts, None),
+    "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, oracles.DECONTAMINATION),
     "op10_near_dedup": (op10_near_dedup, oracles.NEAR_DEDUP),
 }
