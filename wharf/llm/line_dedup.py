@@ -11,15 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wharf.llm.common import SPACE, ascii_lower, materialise, pack, unpack
+from wharf.llm.common import ascii_lower, materialise, pack, unpack
 
 MIN_DOCS = 10
 MIN_CHARS = 1
+STRIPPED = " \t\n\x0b\x0c\r"
 
 
-def line_key(line: Column) -> Column:
-    """White space stripped at both ends, A-Z lower-cased."""
-    return ascii_lower(F.regexp_replace(line, f"^{SPACE}+|{SPACE}+$", ""))
+def line_keys(text: Column) -> Column:
+    """Keys of a text's lines: A-Z lower-cased, white space stripped at both ends."""
+    return F.transform(F.split(ascii_lower(text), "\n", -1), lambda x: F.trim(x, F.lit(STRIPPED)))
 
 
 def digest(text: Column) -> Column:
@@ -36,12 +37,14 @@ def drop_common_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_D
     line shorter than ``min_chars`` as a key always stays. Empty table: no rows.
     Columns named like an added one give way to it.
     """
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    keys = F.transform(lines, lambda x: F.when(F.length(line_key(x)) >= min_chars, digest(line_key(x))))
+    keys = F.transform(line_keys(F.coalesce(F.col(text), F.lit(""))),
+                       lambda x: F.when(F.length(x) >= min_chars, digest(x)))
     base = materialise(pack(docs, row=F.monotonically_increasing_id(), keys=keys), "line-dedup")
-    common = (base.select(F.explode(F.array_distinct("keys")).alias("k")).where("k is not null")
-              .groupBy("k.a", "k.b").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
-              .select("a", "b"))
+    # written, so that the join below has the lines' shuffle to itself and AQE can split a common line
+    common = materialise(
+        base.select(F.explode(F.array_distinct("keys")).alias("k")).where("k is not null")
+        .groupBy("k.a", "k.b").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
+        .select("a", "b"), "line-dedup-common")
     gone = (base.select("row", F.posexplode("keys").alias("at", "k"))
             .select("row", "at", "k.a", "k.b").join(common, ["a", "b"], "left_semi")
             .groupBy("row").agg(F.collect_list("at").alias("gone")))
