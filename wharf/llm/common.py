@@ -13,15 +13,25 @@ SPACE = "[\\x20\\x09-\\x0D]"                    # the white space of the word an
 NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000                               # documents handed to a Python worker at a time
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
     Later passes then see the same rows and row numbers whatever executors
-    are lost meanwhile, and do not repeat the work above.
+    are lost meanwhile, and do not repeat the work above. Python stages get
+    smaller batches meanwhile, since a row may hold a long text.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    usual = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, min(int(usual), BATCH_ROWS) if int(usual) > 0 else BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 

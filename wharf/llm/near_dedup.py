@@ -35,6 +35,7 @@ SHINGLE = 3
 PERCENT = 85                          # link at 100 * common >= PERCENT * union
 BANDS, ROWS = 25, 5
 SLACK = 0.17                          # below the threshold, of estimates: over 5 standard deviations
+SAMPLE = 256                          # shingles of a node that blocks are compared by, at most about
 BLOCK = 256                           # members compared with as many others in a task
 BROADCAST_ROWS = 1_000_000            # ids sent to every executor at most: some 30 MB
 SEED = 20240203
@@ -131,17 +132,30 @@ def _sign(k: int, n: int, seed: int):
     return run
 
 
+def _level(size: np.ndarray) -> np.ndarray:
+    """How often a set is halved to get down to SAMPLE shingles."""
+    return np.ceil(np.log2(np.maximum(size, 1) / SAMPLE)).clip(0).astype(np.int64)
+
+
 def _sets(k: int):
+    """Digest, shingle set and sample of each text: the shingles whose last
+    ``level`` bits are 0, by their last 32 bits, so that the samples of two sets
+    can be brought to the same rate."""
     def run(it):
         for batch in _batches(it, 0):
             words = wordhash.split(batch.column(0), wordhash.NOT_SPACE)
             gram, bounds = _shingles(words, k)
             sets = [np.unique(gram[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+            size = np.array([len(s) for s in sets], dtype=np.int64)
+            last = [s.astype(np.uint32) for s in sets]
+            some = [s[s & np.uint32((1 << n) - 1) == 0] for s, n in zip(last, _level(size).tolist(), strict=True)]
+            ends = [np.concatenate([[0], np.cumsum([len(s) for s in x])]) for x in (sets, some)]
+            empty = np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_digests(words, batch.num_rows), pa.binary()),
-                 _arrays(np.concatenate(sets) if sets else np.zeros(0, np.uint64), ends, np.int64)],
-                ["node", "shingles"])
+                 _arrays(np.concatenate([empty, *sets]), ends[0], np.int64),
+                 _arrays(np.concatenate([empty.astype(np.uint32), *some]), ends[1], np.int32)],
+                ["node", "shingles", "sample"])
     return run
 
 
@@ -178,32 +192,69 @@ def _stars(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
             .where(_agreement(F.col("s"), F.col("t")) >= least).select("u", "v"))
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of values that each set on the left shares with each on the right."""
+    def flat(sets):
+        of, value = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate([np.zeros(0, np.int32), *sets])
+        order = np.argsort(value, kind="stable")
+        return of[order], value[order]
+    (li, lv), (ri, rv) = flat(left), flat(right)
+    out = np.zeros((len(left), len(right)), dtype=np.int32)
+    both = np.intersect1d(lv, rv)
+    ends = [np.searchsorted(v, both, side=s) for v in (lv, rv) for s in ("left", "right")]
+    for a, b, c, d in zip(*ends, strict=True):
+        out[np.ix_(li[a:b], ri[c:d])] += 1
+    return out
+
+
+def _similar(sample: list[np.ndarray], level: np.ndarray, left: np.ndarray, right: np.ndarray,
+             percent: int) -> np.ndarray:
+    """Which pairs the samples allow: those of whole sets exactly, others up to 5
+    standard deviations below the threshold. A pair is compared at the rate of
+    the larger set; of sets over twice the other's size none can be a pair."""
+    ok = np.zeros((len(left), len(right)), dtype=bool)
+    for n in np.unique(level):
+        a, b = (np.flatnonzero((level[x] == n) | (level[x] == n - 1)) for x in (left, right))
+        last = np.int32((1 << int(n)) - 1)
+        own = [[s[s & last == 0] for s in (sample[i] for i in x)] for x in (left[a], right[b])]
+        size = [np.array([len(s) for s in x]) for x in own]
+        common = _common(*own)
+        union = np.maximum(size[0][:, None] + size[1][None, :] - common, 1)
+        p = percent / 100
+        least = p - (5 * np.sqrt(p * (1 - p) / union) if n else 1e-9)
+        here = (np.maximum(level[left[a]][:, None], level[right[b]][None, :]) == n) & (common >= least * union)
+        ok[np.ix_(a, b)] |= here
+    return ok
+
+
 def _blockwise(bands: int, rows: int, least: float, percent: int):
     """Pairs of different components between two blocks of a bucket (or within
-    one) that signature and own shingles allow, each in the first band they share."""
+    one) that signatures, own shingles and samples allow, each in the first band
+    they share."""
     def run(key, pdf):
+        import pandas as pd
         band, same_block = int(pdf["band"].iloc[0]), bool((pdf["i"] == pdf["j"]).all())
-        sig = np.stack(pdf["sig"].to_numpy())
+        sig, sample = np.stack(pdf["sig"].to_numpy()), [np.asarray(x, np.int32) for x in pdf["sample"]]
         node, root = pdf["node"].to_numpy(), pdf["root"].to_numpy()
         size, own = pdf["size"].to_numpy(), pdf["own"].to_numpy()
-        left = np.flatnonzero(pdf["left"].to_numpy()) if not same_block else np.arange(len(pdf))
-        right = np.flatnonzero(~pdf["left"].to_numpy()) if not same_block else np.arange(len(pdf))
-        us, vs = [], []
-        for x in left:
-            y = right[right > x] if same_block else right
-            y = y[root[y] != root[x]]
-            shared = size[x] - own[x], size[y] - own[y]
-            most = np.minimum(*shared)
-            y = y[100 * most >= percent * (size[x] + size[y] - most)]
-            if not len(y):
-                continue
-            equal = sig[y] == sig[x]
-            whole = equal.reshape(len(y), bands, rows).all(axis=2)
-            y = y[(equal.mean(axis=1) >= least) & (whole.argmax(axis=1) == band) & whole.any(axis=1)]
-            us += [min(node[x], node[z]) for z in y]
-            vs += [max(node[x], node[z]) for z in y]
-        import pandas as pd
-        return pd.DataFrame({"u": us, "v": vs})
+        left = right = np.arange(len(pdf))
+        if not same_block:
+            left, right = np.flatnonzero(pdf["left"].to_numpy()), np.flatnonzero(~pdf["left"].to_numpy())
+        most = np.minimum((size - own)[left][:, None], (size - own)[right][None, :])
+        ok = 100 * most >= percent * (size[left][:, None] + size[right][None, :] - most)
+        ok &= root[left][:, None] != root[right][None, :]
+        if same_block:
+            ok = np.triu(ok, 1)
+        for i in np.flatnonzero(ok.any(axis=1)):
+            j = np.flatnonzero(ok[i])
+            equal = sig[right[j]] == sig[left[i]]
+            whole = equal.reshape(len(j), bands, rows).all(axis=2)
+            ok[i, j] = (equal.mean(axis=1) >= least) & whole.any(axis=1) & (whole.argmax(axis=1) == band)
+        a, b = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+        if len(a):
+            ok[np.ix_(a, b)] &= _similar(sample, _level(size), left[a], right[b], percent)
+        x, y = node[left[np.nonzero(ok)[0]]], node[right[np.nonzero(ok)[1]]]
+        return pd.DataFrame({"u": [min(p) for p in zip(x, y, strict=True)], "v": [max(p) for p in zip(x, y, strict=True)]})
     return run
 
 
@@ -231,7 +282,7 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
              .withColumn("left", F.col("mine") == F.col("i"))
-             .join(nodes.select("node", "sig"), "node"))
+             .join(nodes.select("node", "sig"), "node").join(sets.select("node", "sample"), "node"))
     names = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)])
     dealt = dealt.withColumn("band", F.array_position(names, F.col("bucket")).cast("int") - 1)
     return (dealt.groupBy("bucket", "i", "j")
@@ -256,8 +307,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     signed = materialise(own.mapInArrow(_sign(shingle, bands * rows, seed),
                                         "id long, node binary, size long, sig array<int>"), "near-signed")
     # written before it is joined back, here and below, so that AQE can split a bucket's rows
+    some = F.xxhash64("node")
     shared = materialise(_buckets(signed, bands, rows).groupBy("bucket")
-                         .agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("bucket"),
+                         .agg(F.min(some).alias("a"), F.max(some).alias("b")).where("a <> b").select("bucket"),
                          "near-shared")
     members = materialise(_buckets(signed, bands, rows).join(shared, "bucket", "left_semi").distinct(),
                           "near-members")
@@ -268,7 +320,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     if nodes.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     sets = own.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = materialise(sets.select("text").mapInArrow(_sets(shingle), "node binary, shingles array<long>")
+    sets = materialise(sets.select("text").mapInArrow(
+        _sets(shingle), "node binary, shingles array<long>, sample array<int>")
                        .where("node is not null"), "near-sets")
     stars = materialise(_confirm(_stars(members, nodes, least), sets, percent), "near-stars")
     roots = connected_components(stars)
