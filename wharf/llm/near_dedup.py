@@ -170,12 +170,26 @@ def _agreement(a: Column, b: Column) -> Column:
     return F.size(F.filter(same, lambda t: t)) / F.size(a)
 
 
+def _few(ids: DataFrame, rows: int) -> DataFrame:
+    """``ids``, of which there are at most ``rows``, for a semi join: sent to the
+    executors if that is little, else joined by a shuffle."""
+    return F.broadcast(ids) if rows <= BROADCAST_ROWS else ids
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that reach the threshold on whole shingle sets."""
+    """The pairs (u, v) that reach the threshold on whole shingle sets. Only sets
+    that occur in a pair are shuffled."""
+    pairs = materialise(pairs, "near-pairs")
+    n = pairs.count()
+
+    def side(end: str, name: str) -> DataFrame:
+        wanted = _few(pairs.select(F.col(end).alias("node")).distinct(), n)
+        return (sets.join(wanted, "node", "left_semi")
+                .select(F.col("node").alias(end), F.col("shingles").alias(name)))
+
     common = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - common
-    return (pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("s")), "u")
-            .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("t")), "v")
+    return (pairs.join(side("v", "t"), "v").join(side("u", "s"), "u")
             .where(100 * common >= percent * union).select("u", "v"))
 
 
@@ -186,7 +200,7 @@ def _stars(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     ranked = members.join(degree, "node")
     hub = materialise(ranked.groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("hub")), "near-hubs")
     pairs = (members.join(hub, "bucket").where("node <> hub")
-             .select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct())
+             .select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct())
     sig = nodes.select("node", "sig")
     return (pairs.join(sig.toDF("u", "s"), "u").join(sig.toDF("v", "t"), "v")
             .where(_agreement(F.col("s"), F.col("t")) >= least).select("u", "v"))
@@ -313,12 +327,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
                          "near-shared")
     members = materialise(_buckets(signed, bands, rows).join(shared, "bucket", "left_semi").distinct(),
                           "near-members")
-    nodes = materialise(signed.join(members.select("node").distinct(), "node", "left_semi")
+    named = materialise(members.select("node").distinct(), "near-named")
+    n_nodes = named.count()
+    nodes = materialise(signed.join(_few(named, n_nodes), "node", "left_semi")
                         .groupBy("node").agg(F.first("size").alias("size"), F.first("sig").alias("sig"),
                                              F.min("id").alias("id")), "near-nodes")
-    ids = nodes.select(F.col("id").alias("wanted")).distinct()
-    if nodes.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
+    ids = _few(nodes.select(F.col("id").alias("wanted")).distinct(), n_nodes)
     sets = own.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
     sets = materialise(sets.select("text").mapInArrow(
         _sets(shingle), "node binary, shingles array<long>, sample array<int>")
