@@ -171,8 +171,8 @@ def _agreement(a: Column, b: Column) -> Column:
 
 
 def _few(ids: DataFrame, rows: int) -> DataFrame:
-    """``ids``, of which there are at most ``rows``, for a semi join: sent to the
-    executors if that is little, else joined by a shuffle."""
+    """``ids`` (or pairs of them), of which there are at most ``rows``, as a side
+    of a join: sent to the executors if that is little, else shuffled."""
     return F.broadcast(ids) if rows <= BROADCAST_ROWS else ids
 
 
@@ -189,7 +189,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     common = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - common
-    return (pairs.join(side("v", "t"), "v").join(side("u", "s"), "u")
+    return (_few(pairs, n).join(side("v", "t"), "v").join(side("u", "s"), "u")
             .where(100 * common >= percent * union).select("u", "v"))
 
 
@@ -280,12 +280,16 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
     # a bucket of two is settled by its star
     open_ = materialise(known.groupBy("bucket").agg(*several).where("n > 2 and a <> b").select("bucket"), "near-buckets")
     left = materialise(known.join(open_, "bucket", "left_semi"), "near-open")
-    alone = (sets.join(left.select("node").distinct(), "node", "left_semi")
-             .select("node", F.explode("shingles").alias("shingle"))
-             .groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-             .groupBy("node").agg(F.count("*").alias("own")))
-    nodes = nodes.join(alone, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    left = left.join(nodes.select("node", "size", "own"), "node")
+    names = materialise(left.select("node").distinct(), "near-rest")
+    n = names.count()
+    alone = (sets.join(_few(names, n), "node", "left_semi")
+             .select(F.xxhash64("node").alias("of"), F.explode("shingles").alias("shingle"))
+             .groupBy("shingle").agg(F.count("*").alias("n"), F.min("of").alias("of")).where("n = 1")
+             .groupBy("of").agg(F.count("*").alias("own")))
+    nodes = materialise(nodes.join(_few(names, n), "node", "left_semi").withColumn("of", F.xxhash64("node"))
+                        .join(alone, "of", "left").withColumn("own", F.coalesce("own", F.lit(0))).drop("of"),
+                        "near-own")
+    left = materialise(left.join(nodes.select("node", "size", "own"), "node"), "near-sized")
     fewest = materialise(left.groupBy("bucket").agg(F.min("own").alias("fewest")), "near-fewest")
     left = materialise(left.join(fewest, "bucket").where(
         (100 * (F.col("size") - F.col("own")) >= percent * (F.col("size") + F.col("fewest")))), "near-left")
@@ -325,8 +329,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     shared = materialise(_buckets(signed, bands, rows).groupBy("bucket")
                          .agg(F.min(some).alias("a"), F.max(some).alias("b")).where("a <> b").select("bucket"),
                          "near-shared")
-    members = materialise(_buckets(signed, bands, rows).join(shared, "bucket", "left_semi").distinct(),
-                          "near-members")
+    members = materialise(_buckets(signed, bands, rows).join(_few(shared, shared.count()), "bucket", "left_semi")
+                          .distinct(), "near-members")
     named = materialise(members.select("node").distinct(), "near-named")
     n_nodes = named.count()
     nodes = materialise(signed.join(_few(named, n_nodes), "node", "left_semi")
