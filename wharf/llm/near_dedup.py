@@ -349,7 +349,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         roots = connected_components(stars.union(more))
     placed = (signed.select("id", "node", "size").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
-    smallest = placed.where("root is not null").groupBy("root").agg(F.min("id").alias("smallest"))
+    smallest = materialise(placed.where("root is not null").groupBy("root").agg(F.min("id").alias("smallest")),
+                           "near-smallest")
     component = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("smallest"))
     return (placed.join(smallest, "root", "left")
             .select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"),
