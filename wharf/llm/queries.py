@@ -65,7 +65,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.curriculum(docs, F.col("words"))
     return (mixed.select("doc_id", "size", "source_size", "target", "taken",
                          F.get("positions", F.lit(0)).alias("first_position"))
-            .orderBy("first_position"))
+            .orderBy("first_position", "doc_id"))            # what is never taken would else be one range
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
