@@ -22,6 +22,7 @@ from wharf.llm.common import ascii_lower, materialise
 FIRST_BYTES = 64
 GROWTH = 8
 MOST_BYTES = 1 << 20                  # bytes compared in one round, a memory bound
+BROADCAST_BYTES = 32 << 20            # groups of a round sent to every executor at most, else texts are shuffled
 
 
 def normalised(text):
@@ -52,8 +53,9 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", carry
             state.groupBy("group", "chunk").agg(F.count("*").alias("n")).where("n > 1")
             .select("group", "chunk", F.monotonically_increasing_id().alias("next")), f"radix-groups-{at}")
         ended = F.col("length") <= at + width
+        few = groups.count() * (width + 32) <= BROADCAST_BYTES
         split = materialise(
-            state.join(groups, ["group", "chunk"], "left")
+            state.join(F.broadcast(groups) if few else groups, ["group", "chunk"], "left")
             .select("who", "row", "length", "text_sha256", F.col("next").alias("group"),
                     F.when(F.col("next").isNotNull() & ~ended, F.col("bytes")).alias("bytes")), f"radix-{at}")
         done.append(split.where("bytes is null").select(
@@ -66,8 +68,8 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", carry
     for more in done[1:]:
         rows = rows.unionByName(more)
     first = F.struct(F.col(f"who.`{key}`").alias("key"), F.col("row"))
-    best = (rows.where("group is not null").groupBy("round", "group")
-            .agg(F.count("*").alias("n"), F.max(first).alias("best")))
+    best = materialise(rows.where("group is not null").groupBy("round", "group")
+                       .agg(F.count("*").alias("n"), F.max(first).alias("best")), "radix-best")
     alone = F.col("n").isNull()
     return (rows.join(best, ["round", "group"], "left")
             .select("who.*", F.when(alone, F.col(f"who.`{key}`")).otherwise(F.col("best.key")).alias("keep_id"),
