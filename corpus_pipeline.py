@@ -4,7 +4,7 @@ Quality classifier, near-dedup, benchmark decontamination, mixing to target
 weights, sharding. Each stage works on all that its predecessor kept and
 returns the columns of ``documents``; the last adds shard and slot. Stages are
 written and read again in between, so a lost executor costs at most a stage's
-own tasks.
+own tasks, and a stage deletes the tables that its predecessor worked with.
 """
 
 from __future__ import annotations
@@ -13,12 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharf.llm import decontamination, mixing, near_dedup, quality, sharding
-from wharf.llm.common import count_words, materialise, read
+from wharf.llm.common import collected, count_words, materialise, read, release
 from wharf.llm.queries import SHARDS
 
 #: QDA scores, near-copies and shuffles are beyond SQL; tests compare with a plain rewrite.
 ORACLE_SQL = None
 
+_tables: list[str] = []               # that the latest stage has written on its way
+
+
+def _stage(fn, first: bool = False):
+    """``fn`` as a stage: its predecessor's result has been written by now."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if first:
+            _tables.clear()                          # those of an earlier run's result, which may not be written yet
+        else:
+            release(spark, _tables)
+        with collected(_tables):
+            return fn(spark, docs, sf_dir)
+    return run
+
 
 def _without(docs: DataFrame, decided: DataFrame, dropped) -> DataFrame:
     """``docs`` without the ids that a decision drops. Rows without an id stay,
@@ -53,8 +67,9 @@ def shard_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return sharding.shard(docs, SHARDS, size).select(*docs.columns, "shard", "slot")
 
 
-STAGES = [("quality", keep_quality), ("near_dedup", drop_near_copies), ("decontamination", drop_contaminated),
-          ("mixing", mix_sources), ("sharding", shard_records)]
+STAGES = [("quality", _stage(keep_quality, first=True)), ("near_dedup", _stage(drop_near_copies)),
+          ("decontamination", _stage(drop_contaminated)), ("mixing", _stage(mix_sources)),
+          ("sharding", _stage(shard_records))]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharf.session import work_dir
+from wharf.sources.tables import delete_path
 
 ROW = "_row"                                    # an operator's untouched input row
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,6 +21,25 @@ BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000                               # documents handed to a Python worker at a time
 
 
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def collected(paths: list[str]) -> Iterator[None]:
+    """Add the folders of the tables written meanwhile to ``paths``."""
+    _collecting.append(paths)
+    try:
+        yield
+    finally:
+        _collecting.pop()
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete collected tables, once what was computed from them is written."""
+    while paths:
+        delete_path(spark, paths.pop())
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
@@ -26,6 +49,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
+    for paths in _collecting:
+        paths.append(path)
     usual = spark.conf.get(BATCH)
     spark.conf.set(BATCH, min(int(usual), BATCH_ROWS) if int(usual) > 0 else BATCH_ROWS)
     try:

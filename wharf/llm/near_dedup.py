@@ -159,10 +159,13 @@ def _sets(k: int):
     return run
 
 
+def _bucket_names(bands: int, rows: int) -> Column:
+    return F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)])
+
+
 def _buckets(df: DataFrame, bands: int, rows: int) -> DataFrame:
     """(bucket, node) for each band of each signature."""
-    names = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)])
-    return df.where("size > 0").select(F.explode(names).alias("bucket"), "node")
+    return df.where("size > 0").select(F.explode(_bucket_names(bands, rows)).alias("bucket"), "node")
 
 
 def _agreement(a: Column, b: Column) -> Column:
@@ -301,8 +304,7 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
              .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
              .withColumn("left", F.col("mine") == F.col("i"))
              .join(nodes.select("node", "sig"), "node").join(sets.select("node", "sample"), "node"))
-    names = F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)])
-    dealt = dealt.withColumn("band", F.array_position(names, F.col("bucket")).cast("int") - 1)
+    dealt = dealt.withColumn("band", F.array_position(_bucket_names(bands, rows), F.col("bucket")).cast("int") - 1)
     return (dealt.groupBy("bucket", "i", "j")
             .applyInPandas(_blockwise(bands, rows, least, percent), "u binary, v binary").distinct())
 

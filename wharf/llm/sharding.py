@@ -50,16 +50,19 @@ def shard(docs: DataFrame, n_shards: int, size: Column, key: str = "doc_id",
     total = one.agg(F.sum("size")).head()[0] or 0
     per_shard = max(1, -(-total // (n_shards * bucket_bytes)))
     one = one.withColumn("bucket", F.pmod(F.col("hash"), F.lit(per_shard)))
-    split = (one.groupBy(F.col("shard").alias("f_shard"), F.col("bucket").alias("f_bucket"))
-             .agg(F.ceil(F.sum("size") / F.lit(2.0 * bucket_bytes)).alias("parts"))
-             .where("parts > 1"))
+    # the tables of buckets are written: Spark then knows that they are small, and
+    # the records themselves are shuffled once only
+    split = materialise(one.groupBy(F.col("shard").alias("f_shard"), F.col("bucket").alias("f_bucket"))
+                        .agg(F.ceil(F.sum("size") / F.lit(2.0 * bucket_bytes)).alias("parts"))
+                        .where("parts > 1"), "sharding-split")
     one = (one.join(split, (F.col("shard") == F.col("f_shard")) & (F.col("bucket") == F.col("f_bucket")), "left")
            .withColumn("part", F.when(F.col("parts") > 1, F.pmod(
                F.xxhash64(F.lit(seed + 2), "row"), F.col("parts"))).otherwise(F.lit(0))))
     leaf = ["shard", "bucket", "part"]
     before = Window.partitionBy("shard").orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
     counts = one.groupBy(*leaf).agg(F.count("*").alias("n"))
-    starts = counts.select(*leaf, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    starts = materialise(counts.select(*leaf, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")),
+                         "sharding-starts")
     record = F.struct("hash", "row", "size", "grown_shard", "start", "_row")
     n_leaves = max(1, n_shards * per_shard)
     two = (one.join(starts, leaf)
