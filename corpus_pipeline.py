@@ -23,11 +23,13 @@ _tables: list[str] = []               # that the latest stage has written on its
 
 
 def _stage(fn, first: bool = False):
-    """``fn`` as a stage: its predecessor's result has been written by now."""
+    """``fn`` as a stage. Its predecessor's result has been written by now, unless
+    ``docs`` still reads the tables behind it; then they stay."""
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [t.rsplit("/", 1)[1] for t in _tables]
         if first:
             _tables.clear()                          # those of an earlier run's result, which may not be written yet
-        else:
+        elif not any(f"/{n}/" in f for f in docs.inputFiles() for n in names):
             release(spark, _tables)
         with collected(_tables):
             return fn(spark, docs, sf_dir)
