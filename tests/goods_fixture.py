@@ -70,12 +70,10 @@ def gen_docs(spark: SparkSession) -> DataFrame:
         cyc3.alias("rate"))
 
 
-# --- fixed values: small dimensions (own names; two goods share a name) --------
-DOC_TYPES = ["Invoice", "Receipt", "Return"]
-GOOD_GROUPS = ["Pens", "Pencils"]
-GOODS = [(2, "Pencil HB"), (2, "Pencil 2B"), (2, "Pencil H"), (1, "Pen blue"),
-         (1, "Pen black"), (1, "Pen gel"), (1, "Pen gel")]
-# ---------------------------------------------------------------------------------
+# small dimensions; two goods share a name and one group has no goods
+DOC_TYPES = ["Order", "Delivery", "Credit note"]
+GOOD_GROUPS = ["Tea", "Coffee", "Cups"]
+GOODS = [(1, "Assam"), (2, "Mocha"), (1, "Sencha"), (2, "Espresso"), (1, "Assam"), (2, "Filter"), (1, "Rooibos")]
 
 
 def dims(spark: SparkSession) -> dict[str, DataFrame]:

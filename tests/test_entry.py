@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from scripts.check_oracle import compare, oracle_connection
+from wharf.plans.registry import load_all
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -20,7 +21,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(load_all()) - set(E.oracle_sql())
     assert not missing, f"queries without oracle SQL: {sorted(missing)}"
 
 
@@ -29,7 +30,7 @@ def con():
     return oracle_connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(load_all()))
 def test_query_matches_oracle(spark, con, name):
     status, detail = compare(spark, con, SF, name, E.queries()[name], E.oracle_sql().get(name))
     assert status == "OK", detail

@@ -112,17 +112,6 @@ def test_backfill_replays_recent_days(spark):
     assert [r[0] for r in ids_today.collect()] == ["c"]       # 0 still replays rows dated on the run date
 
 
-def test_versioned_table(spark, tmp_dir):
-    t = tb.VersionedTable(spark, f"{tmp_dir}/vt", keep_versions=2)
-    assert t.read() is None
-    t.write(spark.createDataFrame([(1,)], "x int"))
-    cur = t.read()
-    t.write(cur.withColumn("x", F.col("x") + 1))        # next version from the current one
-    t.write(t.read().withColumn("x", F.col("x") + 1))
-    assert t.read().first()["x"] == 3
-    assert t.versions() == [2, 3]                         # old versions pruned
-
-
 def test_replace_window_partitions(spark, tmp_dir):
     root = f"{tmp_dir}/events"
     days = [D(2024, 1, d) for d in range(1, 11)]
@@ -185,10 +174,33 @@ def test_sync_tables_rerun_after_partial_failure(spark, tmp_dir):
 def test_replace_and_drop_table(spark, tmp_dir):
     p = f"{tmp_dir}/rt"
     tb.replace_table(spark, spark.createDataFrame([(1,)], "x int"), p)
-    cur = tb.VersionedTable(spark, p).read()
+    cur = spark.read.parquet(p)
     out = tb.replace_table(spark, cur.withColumn("x", F.col("x") * 10), p)   # reads the table it replaces
     assert [r["x"] for r in out.collect()] == [10]
-    empty = tb.replace_table(spark, cur.limit(0), p)                         # empty the table
+    empty = tb.replace_table(spark, spark.read.parquet(p).limit(0), p)                         # empty the table
     assert empty.count() == 0
     tb.drop_table(spark, p)
     assert not tb.path_exists(spark, p)
+
+
+def test_unreachable_store_is_an_error_not_an_absent_table(spark):
+    with pytest.raises(Exception, match="nosuchfs"):
+        tb.path_exists(spark, "nosuchfs://bucket/table")
+    with pytest.raises(Exception, match="nosuchfs"):
+        tb.BucketedTable(spark, "nosuchfs://bucket/table", "k").exists()
+
+
+def test_ensure_table_never_writes_to_an_existing_one(spark, tmp_dir):
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    spark.createDataFrame([(1,)], schema).write.parquet(f"{tmp_dir}/kept")
+    assert tb.ensure_table(spark, f"{tmp_dir}/kept", schema).count() == 1
+
+
+def test_bucket_count_is_kept_with_the_table(spark, tmp_dir):
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    tb.BucketedTable(spark, f"{tmp_dir}/b", "k", buckets=16).merge(rows, lambda s, c: s)
+    with pytest.raises(ValueError, match="16 buckets"):
+        tb.BucketedTable(spark, f"{tmp_dir}/b", "k", buckets=8).merge(rows.limit(3), lambda s, c: s)
+    again = tb.BucketedTable(spark, f"{tmp_dir}/b", "k", buckets=16)
+    again.merge(rows.limit(3), lambda s, c: inc.upsert(c, s, "k"))
+    assert again.read().count() == 100

@@ -6,7 +6,7 @@ from wharf.operators import aggregates as agg
 from wharf.operators import checks as chk
 from wharf.operators import windows as win
 from wharf.operators.pivot import pivot_days
-from wharf.sources import generators as gen
+from tests import goods_fixture as gen
 
 D = dt.date
 
@@ -103,10 +103,10 @@ def test_period_totals_generated(spark):
     p = D(2015, 2, 28)
     def tot(cond):
         return float(sum(am for g, t, am in rows if g == 4 and cond(t.date())))
-    pen_blue = by_name["Pen blue"]
-    assert pen_blue["YTD"] == tot(lambda x: x.year == 2016 and x <= a)
-    assert pen_blue["MTD"] == tot(lambda x: x.year == 2016 and x.month == 2 and x <= a)
-    assert pen_blue["PQTD"] == tot(lambda x: x.year == 2015 and (x.month - 1) // 3 == 0 and x <= p)
+    good = by_name["Espresso"]
+    assert good["YTD"] == tot(lambda x: x.year == 2016 and x <= a)
+    assert good["MTD"] == tot(lambda x: x.year == 2016 and x.month == 2 and x <= a)
+    assert good["PQTD"] == tot(lambda x: x.year == 2015 and (x.month - 1) // 3 == 0 and x <= p)
     # a date after the data gives zeros
     late = agg.period_totals(d["ref_goods"], sales, "2019-06-01").collect()
     assert all(r["YTD"] == 0 and r["PYTD"] == 0 for r in late)
@@ -199,3 +199,12 @@ def test_profile_approx_option(spark):
     approx = agg.profile(df, ["a", "b"], approx=True).first()
     assert exact["a_distinct_count"] == 500 and approx["b_distinct_count"] == 1
     assert abs(approx["a_distinct_count"] - 500) <= 25          # HyperLogLog, default 5 % error
+
+
+def test_orders_put_missing_keys_where_the_reports_do(spark):
+    from wharf.plans.reports import names_then_counts
+    occ = spark.createDataFrame([("z", "b"), ("y", "B"), ("x", None), ("w", "c"), ("v", "c")], "name string, occupation string")
+    assert [(r["cnt"], r["occupation"]) for r in agg.occupation_counts(occ).collect()] == [
+        (1, "B"), (1, "b"), (1, None), (2, "c")]
+    lines = [r["result"] for r in names_then_counts(occ).collect()]
+    assert lines[:5] == ["v(c)", "w(c)", "x()", "y(B)", "z(b)"] and lines[-1] == "There are a total of 2 cs."

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wharf.sources import documents as docs
 from wharf.sources import events as ev
 from wharf.sources import files as fs
-from wharf.sources import generators as gen
+from tests import goods_fixture as gen
 
 FIELDS = ["session_id", "user_id", "event_timestamp", "platform", "is_premium", "user_is_spender",
           "real_currency_amount", "real_currency_type", "usd_cost", "player_name"]
@@ -53,6 +53,22 @@ def test_read_events_repairs_and_types(spark, tmp_dir):
     assert rows["s6"]["real_currency_amount_centum"] == 150
 
 
+def test_text_that_looks_like_structure_survives(spark, tmp_dir):
+    notes = ["ratio 3:, ok", "flag: True, yes", "see: NULL}", 'say "k": None, x', "it's, fine", "a: False}"]
+    lines = ["["] + ["{'session_id': '%d', 'note': '%s', 'user_id': },"  % (i, n) for i, n in enumerate(notes)] + ["", "]"]
+    path = _write(tmp_dir, "notes.txt", "\n".join(lines))
+    got = {r["session_id"]: (r["note"], r["user_id"]) for r in ev.read_events(
+        spark, path, ["session_id", "note", "user_id"], {}, {}).collect()}
+    assert got == {str(i): (n, None) for i, n in enumerate(notes)}
+
+
+def test_lines_without_a_record_are_reported(spark, tmp_dir):
+    path = _write(tmp_dir, "lost.txt", "[\n{'session_id': 'a'},\nlost line\n], \n  \n42\n]\n")
+    raw = ev.parse_events(ev.read_lines(spark, path), ["session_id"])
+    assert ev.type_events(raw, {}, {}).count() == 1
+    assert [r["problem"] for r in ev.problem_rows(raw, {}, {}, "session_id").collect()] == ["unparseable record"] * 2
+
+
 def test_problem_report(spark, tmp_dir):
     path = _write(tmp_dir, "events.txt", RAW)
     raw = ev.parse_events(ev.read_lines(spark, path), FIELDS)

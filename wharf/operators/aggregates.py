@@ -17,10 +17,10 @@ from wharf.functions.columns import NULL_TEXT, lit_date, null_safe_text, ratio
 
 
 def money_sum(c, name: str | None = None) -> Column:
-    """Exact money sum: each double rounded half-up to whole cents, summed as
-    integers (order-independent), returned as double units."""
+    """Money sum in millionths of a unit: the same in any order and engine, no
+    row rounded to cents; returned as double units."""
     col = F.col(c) if isinstance(c, str) else c
-    out = F.sum(F.floor(col * 100 + 0.5)) / 100.0
+    out = F.sum(F.floor(col * 1e6 + 0.5).cast("decimal(28,0)")).cast("double") / 1e6
     return out.alias(name) if name else out
 
 
@@ -134,7 +134,7 @@ def category_totals(tx: DataFrame, users: DataFrame, user_key: str = "user_id",
 
 
 def occupation_counts(df: DataFrame, col: str = "occupation") -> DataFrame:
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt")).orderBy("cnt", col)
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt")).orderBy("cnt", F.col(col).asc_nulls_last())
 
 
 def period_totals(goods: DataFrame, sales: DataFrame, as_of, good_key: str = "id",

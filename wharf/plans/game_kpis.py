@@ -94,7 +94,8 @@ FROM ge GROUP BY platform, user_id, user_is_spender
 """))
 def q_user_footprint(spark, sf_dir):
     return agg.distinct_counts(si.game_events(spark, sf_dir, with_spender=True),
-                               ["platform", "user_id", "user_is_spender"], ["user_ip", "session_id"])
+                               ["platform", "user_id", "user_is_spender"], ["user_ip", "session_id"]) \
+        .orderBy(F.desc("distinct_user_ip"), F.desc("distinct_session_id"))
 
 
 @query("kpi_paid_by_platform", covers=("A7", "P3", "F21"), sql=_sql("""
@@ -104,7 +105,8 @@ SELECT coalesce(platform, 'NULL') AS platform, CAST(count(*) AS BIGINT) AS sessi
 FROM gp GROUP BY 1
 """))
 def q_paid_by_platform(spark, sf_dir):
-    return agg.paid_conversion(paid_events(spark, sf_dir), [null_safe_text("platform").alias("platform")])
+    return agg.paid_conversion(paid_events(spark, sf_dir), [null_safe_text("platform").alias("platform")]) \
+        .orderBy(F.desc("paid_sessions_conversion"))
 
 
 @query("kpi_spender_conversion", covers=("A8",), sql=_sql("""
@@ -117,7 +119,8 @@ FROM d GROUP BY platform
 """))
 def q_spender_conversion(spark, sf_dir):
     return agg.spender_conversion(si.game_events(spark, sf_dir, with_spender=True),
-                                  "platform", "user_id", "user_is_spender")
+                                  "platform", "user_id", "user_is_spender") \
+        .orderBy(F.desc("spender_users_conversion"))
 
 
 @query("kpi_revenue", covers=("A10",), sql=_sql("""
@@ -133,7 +136,8 @@ FROM ge GROUP BY 1, 2
 """))
 def q_revenue(spark, sf_dir):
     return agg.revenue_by(si.game_events(spark, sf_dir), ["real_currency_type", "platform"],
-                          "real_currency_amount_centum")
+                          "real_currency_amount_centum") \
+        .orderBy("real_currency_type", F.desc("sum_amount"))
 
 
 @query("kpi_paid_by_month", covers=("A11", "F12"), sql=_sql("""
@@ -147,7 +151,8 @@ def q_paid_by_month(spark, sf_dir):
     return agg.paid_conversion(paid_events(spark, sf_dir), [
         F.date_format("event_timestamp", "yyyy").alias("session_year"),
         F.date_format("event_timestamp", "MM").alias("session_month"),
-        null_safe_text("platform").alias("platform")])
+        null_safe_text("platform").alias("platform")]) \
+        .orderBy("platform", F.col("session_year").asc_nulls_first(), F.col("session_month").asc_nulls_first())
 
 
 @query("kpi_paid_by_hour", covers=("A12", "F12"), sql=_sql("""
@@ -158,7 +163,8 @@ FROM gp GROUP BY 1
 """))
 def q_paid_by_hour(spark, sf_dir):
     return agg.paid_conversion(paid_events(spark, sf_dir),
-                               [F.date_format("event_timestamp", "HH").alias("session_hour")])
+                               [F.date_format("event_timestamp", "HH").alias("session_hour")]) \
+        .orderBy(F.col("session_hour").asc_nulls_first())
 
 
 @query("kpi_control_totals", covers=("A19", "C6"), sql=_sql("""

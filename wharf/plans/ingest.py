@@ -26,6 +26,7 @@ EVENT_FIELDS = ["event_id", "event_timestamp", "platform", "user_id", "session_i
 EVENT_TYPES = {"event_id": "bigint", "event_timestamp": "timestamp_ntz", "is_premium": "boolean"}
 EVENT_MONEY = {"real_currency_amount": "real_currency_amount_centum"}
 ENTRIES_PER_DOC = 24
+NOTES = ["Mr True", "ratio 3:, ok", "flag: True, yes", "see: NULL}"]     # by k mod 5
 # -------------------------------------------------------------------------------
 
 
@@ -37,9 +38,10 @@ def _q(c: F.Column) -> F.Column:
 def raw_event_lines(spark, sf_dir) -> DataFrame:
     """One almost-JSON line per event, as a game client would log it:
     single quotes, True/False/NULL words, ``'user_id': ,`` for a missing
-    user, comma decimals for odd k, an apostrophe in some names, the word
-    True inside a text value, an unreadable time for k = 0 and a broken
-    line for k = 99."""
+    user, comma decimals for odd k, an apostrophe in some names, texts that
+    look like structure (True, NULL, a colon before a comma), bytes that are
+    no UTF-8, an unreadable time for k = 0, a line without a record for
+    k = 98 and a broken one for k = 99."""
     e = read_table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").try_cast("int")
     uid = F.col("user_id")
@@ -49,6 +51,11 @@ def raw_event_lines(spark, sf_dir) -> DataFrame:
         .otherwise(F.concat(F.lit("p"), uid.cast("string")))
     name_txt = F.when(k == 99, F.concat(F.lit("'"), name)).otherwise(_q(name))
     ts = F.when(k == 0, _q(F.lit("n/a"))).otherwise(_q(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    five = F.pmod(k, F.lit(5))
+    bad = F.concat(F.lit("o"), F.unhex(F.lit("FFFE")).cast("string"), F.lit("k"))
+    note = F.when(five == len(NOTES), bad).otherwise(F.lit("ok"))
+    for i, text in enumerate(NOTES):
+        note = F.when(five == i, F.lit(text)).otherwise(note)
     parts = [
         F.concat(F.lit("'event_id': "), F.col("event_id").cast("string")),
         F.concat(F.lit("'event_timestamp': "), ts),
@@ -60,11 +67,11 @@ def raw_event_lines(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("'is_premium': "), F.when(F.col("value") > 250, F.lit("True"))
                  .otherwise(F.lit("False"))),
         F.concat(F.lit("'player_name': "), name_txt),
-        F.concat(F.lit("'note': "), F.when(F.pmod(k, F.lit(5)) == 0, _q(F.lit("Mr True")))
-                 .otherwise(_q(F.lit("ok")))),
+        F.concat(F.lit("'note': "), _q(note)),
     ]
     body = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("},"))
     line = F.when(F.col("event_id") == 0, F.concat(F.lit("["), body)).otherwise(body)
+    line = F.when(k == 98, F.concat(F.lit("-- lost line "), F.col("event_id").cast("string"))).otherwise(line)
     return e.select(line.alias("value"))
 
 
@@ -82,8 +89,8 @@ SELECT event_id,
        CAST(round(value * 100) AS BIGINT) AS real_currency_amount_centum,
        value > 250 AS is_premium,
        CASE WHEN user_id % 10 = 3 THEN 'O''p' ELSE 'p' END || CAST(user_id AS VARCHAR) AS player_name,
-       CASE WHEN k % 5 = 0 THEN 'Mr True' ELSE 'ok' END AS note
-FROM e WHERE k <> 99
+       coalesce(['Mr True', 'ratio 3:, ok', 'flag: True, yes', 'see: NULL}'][k % 5 + 1], 'ok') AS note
+FROM e WHERE k NOT IN (98, 99)
 """
 
 
@@ -97,6 +104,8 @@ def q_repaired_events(spark, sf_dir):
 SELECT CAST(event_id AS VARCHAR) AS event_id, 'unparseable record' AS problem, NULL AS value
 FROM e WHERE k = 99
 UNION ALL
+SELECT NULL, 'unparseable record', NULL FROM e WHERE k = 98
+UNION ALL
 SELECT CAST(event_id AS VARCHAR), 'unreadable event_timestamp', 'n/a' FROM e WHERE k = 0
 """)
 def q_event_problems(spark, sf_dir):
@@ -237,7 +246,7 @@ def q_nightly_weather(spark, sf_dir):
 
 
 @query("control_diff_events", stateful=True, covers=("C6", "A19", "S11"), sql=_EVENTS_BASE + """
-, r AS (SELECT CAST(round(value * 100) AS BIGINT) AS c FROM e WHERE k <> 99)
+, r AS (SELECT CAST(round(value * 100) AS BIGINT) AS c FROM e WHERE k NOT IN (98, 99))
 SELECT 'rows_count' AS metric, CAST(count(*) AS BIGINT) AS before_value,
        CAST(count(*) AS BIGINT) AS after_value, true AS matches FROM r
 UNION ALL

@@ -131,7 +131,7 @@ def agreement_standin(spark, sf_dir):
         .alias("product_id"))
 
 
-@query("compact_dim", covers=("W3", "W4", "W5", "F10"), sql="""
+@query("compact_dim", covers=("W3", "W4", "W5"), sql="""
 WITH last AS (
   SELECT user_id, CAST(ts AS DATE) AS day, arg_max(event_type, (ts, event_id)) AS event_type,
          arg_max(value, (ts, event_id)) AS value
@@ -186,12 +186,13 @@ WITH t AS (
          CAST(floor(s.value * 100 + 0.5) AS BIGINT) AS c
   FROM events s JOIN customer g ON s.user_id = g.c_custkey
   WHERE CAST(s.ts AS DATE) BETWEEN DATE '{PIVOT_BEGIN}' AND DATE '{PIVOT_END}')
-PIVOT t ON dat USING CAST(coalesce(sum(c), 0) AS BIGINT) GROUP BY good_name
+PIVOT t ON dat IN ('2024-01-28', '2024-01-29', '2024-01-30') USING CAST(coalesce(sum(c), 0) AS BIGINT) GROUP BY good_name
 """)
 def q_pivot_days(spark, sf_dir):
     sales, goods = pivot_inputs(spark, sf_dir)
     daily = agg.daily_totals(sales, goods, PIVOT_BEGIN, PIVOT_END)
-    return pivot_days(daily, "good_name", "dat", "sum_amount", PIVOT_BEGIN, PIVOT_END)
+    days = sales.select(F.to_date("s_date").alias("dat"))
+    return pivot_days(daily, "good_name", "dat", "sum_amount", PIVOT_BEGIN, PIVOT_END, days=days)
 
 
 def users_transactions(spark, sf_dir):
@@ -242,7 +243,7 @@ FROM customer
 """)
 def q_occupation_names(spark, sf_dir):
     return occupations(spark, sf_dir).select(name_initial("name", "occupation").alias("result")) \
-        .orderBy("result")
+        .orderBy(F.col("result").asc_nulls_last())
 
 
 @query("occupation_counts", covers=("A14", "P15", "F7"), sql="""
@@ -256,20 +257,22 @@ def q_occupation_counts(spark, sf_dir):
 
 @query("names_then_counts", covers=("W6", "O4"), sql="""
 WITH c AS (SELECT c_mktsegment AS occupation, count(*) AS cnt FROM customer GROUP BY 1)
-SELECT concat(c_name, '(', substring(coalesce(c_mktsegment, ''), 1, 1), ')') AS result, 1 AS lvl
-FROM customer
+SELECT concat(c_name, '(', substring(coalesce(c_mktsegment, ''), 1, 1), ')') AS result FROM customer
 UNION ALL
-SELECT concat('There are a total of ', cnt, ' ', lower(occupation), 's.') AS result, 2 AS lvl FROM c
+SELECT concat('There are a total of ', cnt, ' ', lower(occupation), 's.') AS result FROM c
 """)
 def q_names_then_counts(spark, sf_dir):
-    """Both lists in one result, names first: a global sort on (lvl, key)
+    """Both lists in one result, names first: a global sort on (list, key)
     instead of an unpartitioned ROW_NUMBER (which would run in one task)."""
-    occ = occupations(spark, sf_dir)
-    names = occ.select(name_initial("name", "occupation").alias("result"), F.lit(1).alias("lvl"),
-                       F.lit(0).cast("bigint").alias("_k1"))
+    return names_then_counts(occupations(spark, sf_dir))
+
+
+def names_then_counts(occ):
+    names = occ.select(name_initial("name", "occupation").alias("result"), F.lit(1).alias("_list"),
+                       F.lit(0).cast("bigint").alias("_count"), F.lit(None).cast("string").alias("_key"))
     counts = agg.occupation_counts(occ).select(
-        count_sentence("cnt", "occupation").alias("result"), F.lit(2).alias("lvl"),
-        F.col("cnt").alias("_k1"))
-    both = names.unionByName(counts)
-    # lvl 1 sorts by result; lvl 2 by (cnt, occupation), which orders like result within cnt
-    return both.orderBy("lvl", "_k1", "result").select("result", "lvl")
+        count_sentence("cnt", "occupation").alias("result"), F.lit(2).alias("_list"),
+        F.col("cnt").alias("_count"), F.col("occupation").alias("_key"))
+    return (names.unionByName(counts)
+            .orderBy("_list", "_count", F.col("_key").asc_nulls_last(), F.col("result").asc_nulls_last())
+            .select("result"))

@@ -89,22 +89,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df, factor: int = 1):
-    """Round-robin ``df`` over the cluster's cores when it has fewer input
-    partitions than cores (a few large files or row groups); a no-op when the
-    input already has enough splits, so no shuffle is added at scale. Used
-    before CPU-heavy per-row work such as text repair and JSON parsing."""
-    sc = _spark_context(df.sparkSession)
-    if sc is None:
-        return df
-    want = sc.defaultParallelism * factor
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-        return df
-    return df.repartition(want) if have < want else df
-
-
 # --- sizing for a given data volume -------------------------------------------
 MB = 1024 * 1024
 

@@ -18,20 +18,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.functions.columns import cents
-from wharf.session import spread
 
 CORRUPT = "_corrupt_record"
 
 # --- fixed values: the repair rules, in the order they are applied -----------
-# (pattern, replacement) pairs for Java regular expressions.
+# (pattern, replacement) pairs for Java regular expressions. Values are only
+# touched behind a quoted key that follows '{' or ',': content quotes are
+# escaped by then, so no text inside a value looks like one.
+KEY = r'([{,]\s*"[^"\\]+"\s*:\s*)'
 REPAIR_RULES = [
     (r'"', r'\\"'),                                      # content quotes → escaped
     (r"([{,]\s*)'([^']*)'\s*:", r'$1"$2":'),             # 'key':   → "key":
-    (r":\s*'(.*?)'(?=\s*[,}])", r': "$1"'),              # : 'val'  → : "val"
-    (r":\s*(?=[,}])", r": null"),                        # : ,      → : null
-    (r":\s*True(?=\s*[,}])", r": true"),
-    (r":\s*False(?=\s*[,}])", r": false"),
-    (r":\s*(?:NULL|None)(?=\s*[,}])", r": null"),
+    (KEY + r"""'(.*?)'(?=\s*(?:,\s*"[^"\\]*"\s*:|\}\s*$))""", r'$1"$2"'),   # 'val', up to the next key or the end
+    (KEY + r"(?:NULL|None)?\s*(?=[,}])", r"$1null"),     # missing, NULL and None
+    (KEY + r"True(?=\s*[,}])", r"$1true"),
+    (KEY + r"False(?=\s*[,}])", r"$1false"),
 ]
 # -------------------------------------------------------------------------------
 
@@ -66,11 +67,12 @@ def parse_events(lines: DataFrame, fields: list[str], line_col: str = "value") -
     ``_corrupt_record`` holding the repaired text of lines that failed."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields]
                           + [T.StructField(CORRUPT, T.StringType())])
-    # Filter on the raw line (a record has a '{'), so the repair chain is not
-    # pushed into the filter and evaluated twice; from_json keeps the text of
-    # a failed record in its own corrupt-record field.
+    # Only blank lines and the list's own brackets are no records; any other
+    # line is loaded or reported. The filter is on the raw line, so the repair
+    # chain is not pushed into it and evaluated twice; from_json keeps the text
+    # of a failed record in its own corrupt-record field.
     body = repair_line(drop_bad_bytes(F.col(line_col)))
-    records = spread(lines.where(F.col(line_col).contains("{")))
+    records = lines.where(~F.col(line_col).rlike(r"^[\s\[\],]*$"))
     parsed = records.select(F.from_json(body, schema, {"mode": "PERMISSIVE",
                                                        "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
     return parsed.select("r.*")

@@ -3,117 +3,66 @@
 * ``BucketedTable``: partitioned by a hash bucket of its key; upserts read
   and rewrite only the buckets their keys touch, check keys inside the write
   job, and keep a watermark of a change stamp without scanning the table.
-* ``VersionedTable`` (``replace_table``): a folder of versions
-  ``v=00000001`` …; a version is readable once Spark wrote its ``_SUCCESS``
-  marker, and the newest such version is the table, so a table can be
-  replaced by a plan that reads it, and a failed job leaves the previous
-  version in place.
 * Date-partitioned tables restated over a rolling window of days.
-* Create-if-absent, append by column name, drop, temp views.
+* Create-if-absent, replace, append by column name, drop, temp views.
 
 File-system calls go through Hadoop's FileSystem API, so the same code
-works on HDFS, object stores and local disk.
+works on HDFS, object stores and local disk. Its errors are raised: a store
+that cannot be asked is never taken for an absent table.
 """
 
 from __future__ import annotations
 
-import os
-import shutil
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.operators.incremental import window_days
-
-VERSION_PREFIX = "v="
-
+from wharf.session import work_dir
 
 def _fs(spark: SparkSession, path: str):
-    """Hadoop FileSystem for ``path`` (any scheme), or None without a JVM
-    gateway (Spark Connect), where only local paths are supported."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-    except Exception:  # noqa: BLE001
-        return None, None, None
-
-
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    """Hadoop FileSystem, path and JVM for ``path`` (any scheme)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p, sc._jvm
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
-    if fs is None:
-        return os.path.exists(_local(path))
     return bool(fs.exists(p))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files at or below ``path``."""
+    fs, p, _ = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
-    if fs is None:
-        shutil.rmtree(_local(path), ignore_errors=True)
-    elif fs.exists(p):
+    if fs.exists(p):
         fs.delete(p, True)
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """(name, has _SUCCESS marker) of the sub-folders of ``path``."""
-    fs, p, jvm = _fs(spark, path)
-    if fs is None:
-        root = _local(path)
-        if not os.path.isdir(root):
-            return []
-        return [(n, os.path.exists(os.path.join(root, n, "_SUCCESS")))
-                for n in os.listdir(root) if os.path.isdir(os.path.join(root, n))]
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path``; none if it does not exist."""
+    fs, p, _ = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return [(st.getPath().getName(),
-             bool(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))))
-            for st in fs.listStatus(p) if st.isDirectory()]
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
-        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep_versions
-
-    def versions(self) -> list[int]:
-        return sorted(int(n[len(VERSION_PREFIX):]) for n, done in list_dirs(self.spark, self.root)
-                      if n.startswith(VERSION_PREFIX) and done)
-
-    def _path(self, v: int) -> str:
-        return f"{self.root}/{VERSION_PREFIX}{v:08d}"
-
-    def current_path(self) -> str | None:
-        vs = self.versions()
-        return self._path(vs[-1]) if vs else None
-
-    def read(self) -> DataFrame | None:
-        p = self.current_path()
-        return self.spark.read.parquet(p) if p else None
-
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write ``df`` as the next version and return it read back (which
-        also cuts the lineage of multi-run jobs)."""
-        vs = self.versions()
-        nxt = (vs[-1] + 1) if vs else 1
-        path = self._path(nxt)
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        for old in vs[: max(0, len(vs) + 1 - self.keep)]:
-            delete_path(self.spark, self._path(old))
-        return self.spark.read.parquet(path)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """CREATE OR REPLACE: ``df`` becomes the table's next version (safe even
-    when ``df`` reads the current version); returns the new content."""
-    return VersionedTable(spark, path).write(df)
+    """CREATE OR REPLACE: ``df``, which may read the table itself, becomes its
+    content. It is computed into a work folder first, so a plan that fails leaves
+    the table as it was; returns the new content."""
+    staged = work_dir(spark, "replace")
+    df.write.parquet(staged)
+    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
+    delete_path(spark, staged)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_table(spark: SparkSession, path: str) -> None:
@@ -122,9 +71,9 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Create an empty parquet table with ``schema`` when absent; return it."""
-    if not path_exists(spark, path):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    """Create an empty parquet table with ``schema`` when absent; return it.
+    An existing table is never written to."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -150,15 +99,18 @@ def replace_window_partitions(spark: SparkSession, root: str, new: DataFrame, da
     Window days present in ``new`` are replaced partition by partition
     (dynamic partition overwrite: other partitions are not touched); window
     days absent from ``new`` are removed, so an emptied day does not keep
-    stale rows. Only the ``days`` dates of the window reach the driver.
+    stale rows. ``new`` is evaluated once: the rows of each day are counted
+    while they are written, clustered by day so that a day has few files.
     """
     win = window_days(run_date, days)
-    new_in = new.where(F.col(date_col).isin(win))
-    present = {r[0] for r in new_in.select(date_col).distinct().collect()}
-    (new_in.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    seen = Observation("window_days")
+    new_in = (new.where(F.col(date_col).isin(win))
+              .observe(seen, *[F.count_if(F.col(date_col) == F.lit(d)).alias(d.isoformat()) for d in win]))
+    (new_in.hint("rebalance", date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(root))
+    rows = seen.get
     for d in win:
-        if d not in present:
+        if not rows.get(d.isoformat()):
             delete_path(spark, f"{root.rstrip('/')}/{date_col}={d.isoformat()}")
 
 
@@ -177,7 +129,9 @@ NULL_KEY_MSG = "wharf: batch holds a row without a key"
 
 
 class BucketedTable:
-    """A parquet table partitioned by a hash bucket of its key.
+    """A parquet table partitioned by a hash bucket of its key. The bucket count
+    is part of every bucket's folder name (``_bucket=3-of-16``); a table opened
+    with another count is refused.
 
     ``merge`` upserts a batch by rewriting only the buckets its keys fall
     in. The touched bucket numbers (at most ``buckets`` values, from a
@@ -204,13 +158,20 @@ class BucketedTable:
     def exists(self) -> bool:
         """True once a write has committed: bucket folders are moved in only at
         job commit, so a failed first write leaves none."""
-        return any(n.startswith(BUCKET_COL + "=") for n, _ in list_dirs(self.spark, self.root))
+        found = [n for n in list_dirs(self.spark, self.root) if n.startswith(BUCKET_COL + "=")]
+        counts = {n.rpartition("-of-")[2] for n in found}
+        if counts - {str(self.buckets)}:
+            raise ValueError(f"{self.root} has {', '.join(sorted(counts))} buckets, not {self.buckets}")
+        return bool(found)
 
     def read(self) -> DataFrame | None:
         if not self.exists():
             return None
         return self.spark.read.parquet(self.root).drop(BUCKET_COL)
 
+    def _label(self, bucket: int) -> str:
+        return f"{bucket}-of-{self.buckets}"
+
     def _mark_path(self, col: str) -> str:
         return f"{self.root}/_watermark_{col}"
 
@@ -221,7 +182,7 @@ class BucketedTable:
         the column is scanned."""
         if not self.exists():
             return None
-        if path_exists(self.spark, self._mark_path(col)):
+        if path_exists(self.spark, f"{self._mark_path(col)}/_SUCCESS"):
             return self.spark.read.parquet(self._mark_path(col)).first()["m"]
         return self.read().agg(F.max(col).alias("m")).first()["m"]
 
@@ -253,22 +214,28 @@ class BucketedTable:
             batch = batch.withColumn(self.key, F.when(k.isNull(), F.raise_error(F.lit(NULL_KEY_MSG)))
                                      .otherwise(k))
         previous = self.watermark(track_max) if track_max else None
+        staged = None
         try:
             current = None
             if self.exists():
                 current = self.spark.read.parquet(self.root)
                 if not all_buckets:
-                    current = current.where(F.col(BUCKET_COL).isin(self.touched_buckets(batch)))
+                    # evaluated once: its buckets are listed and its rows merged from what is written here
+                    staged, schema = work_dir(self.spark, "batch"), batch.schema
+                    batch.write.parquet(staged)
+                    batch = self.spark.read.schema(schema).parquet(staged)
+                    touched = [self._label(b) for b in self.touched_buckets(batch)]
+                    current = current.where(F.col(BUCKET_COL).isin(touched))
                 current = current.drop(BUCKET_COL)
             merged = merge_fn(batch, current).repartition(self.buckets, k)
             if unique:
                 per_key = F.count(F.lit(1)).over(Window.partitionBy(self.key))
                 merged = merged.withColumn(
                     self.key, F.when(per_key > 1, F.raise_error(F.lit(DUPLICATE_KEY_MSG))).otherwise(k))
-            merged = merged.withColumn(BUCKET_COL, bucket_of(self.key, self.buckets))
+            merged = merged.withColumn(BUCKET_COL, F.concat(
+                bucket_of(self.key, self.buckets).cast("string"), F.lit(f"-of-{self.buckets}")))
             obs = None
             if track_max:
-                from pyspark.sql import Observation
                 obs = Observation(f"max_{track_max}")
                 merged = merged.observe(obs, F.max(track_max).alias("m"))
             (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -280,6 +247,9 @@ class BucketedTable:
             if NULL_KEY_MSG in text:
                 raise NullKeyError(f"batch holds rows without {self.key}") from None
             raise
+        finally:
+            if staged:
+                delete_path(self.spark, staged)
         if track_max:
             seen = obs.get.get("m")
             marks = [m for m in (previous, seen) if m is not None]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from wharf.sources import events as ev
@@ -31,11 +32,12 @@ def ingest_event_files(spark: SparkSession, source_dir: str, target: str, proble
     lines = reader.load(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        raw = ev.parse_events(batch, fields)
+        raw = ev.parse_events(batch, fields).persist(StorageLevel.DISK_ONLY)   # parsed once for both sinks
         (ev.type_events(raw, types, money)
          .write.mode("overwrite").parquet(f"{target}/{BATCH_COL}={batch_id}"))
         (ev.problem_rows(raw, types, money, key)
          .write.mode("overwrite").parquet(f"{problems}/{BATCH_COL}={batch_id}"))
+        raw.unpersist()
 
     q = (lines.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
