@@ -89,6 +89,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df):
+    """Deal ``df`` out over the cores when it is read from fewer files than there
+    are cores; used before heavy work on each row. Only the file listing is
+    looked at: no job is started, and large inputs get no shuffle."""
+    sc = _spark_context(df.sparkSession)
+    if sc is None:
+        return df
+    cores = sc.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
 # --- sizing for a given data volume -------------------------------------------
 MB = 1024 * 1024
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.functions.columns import cents
+from wharf.session import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -72,7 +73,7 @@ def parse_events(lines: DataFrame, fields: list[str], line_col: str = "value") -
     # chain is not pushed into it and evaluated twice; from_json keeps the text
     # of a failed record in its own corrupt-record field.
     body = repair_line(drop_bad_bytes(F.col(line_col)))
-    records = lines.where(~F.col(line_col).rlike(r"^[\s\[\],]*$"))
+    records = spread(lines.where(~F.col(line_col).rlike(r"^[\s\[\],]*$")))
     parsed = records.select(F.from_json(body, schema, {"mode": "PERMISSIVE",
                                                        "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
     return parsed.select("r.*")
