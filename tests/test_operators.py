@@ -208,3 +208,16 @@ def test_orders_put_missing_keys_where_the_reports_do(spark):
         (1, "B"), (1, "b"), (1, None), (2, "c")]
     lines = [r["result"] for r in names_then_counts(occ).collect()]
     assert lines[:5] == ["v(c)", "w(c)", "x()", "y(B)", "z(b)"] and lines[-1] == "There are a total of 2 cs."
+
+
+def test_profile_of_empty_table_and_nulls(spark):
+    empty = agg.profile(spark.createDataFrame([], "a int, b string"), ["a", "b"]).first()
+    assert empty.asDict() == {"rows_count": 0, "a_distinct_count": 0, "b_distinct_count": 0}
+    df = spark.createDataFrame([(1, None), (1, None), (None, "x")], "a int, b string")
+    assert agg.profile(df, ["a", "b"]).first().asDict() == {
+        "rows_count": 3, "a_distinct_count": 2, "b_distinct_count": 2}
+
+
+def test_profile_does_not_expand(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    assert "Expand" not in agg.profile(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()

@@ -28,14 +28,23 @@ def money_sum(c, name: str | None = None) -> Column:
 
 def profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """One row: ``rows_count`` and ``<c>_distinct_count`` for each column,
-    NULL counted as one value. ``approx=True`` swaps the exact distincts
-    (which expand rows once per column) for HyperLogLog sketches."""
-    aggs = [F.count(F.lit(1)).alias("rows_count")]
-    for c in cols:
-        v = null_safe_text(c)
-        d = F.approx_count_distinct(v) if approx else F.count_distinct(v)
-        aggs.append(d.alias(f"{c}_distinct_count"))
-    return df.agg(*aggs)
+    NULL counted as one value. ``approx=True`` takes HyperLogLog sketches.
+
+    The exact counts group (column number, value) pairs, so what the map side
+    cannot combine is shuffled as narrow pairs and a column of few values as a
+    few rows a task; several distinct counts in one ``agg`` would shuffle rows
+    as wide as all the columns. One pass over ``df``."""
+    if approx:
+        return df.agg(F.count(F.lit(1)).alias("rows_count"),
+                      *[F.approx_count_distinct(null_safe_text(c)).alias(f"{c}_distinct_count") for c in cols])
+    if not cols:
+        return df.agg(F.count(F.lit(1)).alias("rows_count"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), null_safe_text(c).alias("v"))
+                                for i, c in enumerate(cols)]))
+    values = (df.select(pairs.alias("p")).groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return values.agg(F.coalesce(F.sum(F.when(F.col("i") == 0, F.col("n"))), F.lit(0)).alias("rows_count"),
+                      *[F.count_if(F.col("i") == i).alias(f"{c}_distinct_count") for i, c in enumerate(cols)])
 
 
 def constant_columns(profile_row: DataFrame) -> DataFrame:

@@ -37,15 +37,17 @@ def prev_days_count(tx: DataFrame, key: str, day: str, lo: int = 7, hi: int = 1,
     Rows with a NULL key or day get 0 (an equality or BETWEEN with NULL
     never matches). Plan: count per (key, day) with map-side combine, a
     RANGE window over those day counts, and an equi-join back on (key, day).
+    Rows without key or day are kept out of the join, where they would all
+    fall into one partition.
     """
-    d = F.col(day)
-    valid = tx.where(F.col(key).isNotNull() & d.isNotNull())
+    dated = F.col(key).isNotNull() & F.col(day).isNotNull()
+    valid = tx.where(dated)
     per_day = (valid.groupBy(key, day).agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_dn", F.unix_date(F.col(day))))
     w = (Window.partitionBy(key).orderBy("_dn").rangeBetween(-lo, -hi))
     prev = per_day.select(key, day, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias(out))
-    j = tx.join(prev, on=[key, day], how="left")
-    return j.withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("bigint"))
+    undated = tx.where(~dated).withColumn(out, F.lit(0).cast("bigint"))
+    return valid.join(prev, on=[key, day]).withColumn(out, F.col(out).cast("bigint")).unionByName(undated)
 
 
 def _same(a: Column, b: Column) -> Column:

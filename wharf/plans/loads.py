@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ COPY_RUN1, COPY_RUN2 = dt.date(1998, 1, 1), dt.date(2002, 1, 1)
 COPY_DEFAULT_MARK = dt.date(1990, 1, 1)
 STAGE_TS1, STAGE_TS2 = "2024-01-01 06:00:00", "2024-01-02 06:00:00"
 SNAPSHOT_CUT = "2000-01-01"
+NO_ID_EVERY, UNKNOWN_EVERY, TWICE_EVERY, VANISHED_EVERY = 101, 97, 103, 107      # damaged seeds, by order key
 RESTATE_RUN, RESTATE_DAYS, RESTATE_EMPTY_DAY = dt.date(2024, 1, 25), 14, dt.date(2024, 1, 20)
 # ---------------------------------------------------------------------------------
 
@@ -410,6 +412,87 @@ def q_checks_lineitem(spark, sf_dir):
         chk.Relationship("l_partkey", read_table(spark, sf_dir, "part"), "p_partkey")])
 
 
+def damaged_seeds(spark, sf_dir):
+    """Both payment seeds with the faults that the checks look for: acceptance
+    rows without id, with an unknown state, twice, or missing for a chargeback."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    seed = si.acceptance_seed(spark, sf_dir, o.where(F.coalesce(k % VANISHED_EVERY != 0, F.lit(True))))
+    ref = F.col("external_ref").cast("bigint")
+    seed = seed.withColumn("state", F.when(ref % UNKNOWN_EVERY == 0, " pending").otherwise(F.col("state")))
+    seed = seed.unionByName(seed.where(ref % TWICE_EVERY == 0))
+    seed = seed.withColumn("external_ref", F.when(ref % NO_ID_EVERY == 0, None).otherwise(F.col("external_ref")))
+    return seed, si.chargeback_seed(spark, sf_dir)
+
+
+def _failing(table: str, rule: str, column: str, count: str, source: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column, "
+            f"CAST({count} AS BIGINT) AS failing_rows FROM {source}")
+
+
+def _null_and_unique(table: str, nulls: tuple[str, ...], key: str) -> list[str]:
+    twice = f"(SELECT {key} FROM {table} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    return ([_failing(table, "not_null", c, f"count_if({c} IS NULL)", table) for c in nulls]
+            + [_failing(table, "unique", key, "count(*)", twice)])
+
+
+_CHECKS_PAYMENTS_SQL = f"""WITH kept AS (
+  SELECT *, CASE WHEN o_orderkey % {NO_ID_EVERY} = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS transaction_id,
+         CASE WHEN o_orderkey % {UNKNOWN_EVERY} = 0 THEN 'PENDING' WHEN o_orderstatus = 'F' THEN 'ACCEPTED'
+              ELSE 'DECLINED' END AS transaction_state, CAST(o_orderdate AS DATE) AS transaction_date
+  FROM orders WHERE coalesce(o_orderkey % {VANISHED_EVERY} <> 0, true)),
+acceptance AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE o_orderkey % {TWICE_EVERY} = 0),
+chargeback AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS transaction_id FROM lineitem),
+fact AS (SELECT a.* FROM acceptance a LEFT JOIN chargeback c ON a.transaction_id = c.transaction_id
+         WHERE a.transaction_id IS NOT NULL),
+daily AS (SELECT transaction_date, count_if(transaction_state = 'ACCEPTED') AS accepted_count,
+                 count(*) AS total_count FROM fact GROUP BY 1)
+""" + "\nUNION ALL ".join([
+    *_null_and_unique("acceptance", ("transaction_id", "transaction_state", "transaction_date"), "transaction_id"),
+    _failing("acceptance", "accepted_values", "transaction_state",
+             "count_if(transaction_state NOT IN ('ACCEPTED', 'DECLINED'))", "acceptance"),
+    _failing("acceptance", "expect", "amount_positive", "count_if(NOT coalesce(o_totalprice > 0, false))", "acceptance"),
+    *_null_and_unique("chargeback", ("transaction_id",), "transaction_id"),
+    _failing("chargeback", "relationships", "transaction_id", "count(*)",
+             "chargeback c WHERE transaction_id IS NOT NULL AND NOT EXISTS "
+             "(SELECT 1 FROM acceptance a WHERE a.transaction_id = c.transaction_id)"),
+    *_null_and_unique("fact", ("transaction_id", "transaction_date"), "transaction_id"),
+    _failing("fact", "accepted_values", "transaction_state",
+             "count_if(transaction_state NOT IN ('ACCEPTED', 'DECLINED'))", "fact"),
+    *_null_and_unique("daily", ("transaction_date",), "transaction_date"),
+    _failing("daily", "expect", "rate_between_0_and_1",
+             "count_if(NOT coalesce(accepted_count / total_count BETWEEN 0 AND 1, false))", "daily")])
+
+
+@query("checks_payments", stateful=True, covers=("C1", "C2", "C3", "C4", "C8", "J10"), sql=_CHECKS_PAYMENTS_SQL)
+def q_checks_payments(spark, sf_dir):
+    """Checks over staging, fact and daily report of damaged seeds. Rows without an
+    id are counted in staging, since the merge into the fact leaves them out. The
+    tables are written once, as a warehouse would check them."""
+    def stored(df, name):
+        path = work_dir(spark, f"checks-{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    acc_seed, cb_seed = damaged_seeds(spark, sf_dir)
+    acc = stored(pay.clean_acceptance(acc_seed), "acceptance")
+    cb = stored(pay.clean_chargeback(cb_seed), "chargeback")
+    fact = stored(pay.build_fact(pay.stage(acc, STAGE_TS1, check_unique=False),
+                                 pay.stage(cb, STAGE_TS1, check_unique=False), STAGE_TS1), "fact")
+    states = chk.AcceptedValues("transaction_state", [pay.ACCEPTED, pay.DECLINED])
+    rules = {
+        "acceptance": (acc, [chk.NotNull(["transaction_id", "transaction_state", "transaction_date"]), states,
+                             chk.Expect("amount_positive", F.col("amount") > 0), chk.Unique(["transaction_id"])]),
+        "chargeback": (cb, [chk.NotNull(["transaction_id"]), chk.Unique(["transaction_id"]),
+                            chk.Relationship("transaction_id", acc)]),
+        "fact": (fact, [chk.NotNull(["transaction_id", "transaction_date"]), states, chk.Unique(["transaction_id"])]),
+        "daily": (pay.acceptance_daily(fact), [chk.NotNull(["transaction_date"]), chk.Unique(["transaction_date"]),
+                                               chk.Expect("rate_between_0_and_1",
+                                                          F.col("acceptance_rate").between(0, 1))])}
+    found = [chk.run_checks(spark, df, r).select(F.lit(name).alias("table_name"), "*")
+             for name, (df, r) in rules.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("join_match_counts", covers=("J11",), sql="""
 SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(count(c.k) AS BIGINT) AS matched_rows
 FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem) c ON o.o_orderkey = c.k
