@@ -8,6 +8,9 @@ so that there are few rounds even for texts of many megabytes.
 
 Counting is combined before the shuffle and the counts are joined back (a join
 whose large partitions AQE splits), so a group of any size is never gathered.
+The join is a shuffle at every size: the groups grow with the input, so they
+are not broadcast on small inputs either, and what a run costs there is in
+proportion to what it costs on large ones.
 """
 
 from __future__ import annotations
@@ -22,7 +25,6 @@ from wharf.llm.common import ascii_lower, materialise
 FIRST_BYTES = 64
 GROWTH = 8
 MOST_BYTES = 1 << 20                  # bytes compared in one round, a memory bound
-BROADCAST_BYTES = 32 << 20            # groups of a round sent to every executor at most, else texts are shuffled
 
 
 def normalised(text):
@@ -53,9 +55,8 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", carry
             state.groupBy("group", "chunk").agg(F.count("*").alias("n")).where("n > 1")
             .select("group", "chunk", F.monotonically_increasing_id().alias("next")), f"radix-groups-{at}")
         ended = F.col("length") <= at + width
-        few = groups.count() * (width + 32) <= BROADCAST_BYTES
         split = materialise(
-            state.join(F.broadcast(groups) if few else groups, ["group", "chunk"], "left")
+            state.join(groups.hint("merge"), ["group", "chunk"], "left")
             .select("who", "row", "length", "text_sha256", F.col("next").alias("group"),
                     F.when(F.col("next").isNotNull() & ~ended, F.col("bytes")).alias("bytes")), f"radix-{at}")
         done.append(split.where("bytes is null").select(
@@ -71,7 +72,7 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", carry
     best = materialise(rows.where("group is not null").groupBy("round", "group")
                        .agg(F.count("*").alias("n"), F.max(first).alias("best")), "radix-best")
     alone = F.col("n").isNull()
-    return (rows.join(best, ["round", "group"], "left")
+    return (rows.join(best.hint("merge"), ["round", "group"], "left")
             .select("who.*", F.when(alone, F.col(f"who.`{key}`")).otherwise(F.col("best.key")).alias("keep_id"),
                     F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
                     (alone | (F.col("best.row") == F.col("row"))).alias("kept"), "text_sha256"))
