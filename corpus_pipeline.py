@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharf.llm import decontamination, mixing, near_dedup, quality, sharding
-from wharf.llm.common import collected, count_words, materialise, read, release
+from wharf.llm.common import ROW, collected, count_words, materialise, pack, read, release, unpack
 from wharf.llm.queries import SHARDS
 
 #: QDA scores, near-copies and shuffles are beyond SQL; tests compare with a plain rewrite.
@@ -36,26 +36,35 @@ def _stage(fn, first: bool = False):
     return run
 
 
-def _without(docs: DataFrame, decided: DataFrame, dropped) -> DataFrame:
-    """``docs`` without the ids that a decision drops. Rows without an id stay,
-    and so do ids that the decision both drops and keeps."""
-    gone = (decided.where("doc_id is not null").groupBy("doc_id").agg(F.min(dropped).alias("dropped"))
-            .where("dropped").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as written, each with a number: what a stage decides on."""
+    return materialise(pack(docs, row=F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _fields(rows: DataFrame) -> DataFrame:
+    return rows.select("row", f"{ROW}.doc_id", f"{ROW}.text")
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Numbered rows without those of ``gone``, one by one: whatever their ids."""
+    return unpack(rows.join(gone.select("row"), "row", "left_anti"))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.classify(docs, read(spark, sf_dir, "labels"))
-    return _without(docs, scored, F.col("predicted") == 0)
+    rows = _numbered(docs)
+    scored = quality.classify(_fields(rows), read(spark, sf_dir, "labels"), row="row")
+    return _without(rows, scored.where("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_dedup.near_duplicates(docs), ~F.col("kept"))
+    """One row of each component, null ids and repeated rows included."""
+    rows = _numbered(docs)
+    return _without(rows, near_dedup.near_duplicates(_fields(rows), row="row").where(~F.col("first")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = decontamination.mark_benchmark(docs.select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
-    return _without(docs, marked, F.col("contaminated"))
+    marked = decontamination.mark_benchmark(docs, read(spark, sf_dir, "benchmark"))
+    return marked.where(~F.col("contaminated")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,3 +86,27 @@ def test_pipeline_with_nulls_and_repeats(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_pipeline_decides_on_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+
+    def stage(n, rows):
+        df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], docs.schema)
+        return Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.STAGES[n][1](spark, df, SF).collect())
+
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    scored = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect()
+    good = [(r["doc_id"], texts[r["doc_id"]]) for r in scored if r["predicted"] == 1]
+    bad = [(r["doc_id"], texts[r["doc_id"]]) for r in scored if r["predicted"] == 0]
+    other = next(r["doc_id"] for r in scored if r["predicted"] == 1 and r["held_out"])   # its rows teach nothing
+    rows = good + bad + [(None, t) for _, t in good + bad] + [(other, bad[0][1])]
+    assert bad and stage(0, rows) == Counter(good + [(None, t) for _, t in good])
+
+    t, u = "p q r s t u", "k l m n o"
+    rows = [(4, t), (4, t), (None, t), (9, t), (None, u), (None, u), (None, u), (None, None), (None, None), (3, ""), (3, "")]
+    assert stage(1, rows) == Counter([(4, t), (None, u), (None, None), (None, None), (3, ""), (3, "")])
+
+    leaked = spark.read.parquet(f"{SF}/benchmark.parquet").head()["text"]
+    rows = [(None, leaked), (7, leaked), (7, "own words"), (None, "own words"), (8, None), (8, None)]
+    assert stage(2, rows) == Counter([(7, "own words"), (None, "own words"), (8, None), (8, None)])

@@ -128,7 +128,8 @@ def _sign(k: int, n: int, seed: int):
             ends = np.concatenate([[0], np.cumsum(size > 0)]) * n
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(_digests(words, batch.num_rows), pa.binary()), pa.array(size),
-                 _arrays(sig.ravel(), ends, np.int32)], ["id", "node", "size", "sig"])
+                 _arrays(sig.ravel(), ends, np.int32), *batch.columns[2:]],
+                ["id", "node", "size", "sig", *batch.schema.names[2:]])
     return run
 
 
@@ -311,9 +312,12 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK,
-                    seed: int = SEED) -> DataFrame:
+                    seed: int = SEED, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
-    doc_id reachable by links) and kept (whether it is that document).
+    doc_id reachable by links) and kept (whether it is that document); with
+    ``row``, a column of different row numbers, also row and first (true for
+    exactly one row of each component: the lowest id's, null ids last, with the
+    lowest number; a row without shingles is a component of its own).
 
     Links join documents whose sets of ``shingle``-word shingles (A-Z lower-cased)
     have 100 * common >= percent * union; fewer words make one shingle. Null or
@@ -323,9 +327,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     their fate if their texts do. Empty table: no rows.
     """
     least = percent / 100 - SLACK
-    own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    numbers, more = ([F.col(row).cast("long").alias("row")], ", row long") if row else ([], "")
+    own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), *numbers)
     signed = materialise(own.mapInArrow(_sign(shingle, bands * rows, seed),
-                                        "id long, node binary, size long, sig array<int>"), "near-signed")
+                                        f"id long, node binary, size long, sig array<int>{more}"), "near-signed")
     # written before it is joined back, here and below, so that AQE can split a bucket's rows
     some = F.xxhash64("node")
     shared = materialise(_buckets(signed, bands, rows).groupBy("bucket")
@@ -349,11 +354,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
                                 sets, percent), "near-links")
     if not more.isEmpty():
         roots = connected_components(stars.union(more))
-    placed = (signed.select("id", "node", "size").join(roots, "node", "left")
+    placed = (signed.drop("sig").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
-    smallest = materialise(placed.where("root is not null").groupBy("root").agg(F.min("id").alias("smallest")),
+    first = [F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias("first")] if row else []
+    smallest = materialise(placed.where("root is not null").groupBy("root").agg(F.min("id").alias("smallest"), *first),
                            "near-smallest")
     component = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("smallest"))
+    decided = [F.col("row"), (F.col("root").isNull() | (F.col("row") == F.col("first"))).alias("first")] if row else []
     return (placed.join(smallest, "root", "left")
             .select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"),
-                    component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")))
+                    component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), *decided))

@@ -148,7 +148,7 @@ def _features(it):
         x = statistics(batch.column(1))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(
-                pa.list_(pa.float64()))], ["doc_id", "x"])
+                pa.list_(pa.float64())), *batch.columns[2:]], ["doc_id", "x", *batch.schema.names[2:]])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -190,24 +190,27 @@ def learn(features: DataFrame, labels: DataFrame) -> Quadratic | Constant:
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
-             threshold: float = THRESHOLD) -> DataFrame:
+             threshold: float = THRESHOLD, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (probability of
-    quality 1) and predicted (1 if score >= threshold).
+    quality 1) and predicted (1 if score >= threshold); with ``row``, a column
+    of row numbers, also row.
 
     Null and empty texts are scored by their statistics like any other. Repeated
     rows score alike. Labels of unknown ids, null ids and values other than 0
     and 1 count for nothing. Without two labelled rows of each class the score
     is the share of label 1 (0.5 without labels). Empty table: no rows.
     """
-    features = materialise(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-                           .mapInArrow(_features, "doc_id long, x array<double>"), "quality-features")
+    numbers, more = ([F.col(row).cast("long").alias("row")], ", row long") if row else ([], "")
+    features = materialise(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *numbers)
+                           .mapInArrow(_features, f"doc_id long, x array<double>{more}"), "quality-features")
     model = learn(features, labels)
 
     def score(it):
         for batch in it:
             s = model.score(_matrix(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), *batch.columns[2:]],
+                                             ["doc_id", "score", *batch.schema.names[2:]])
 
-    return (features.mapInArrow(score, "doc_id long, score double")
+    return (features.mapInArrow(score, f"doc_id long, score double{more}")
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                    (F.col("score") >= threshold).cast("int").alias("predicted")))
+                    (F.col("score") >= threshold).cast("int").alias("predicted"), *(["row"] if row else [])))
