@@ -76,3 +76,19 @@ def test_edges(spark):
                            ("None", "n", "linked", "1", "1"), ("None", "None", "unanswered", "0", "0"),
                            ("None", "gone", "orphan", "None", "None"), ("None", "None", "orphan", "None", "None")])
     assert run(spark, [], []) == [] and [r["status"] for r in run(spark, [], [("a", "x")])] == ["orphan"]
+
+
+def test_calls_without_an_id(spark):
+    calls = [(1, 3, None, "search", '{"a":1}', None), (1, 3, None, "fetch", '{"a":2}', None), (1, 4, "b", "add", "{}", None),
+             (1, 3, None, "fetch", '{"a":2}', None)]
+    calls += [(2, None, None, "add", f'{{"a":{i}}}', None) for i in range(600)] + [(2, None, "z", "add", "{}", None)]
+    out = run(spark, calls, [("b", "one"), (None, "nobody")])
+    assert len(out) == len(calls) + 1
+    loose = [r for r in out if r["call_id"] is None and r["status"] != "orphan"]
+    assert {(r["status"], r["level"]) for r in loose} == {("unanswered", 0)}
+    assert sorted(r["tool"] for r in loose if r["conv_id"] == 1) == ["fetch", "fetch", "search"]
+    assert len({r["message"] for r in loose if r["conv_id"] == 2}) == 600
+    place = {(r["conv_id"], r["call_id"]): r["place"] for r in out if r["call_id"]}
+    assert place == {(1, "b"): 3, (2, "z"): 600}
+    for conv, n in ((1, 4), (2, 601)):
+        assert sorted(r["place"] for r in out if r["conv_id"] == conv) == list(range(n))

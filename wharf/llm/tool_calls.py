@@ -83,17 +83,19 @@ def link(calls: DataFrame, results: DataFrame, tools: Mapping[str, Schema]) -> D
     status: ``linked``, ``unanswered`` (no result), ``orphan`` (a result without
     a call: conversation, place and message null) or ``cycle`` (no level and no
     place). Dependencies on unknown calls and null ones count for nothing. A null
-    call_id links with nothing. Of repeated calls (same id) the smallest row
-    counts, of repeated results every one is a row. Arguments that are null or
+    call_id links with nothing, and each call without one is a row of its own, at
+    level 0. Of repeated calls (same id) the smallest row counts, of repeated
+    results every one is a row. Arguments that are null or
     not JSON are a problem, not an error; the message then has them as null.
     Empty tables: no rows of that side. Further columns are not carried.
     """
     parsed = F.try_parse_json("arguments")
-    calls = (calls.select("conv_id", "turn", "call_id", "tool", "arguments",
-                          F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"))
-             .groupBy("call_id", F.when(F.col("call_id").isNull(), F.struct("conv_id", "turn")).alias("k"))
+    calls = calls.select("conv_id", "turn", "call_id", "tool", "arguments",
+                         F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"))
+    calls = (calls.where("call_id is not null").groupBy("call_id")
              .agg(F.min(F.struct("conv_id", "turn", "tool", "arguments", "depends_on")).alias("c"))
-             .select("call_id", "c.*"))
+             .select("call_id", "c.*").unionByName(calls.where("call_id is null"))
+             .withColumn("row", F.monotonically_increasing_id()))
     calls = materialise(calls.withColumn("problems", problems(F.col("arguments"), parsed, F.col("tool"), tools)),
                         "calls")
     levels = _levels(calls.where("call_id is not null"))
@@ -101,19 +103,24 @@ def link(calls: DataFrame, results: DataFrame, tools: Mapping[str, Schema]) -> D
         F.col("call_id").isNull(), F.lit(0)).otherwise(F.col("level")))
     # place = calls of the conversation at lower levels, or at this one in earlier
     # stretches, or earlier in this stretch: no task holds a whole conversation
-    stretch = ["conv_id", "level", "stretch"]
-    placed = placed.withColumn("stretch", F.floor(F.col("turn") / F.lit(float(TURNS))))
-    upto = Window.partitionBy("conv").orderBy("level", "stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretch = ["conv_id", "level", "stretch", "part"]
+    # calls with neither turn nor id would be one stretch: they are cut by row, and come first
+    loose = F.col("turn").isNull() & F.col("call_id").isNull()
+    placed = placed.withColumns({"stretch": F.floor(F.col("turn") / F.lit(float(TURNS))),
+                                 "part": F.when(loose, F.floor(F.col("row") / F.lit(float(TURNS))))})
+    upto = (Window.partitionBy("conv").orderBy("level", "stretch", F.col("part").asc_nulls_last())
+            .rowsBetween(Window.unboundedPreceding, -1))
     starts = (placed.where("level is not null").groupBy(*stretch).agg(F.count("*").alias("n"))
               .withColumn("conv", F.col("conv_id"))
               .select(*[F.col(c).alias(f"s_{c}") for c in stretch], F.coalesce(F.sum("n").over(upto), F.lit(0))
                       .alias("start")))
     same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in stretch]
-    inside = Window.partitionBy(*stretch).orderBy("turn", "call_id")
-    placed = (placed.join(starts, same[0] & same[1] & same[2], "left")
+    inside = Window.partitionBy(*stretch).orderBy("turn", "call_id", "row")
+    placed = (placed.join(starts, same[0] & same[1] & same[2] & same[3], "left")
               .withColumn("place", F.col("start") + F.row_number().over(inside) - 1))
     answers = results.select(F.col("call_id").alias("of"), "content", F.lit(True).alias("answered"))
-    rows = placed.join(answers, F.col("call_id") == F.col("of"), "full")
+    rows = (placed.where("call_id is not null").join(answers, F.col("call_id") == F.col("of"), "full")
+            .unionByName(placed.where("call_id is null"), allowMissingColumns=True))
     message = F.struct(
         F.to_json(F.try_parse_json("arguments")).alias("arguments"), F.col("call_id").alias("id"),
         F.col("tool").alias("name"), F.col("content").alias("result"))
