@@ -1,6 +1,7 @@
 """Registered document queries and the pipeline on the smallest tables."""
 import os
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -110,3 +111,20 @@ def test_pipeline_decides_on_rows(spark):
     leaked = spark.read.parquet(f"{SF}/benchmark.parquet").head()["text"]
     rows = [(None, leaked), (7, leaked), (7, "own words"), (None, "own words"), (8, None), (8, None)]
     assert stage(2, rows) == Counter([(7, "own words"), (None, "own words"), (8, None), (8, None)])
+
+
+def test_sharding_query_reads_its_shard_files(spark):
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = queries.op4_sharding(spark, SF)
+    files = out.inputFiles()
+    assert files and all("/shards-" in f and "/shard=" in f for f in files)
+    texts = spark.read.parquet(files[0].split("/shard=")[0])
+    assert {r["doc_id"]: r["text"] or "" for r in texts.collect()} == docs
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in out.collect()} == {
+        i: (len(t.encode()) + 8, zlib.crc32(t.encode())) for i, t in docs.items()}
+
+
+def test_mixing_query_sorts_texts(spark):
+    plan = queries.op3_mixing(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    sort = next(n for n, line in enumerate(plan.split("\n")) if "Sort [first_position" in line)
+    assert "AS text#" in plan.split("\n")[sort + 1]

@@ -40,21 +40,28 @@ def release(spark: SparkSession, paths: list[str]) -> None:
         delete_path(spark, paths.pop())
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def work_table(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a table, among the collected ones."""
+    path = work_dir(spark, name)
+    for paths in _collecting:
+        paths.append(path)
+    return path
+
+
+def materialise(df: DataFrame, name: str, **options: str | int) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
     Later passes then see the same rows and row numbers whatever executors
     are lost meanwhile, and do not repeat the work above. Python stages get
-    smaller batches meanwhile, since a row may hold a long text.
+    smaller batches meanwhile, since a row may hold a long text. ``options``
+    are the writer's, for its codec.
     """
     spark = df.sparkSession
-    path = work_dir(spark, name)
-    for paths in _collecting:
-        paths.append(path)
+    path = work_table(spark, name)
     usual = spark.conf.get(BATCH)
     spark.conf.set(BATCH, min(int(usual), BATCH_ROWS) if int(usual) > 0 else BATCH_ROWS)
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(BATCH, usual)
     return spark.read.schema(df.schema).parquet(path)

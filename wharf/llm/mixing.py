@@ -28,6 +28,8 @@ SHAPES = (((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.5), (0.5,
 SHARE = 1.5                            # words of the mix, of all words
 CAP = 2.0                              # most of a source's words, of its own
 SEED = 20240201
+#: How the texts are written that are shuffled twice afterwards.
+_SMALL = {"compression": "zstd", "parquet.compression.codec.zstd.level": 9}
 _HEX = 10                              # hex digits of the seeded order
 _ORDER_SPAN = float(16 ** _HEX)
 
@@ -102,7 +104,7 @@ def curriculum(docs: DataFrame, size: Column, source: str = "source", key: str =
     Empty table: no rows. Input columns named like an added one give way to it.
     """
     base = materialise(pack(docs, source=F.col(source), size=F.coalesce(size, F.lit(0)).cast("long"),
-                            key=F.col(key), place=seeded_order(F.col(key), seed)), "mixing")
+                            key=F.col(key), place=seeded_order(F.col(key), seed)), "mixing", **_SMALL)
     per_source = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     plan = materialise(targets(per_source, weights, share, cap)
                        .withColumnRenamed("source", "plan_source"), "mixing-targets")

@@ -61,20 +61,24 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", count_words(F.col("text")).alias("words"))
-    mixed = mixing.curriculum(docs, F.col("words"))
-    return (mixed.select("doc_id", "size", "source_size", "target", "taken",
-                         F.get("positions", F.lit(0)).alias("first_position"))
-            .orderBy("first_position", "doc_id"))            # what is never taken would else be one range
+    """The texts go through the mix and its range sort; sizes are those of the sorted texts."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.curriculum(docs, count_words(F.col("text")))
+    ordered = (mixed.select("doc_id", "text", "source_size", "target", "taken",
+                            F.get("positions", F.lit(0)).alias("first_position"))
+               .orderBy("first_position", "doc_id"))         # what is never taken would else be one range
+    return ordered.select("doc_id", count_words(F.col("text")).alias("size"), "source_size", "target", "taken",
+                          "first_position")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts go through both passes into the shard files; sizes and checksums are those of the files' texts."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce("text", F.lit(""))
-    docs = read(spark, sf_dir, "documents").select(
-        "doc_id", F.crc32(text.cast("binary")).alias("text_crc32"),
-        (F.octet_length(text) + 8).cast("long").alias("bytes"))
-    return (sharding.shard(docs, SHARDS, F.col("bytes"))
-            .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"))
+    size = (F.octet_length(text) + 8).cast("long")
+    written = sharding.written_shards(sharding.shard(docs, SHARDS, size))
+    return written.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "law",
+                          "shard", "slot", "grown_shard")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

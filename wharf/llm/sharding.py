@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wharf.llm.common import materialise, pack, unpack
+from wharf.llm.common import materialise, pack, unpack, work_table
 
 SEED = 20240202
 BUCKET_BYTES = 16 << 20
@@ -46,7 +46,7 @@ def shard(docs: DataFrame, n_shards: int, size: Column, key: str = "doc_id",
                            shard=highest_weight(k, n_shards, seed),
                            grown_shard=highest_weight(k, n_shards + 1, seed),
                            hash=F.xxhash64(F.lit(seed + 1), k), row=F.monotonically_increasing_id()),
-                      "sharding-pass1")
+                      "sharding-pass1", compression="zstd")
     total = one.agg(F.sum("size")).head()[0] or 0
     per_shard = max(1, -(-total // (n_shards * bucket_bytes)))
     one = one.withColumn("bucket", F.pmod(F.col("hash"), F.lit(per_shard)))
@@ -78,7 +78,16 @@ def shard(docs: DataFrame, n_shards: int, size: Column, key: str = "doc_id",
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, its rows in files sorted by slot. Rows are dealt by
-    shard and range of slots, so a large shard is written by many tasks."""
-    (sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    """One folder per shard, its rows in files sorted by slot. What ``shard``
+    returns is dealt out by bucket already, and a bucket's slots follow each
+    other, so its texts are not shuffled again and many tasks write a large shard."""
+    (sharded.sortWithinPartitions("shard", "slot")
      .write.mode("overwrite").partitionBy("shard").parquet(path))
+
+
+def written_shards(sharded: DataFrame, name: str = "shards") -> DataFrame:
+    """The records of the shard files, written to the cluster's shared folder."""
+    spark = sharded.sparkSession
+    path = work_table(spark, name)
+    write_shards(sharded, path)
+    return spark.read.schema(sharded.schema).parquet(path)
