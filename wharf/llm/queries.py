@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wharf.llm import (decontamination, exact_dedup, licences, line_dedup, mixing, near_dedup, oracles, quality,
-                       sharding, token_counts, tool_calls)
-from wharf.llm.common import count_words, materialise, read
+from wharf.llm import (decontamination, exact_dedup, licences, line_dedup, manifest, mixing, near_dedup, oracles,
+                       quality, sharding, token_counts, tool_calls)
+from wharf.llm.common import ROW, count_words, materialise, read
 
 SHARDS = 24
 #: What a redaction pass takes out of the texts whose tokens op7 counts: e-mail addresses and long numbers.
@@ -113,6 +113,23 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; where 7 divides crc32(doc_id), n_chars was tampered with (a null id or n_chars stays)."""
+    docs = read(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    parts = lambda n: manifest.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text"))
+    own = parts(F.col("n_chars"))
+    tampered = F.when(hit & F.col("n_chars").isNotNull(), parts(F.col("n_chars") + 1))
+    leaves = manifest.leaves(docs, "lang", "doc_id", own, {"doc_id": F.col("doc_id"), "tampered": tampered})
+    leaves = materialise(leaves, "manifest-ranked")
+    proofs = manifest.prove(leaves, manifest.build(leaves))
+    back = manifest.folded(F.coalesce(f"{ROW}.tampered", "leaf"), F.col("proof"))
+    return (proofs.select(f"{ROW}.doc_id", "leaf", "subroot", "root",
+                          F.sha2(F.array_join(manifest.siblings(F.col("proof")), ""), 256).alias("proof_sha256"),
+                          back.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_tool_calls": (op1_tool_calls, oracles.TOOL_CALLS),
     "op2_licence_scan": (op2_licence_scan, oracles.LICENCE_SCAN),
@@ -124,6 +141,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, oracles.DECONTAMINATION),
     "op10_near_dedup": (op10_near_dedup, oracles.NEAR_DEDUP),
+    "op13_manifest": (op13_manifest, oracles.MANIFEST),
 }
 
 
