@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wharf.session import work_dir
@@ -19,6 +20,7 @@ NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000                               # documents handed to a Python worker at a time
+PART_BITS = 33                                  # bits of monotonically_increasing_id below the partition
 
 
 _collecting: list[list[str]] = []
@@ -95,3 +97,40 @@ def count_words(c: Column) -> Column:
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def numbered(rows: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with their place in their group (``index``) and its size (``n``).
+
+    One range sort; a group that spans several ranges, however large, is
+    numbered by adding up the rows of the ranges before, one number a range.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (group, *order, "_tie")]
+    ordered = materialise(rows.withColumn("_tie", F.monotonically_increasing_id())
+                          .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+                          .withColumn("place", F.monotonically_increasing_id()), name)
+    ordered = ordered.withColumn("part", F.shiftright("place", PART_BITS))
+    runs = ordered.groupBy(group, "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+    own = Window.partitionBy(group)
+    runs = runs.select(F.col(group).alias("_group"), F.col("part").alias("_part"), F.sum("rows").over(own).alias("n"),
+                       (F.sum("rows").over(own.orderBy("part")) - F.col("rows") - F.col("first")).alias("shift"))
+    return (ordered.join(runs, ordered[group].eqNullSafe(runs["_group"]) & (ordered["part"] == runs["_part"]))
+            .withColumn("index", F.col("place") + F.col("shift")).drop("_group", "_part", "shift", "place", "part"))
+
+
+def groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of equal ``keys``, from sorted batches; only the rows of the last group are held back."""
+    rest: pa.RecordBatch | None = None
+    for batch in batches:
+        if rest is not None and rest.num_rows:
+            joined = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()
+            batch = joined[0] if len(joined) == 1 else pa.concat_batches(joined)
+        values = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True))
+        at = 0
+        for i in range(1, len(values)):
+            if values[i] != values[i - 1]:
+                yield batch.slice(at, i - at)
+                at = i
+        rest = batch.slice(at)
+    if rest is not None and rest.num_rows:
+        yield rest

@@ -30,16 +30,15 @@ from collections.abc import Iterator, Sequence
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wharf.llm.common import ROW, materialise
+from wharf.llm.common import ROW, groups, materialise, numbered
 
 BITS = 8                               # levels of a round; a block has 2 ** BITS nodes
 TREE, TOP = 0, 1                       # nodes of the single trees, and of the tree over their roots
 _IS_ROOT = "shiftright(n - 1, level) = 0"                  # no node stands above the first with this
-_PART = 33                             # bits of monotonically_increasing_id below the partition
 
 NODES = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("tree", T.StringType()),
                       T.StructField("n", T.LongType()), T.StructField("level", T.IntegerType()),
@@ -57,32 +56,13 @@ def leaf_hash(*fields: Column) -> Column:
     return F.sha2(F.concat(*[written(c) for c in fields]), 256)
 
 
-def _numbered(rows: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
-    """``rows`` with their place in their group (``index``) and its size (``n``).
-
-    One range sort; a group that spans several ranges, however large, is
-    numbered by adding up the rows of the ranges before, one number a range.
-    """
-    keys = [F.col(c).asc_nulls_first() for c in (group, *order, "_tie")]
-    ordered = materialise(rows.withColumn("_tie", F.monotonically_increasing_id())
-                          .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
-                          .withColumn("place", F.monotonically_increasing_id()), name)
-    ordered = ordered.withColumn("part", F.shiftright("place", _PART))
-    runs = ordered.groupBy(group, "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
-    own = Window.partitionBy(group)
-    runs = runs.select(F.col(group).alias("_group"), F.col("part").alias("_part"), F.sum("rows").over(own).alias("n"),
-                       (F.sum("rows").over(own.orderBy("part")) - F.col("rows") - F.col("first")).alias("shift"))
-    return (ordered.join(runs, ordered[group].eqNullSafe(runs["_group"]) & (ordered["part"] == runs["_part"]))
-            .withColumn("index", F.col("place") + F.col("shift")).drop("_group", "_part", "shift", "place", "part"))
-
-
 def leaves(docs: DataFrame, tree: str, order: str, leaf: Column, carry: dict[str, Column]) -> DataFrame:
     """Numbered leaves: ROW (the carried columns), tree, hash, n, index, and the tree's rank among ``trees``."""
     rows = docs.select(F.struct(*[c.alias(n) for n, c in carry.items()]).alias(ROW),
                        F.col(tree).cast("string").alias("tree"), F.col(order).alias("at"), leaf.alias("hash"))
-    found = materialise(_numbered(rows, "tree", ["at", "hash"], "manifest-order").drop("at"), "manifest-leaves")
+    found = materialise(numbered(rows, "tree", ["at", "hash"], "manifest-order").drop("at"), "manifest-leaves")
     trees = found.where("index = 0").select(F.lit(0).alias("all"), F.col("tree").alias("_tree"))
-    trees = (_numbered(trees, "all", ["_tree"], "manifest-trees")
+    trees = (numbered(trees, "all", ["_tree"], "manifest-trees")
              .select("_tree", F.col("index").alias("rank"), F.col("n").alias("trees")))
     return found.join(trees, found["tree"].eqNullSafe(trees["_tree"])).drop("_tree")
 
@@ -91,24 +71,6 @@ def _h(text: str) -> str:
     return sha256(text.encode()).hexdigest()
 
 
-def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of equal ``keys``, from sorted batches; only the rows of the last group are held back."""
-    rest: pa.RecordBatch | None = None
-    for batch in batches:
-        if rest is not None and rest.num_rows:
-            joined = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()
-            batch = joined[0] if len(joined) == 1 else pa.concat_batches(joined)
-        values = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True))
-        at = 0
-        for i in range(1, len(values)):
-            if values[i] != values[i - 1]:
-                yield batch.slice(at, i - at)
-                at = i
-        rest = batch.slice(at)
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _batches(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
@@ -116,13 +78,13 @@ def _batches(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
         cols, schema, strict=True)], names=schema.names)
 
 
-def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The parents, up to BITS levels up, of each block of consecutive nodes."""
+def _grow(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The parents, up to ``bits`` levels up, of each block of consecutive nodes."""
     made: list[tuple] = []
-    for block in _groups(batches, "kind", "tree", "block"):
+    for block in groups(batches, "kind", "tree", "block"):
         kind, tree, n, level = (block.column(c)[0].as_py() for c in ("kind", "tree", "n", "level"))
         first, hashes = block.column("index")[0].as_py(), block.column("hash").to_pylist()
-        for up in range(level + 1, level + BITS + 1):
+        for up in range(level + 1, level + bits + 1):
             if (n - 1) >> (up - 1) == 0:                           # the level below is the root
                 break
             first >>= 1
@@ -137,13 +99,13 @@ def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _forest(level0: DataFrame, name: str) -> DataFrame:
     """All nodes of trees whose leaves are ``level0`` (NODES columns)."""
     most = level0.agg(F.max("n")).first()[0] or 0
-    nodes, now = level0, level0
-    for level in range(0, (most - 1).bit_length() if most else 0, BITS):
+    nodes, now, bits = level0, level0, BITS
+    for level in range(0, (most - 1).bit_length() if most else 0, bits):
         blocks = (now.where(F.shiftright(F.col("n") - 1, level) > 0)
-                  .withColumn("block", F.shiftright("index", BITS)).repartition("kind", "tree", "block")
+                  .withColumn("block", F.shiftright("index", bits)).repartition("kind", "tree", "block")
                   .sortWithinPartitions("kind", "tree", "block", "index"))
-        made = materialise(blocks.mapInArrow(_grow, NODES), f"{name}-{level + BITS}")
-        nodes, now = nodes.unionByName(made), made.where(F.col("level") == level + BITS)
+        made = materialise(blocks.mapInArrow(lambda b: _grow(b, bits), NODES), f"{name}-{level + bits}")
+        nodes, now = nodes.unionByName(made), made.where(F.col("level") == level + bits)
     return nodes
 
 
@@ -175,7 +137,7 @@ def missing(known: Sequence[int], n: int) -> Iterator[tuple[int, int]]:
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked: list[tuple] = []
-    for part in _groups(batches, "tree", "block"):
+    for part in groups(batches, "tree", "block"):
         tree, block, n, rank, trees = (part.column(c)[0].as_py() for c in ("tree", "block", "n", "rank", "trees"))
         asked += [(tree, block, TREE, *at) for at in missing(part.column("index").to_pylist(), n)]
         asked += [(tree, block, TOP, *at) for at in missing([rank], trees)]
@@ -211,7 +173,7 @@ def _way(i: int, levels: list[dict[int, str]]) -> list[str]:
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Single proofs of each partition's leaves, out of its fetched nodes, which come first."""
-    for part in _groups(batches, "tree", "block"):
+    for part in groups(batches, "tree", "block"):
         is_leaf, at = part.column("is_leaf").to_pylist(), part.column("index").to_pylist()
         hashes, kinds, level = (part.column(c).to_pylist() for c in ("hash", "kind", "level"))
         cut = is_leaf.index(True)

@@ -6,13 +6,15 @@ Every query reads its whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from hashlib import sha256
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wharf.llm import (decontamination, exact_dedup, licences, line_dedup, manifest, mixing, near_dedup, oracles,
-                       quality, sharding, token_counts, tool_calls)
+from wharf.llm import (decontamination, exact_dedup, fingerprints, licences, line_dedup, manifest, mixing, near_dedup,
+                       oracles, quality, sharding, successors, token_counts, tool_calls)
 from wharf.llm.common import ROW, count_words, materialise, read
 
 SHARDS = 24
@@ -113,6 +115,43 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+_EDITED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+           "near_edited double, near_next double")
+_AT_ONCE = 1 << 21                     # characters sketched at a time
+
+
+def _edit_and_compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents and their successors in order: the edited text, all three fingerprints and their likeness."""
+    def compared(rows: list[tuple]) -> pa.RecordBatch:
+        edited = [t[:len(t) - len(t) // 2] + after[:len(t) // 2] for _, t, after, _ in rows]
+        n, alone = len(rows), [i for i in range(len(rows)) if i + 1 == len(rows) or not rows[i + 1][3]]
+        texts = [r[1] for r in rows] + edited + [rows[i][2] for i in alone]
+        found = fingerprints.sketches(pa.array(texts, pa.large_string()))
+        own, changed = found[:n], found[n:2 * n]
+        after = dict(zip(alone, found[2 * n:], strict=True))
+        cols = [[r[0] for r in rows], [len(r[1]) for r in rows], [sha256(t.encode()).hexdigest() for t in edited],
+                [fingerprints.written(s) for s in own], [fingerprints.written(s) for s in changed],
+                [fingerprints.alike(a, b) for a, b in zip(own, changed, strict=True)],
+                [fingerprints.alike(a, after[i] if i in after else own[i + 1]) for i, a in enumerate(own)]]
+        kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                          names=[f.split()[0] for f in _EDITED.split(", ")])
+
+    rows, held = [], 0
+    for row in successors.pairs(batches):
+        rows.append(row)
+        held += len(row[1]) + len(row[2])
+        if held >= _AT_ONCE:
+            yield compared(rows)
+            rows, held = [], 0
+    if rows:
+        yield compared(rows)
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return successors.in_blocks(read(spark, sf_dir, "documents")).mapInArrow(_edit_and_compare, _EDITED)
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents; where 7 divides crc32(doc_id), n_chars was tampered with (a null id or n_chars stays)."""
     docs = read(spark, sf_dir, "documents")
@@ -141,6 +180,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, oracles.DECONTAMINATION),
     "op10_near_dedup": (op10_near_dedup, oracles.NEAR_DEDUP),
+    "op12_fingerprints": (op12_fingerprints, None),
     "op13_manifest": (op13_manifest, oracles.MANIFEST),
 }
 
