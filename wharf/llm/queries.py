@@ -12,8 +12,9 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wharf.llm import (decontamination, exact_dedup, fingerprints, licences, line_dedup, manifest, mixing, near_dedup,
+from wharf.llm import (conversation_repair, decontamination, exact_dedup, fingerprints, licences, line_dedup, manifest, mixing, near_dedup,
                        oracles, quality, sharding, successors, token_counts, tool_calls)
 from wharf.llm.common import ROW, count_words, materialise, read
 
@@ -115,6 +116,65 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults by crc32 of ``conv_id:turn``; nulls count as one space."""
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"),
+                                fault.alias("fault"))
+    return rows.where("fault <> 0").select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+
+
+_REPAIRED = T.StructType([T.StructField("conv", T.LongType()), T.StructField("audit", T.StringType()),
+                          T.StructField("repaired_sha256", T.StringType())])
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edit initials and digest of each repaired conversation, row by row out of the sorted edits."""
+    done: list[tuple] = []
+    conv, audit, digest = None, [], None
+    for b in batches:
+        for c, edit, role, text in zip(*[b.column(k).to_pylist() for k in ("conv", "edit", "role", "text")], strict=True):
+            if not audit or c != conv:
+                if audit:
+                    done.append((conv, "".join(audit), digest.hexdigest()))
+                conv, audit, digest, begun = c, [], sha256(), False
+            audit.append(edit)
+            if edit != "D":
+                digest.update(f"{chr(10) * begun}{role}:{text}".encode())
+                begun = True
+        if len(done) >= 1000:
+            yield _rows(done)
+            done = []
+    if audit:
+        done.append((conv, "".join(audit), digest.hexdigest()))
+    yield _rows(done)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.string()), strict=True)],
+                                      names=_REPAIRED.names)
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit and digest are read off the operator's edits, in order; a conversation's digest is one stream."""
+    given = read(spark, sf_dir, "conversations")
+    edits, summary = conversation_repair.repair(damaged(given))
+    repaired = (conversation_repair.in_order(edits.select("conv", "part", "chunk", "at", "k", "edit", "role", "text"))
+                .mapInArrow(_digests, _REPAIRED).withColumnRenamed("conv", "_conv"))
+    found = summary.join(repaired, F.col("conv").eqNullSafe(F.col("_conv"))).drop("_conv")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (given.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+            .select("conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+                    F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")))
+
+
 _EDITED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
            "near_edited double, near_next double")
 _AT_ONCE = 1 << 21                     # characters sketched at a time
@@ -180,6 +240,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, oracles.DECONTAMINATION),
     "op10_near_dedup": (op10_near_dedup, oracles.NEAR_DEDUP),
+    "op11_conversation_repair": (op11_conversation_repair, None),
     "op12_fingerprints": (op12_fingerprints, None),
     "op13_manifest": (op13_manifest, oracles.MANIFEST),
 }
