@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,8 +187,6 @@ def test_replace_and_drop_table(spark, tmp_dir):
 def test_unreachable_store_is_an_error_not_an_absent_table(spark):
     with pytest.raises(Exception, match="nosuchfs"):
         tb.path_exists(spark, "nosuchfs://bucket/table")
-    with pytest.raises(Exception, match="nosuchfs"):
-        tb.BucketedTable(spark, "nosuchfs://bucket/table", "k").exists()
 
 
 def test_ensure_table_never_writes_to_an_existing_one(spark, tmp_dir):
@@ -196,11 +195,14 @@ def test_ensure_table_never_writes_to_an_existing_one(spark, tmp_dir):
     assert tb.ensure_table(spark, f"{tmp_dir}/kept", schema).count() == 1
 
 
-def test_bucket_count_is_kept_with_the_table(spark, tmp_dir):
-    rows = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"))
-    tb.BucketedTable(spark, f"{tmp_dir}/b", "k", buckets=16).merge(rows, lambda s, c: s)
-    with pytest.raises(ValueError, match="16 buckets"):
-        tb.BucketedTable(spark, f"{tmp_dir}/b", "k", buckets=8).merge(rows.limit(3), lambda s, c: s)
-    again = tb.BucketedTable(spark, f"{tmp_dir}/b", "k", buckets=16)
-    again.merge(rows.limit(3), lambda s, c: inc.upsert(c, s, "k"))
-    assert again.read().count() == 100
+def test_replace_table_that_fails_leaves_the_old_one(spark, tmp_dir, monkeypatch):
+    p = f"{tmp_dir}/kept"
+    tb.replace_table(spark, spark.createDataFrame([(1,)], "x int"), p)
+    bad = spark.read.parquet(p).withColumn("x", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        tb.replace_table(spark, bad, p)
+    monkeypatch.setattr(tb, "_put_in_place", lambda *a: (_ for _ in ()).throw(OSError("no swap")))
+    with pytest.raises(OSError):
+        tb.replace_table(spark, spark.createDataFrame([(2,)], "x int"), p)
+    assert [r["x"] for r in spark.read.parquet(p).collect()] == [1]
+    assert os.listdir(tmp_dir) == ["kept"]

@@ -1,51 +1,6 @@
-import os
-
-import pytest
-from pyspark.sql import functions as F
-
-from wharf.operators.incremental import DuplicateKeyError, upsert
-from wharf.sources import tables as tb
 from wharf.streaming.ingest import ingest_event_files, read_ingested
 
 
-def _bucket_files(root):
-    out = {}
-    for d in sorted(os.listdir(root)):
-        if d.startswith(tb.BUCKET_COL + "="):
-            files = [f for f in os.listdir(os.path.join(root, d)) if f.endswith(".parquet")]
-            out[d] = {f: os.path.getmtime(os.path.join(root, d, f)) for f in files}
-    return out
-
-
-def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_dir):
-    root = f"{tmp_dir}/bt"
-    t = tb.BucketedTable(spark, root, "k", buckets=8)
-    first = spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v"))
-    t.merge(first, lambda src, cur: upsert(cur, src, "k"))
-    before = _bucket_files(root)
-    assert len(before) == 8 and all(len(f) == 1 for f in before.values())   # one file per bucket
-    change = spark.createDataFrame([("7", 1), ("new", 2)], "k string, v int")
-    touched = set(t.touched_buckets(change))
-    t.merge(change, lambda src, cur: upsert(cur, src, "k"))
-    after = _bucket_files(root)
-    for d, files in before.items():
-        b = int(d.split("=")[1].split("-of-")[0])
-        if b not in touched:
-            assert after[d] == files                                          # untouched: same file
-        else:
-            assert after[d] != files
-    got = {r["k"]: r["v"] for r in t.read().collect()}
-    assert len(got) == 201 and got["7"] == 1 and got["new"] == 2 and got["8"] == 0
-
-
-def test_bucketed_merge_rejects_duplicate_keys(spark, tmp_dir):
-    t = tb.BucketedTable(spark, f"{tmp_dir}/bt2", "k", buckets=4)
-    dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
-    with pytest.raises(DuplicateKeyError):
-        t.merge(dup, lambda src, cur: upsert(cur, src, "k"))
-    assert not t.exists()                                                     # nothing written
-
-
 def test_streaming_ingest_reads_each_file_once(spark, tmp_dir):
     src, tgt, bad, ckpt = (f"{tmp_dir}/{n}" for n in ("in", "out", "bad", "ckpt"))
     fields, types = ["id", "name"], {"id": "bigint"}
@@ -61,59 +16,3 @@ def test_streaming_ingest_reads_each_file_once(spark, tmp_dir):
     assert sorted(r["id"] for r in read_ingested(spark, tgt).collect()) == [1, 2, 3]
     probs = [(r["id"], r["problem"]) for r in spark.read.parquet(bad).collect()]
     assert probs == [("x", "unparseable record")]
-
-
-def test_bucketed_merge_rejects_null_keys(spark, tmp_dir):
-    from wharf.operators.incremental import NullKeyError
-    t = tb.BucketedTable(spark, f"{tmp_dir}/bt3", "k", buckets=4)
-    batch = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
-    with pytest.raises(NullKeyError):
-        t.merge(batch, lambda src, cur: upsert(cur, src, "k"))
-
-
-def test_bucketed_merge_key_checks_on_existing_table(spark, tmp_dir):
-    from wharf.operators.incremental import NullKeyError
-    t = tb.BucketedTable(spark, f"{tmp_dir}/bt4", "k", buckets=4)
-    t.merge(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), lambda s, c: upsert(c, s, "k"))
-    with pytest.raises(NullKeyError):
-        t.merge(spark.createDataFrame([("c", 1), (None, 2)], "k string, v int"), lambda s, c: upsert(c, s, "k"))
-    with pytest.raises(DuplicateKeyError):
-        t.merge(spark.createDataFrame([("a", 5), ("a", 6)], "k string, v int"), lambda s, c: upsert(c, s, "k"))
-    assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [("a", 1), ("b", 2)]   # unchanged
-
-
-def test_bucketed_watermark_tracked_during_writes(spark, tmp_dir):
-    import datetime as dt
-    t = tb.BucketedTable(spark, f"{tmp_dir}/bt5", "k", buckets=4)
-    ts = lambda d: dt.datetime(2024, 1, d)
-    first = spark.createDataFrame([("a", ts(1)), ("b", ts(3))], "k string, stamp timestamp_ntz")
-    t.merge(first, lambda s, c: upsert(c, s, "k"), track_max="stamp")
-    assert t.watermark("stamp") == ts(3)
-    # a later batch touching only some buckets: the mark is the max over the whole table
-    t.merge(spark.createDataFrame([("a", ts(2))], "k string, stamp timestamp_ntz"),
-            lambda s, c: upsert(c, s, "k"), track_max="stamp")
-    assert t.watermark("stamp") == ts(3)
-    t.merge(spark.createDataFrame([("c", ts(5))], "k string, stamp timestamp_ntz"),
-            lambda s, c: upsert(c, s, "k"), track_max="stamp")
-    assert t.watermark("stamp") == ts(5) == t.read().agg(F.max("stamp")).first()[0]
-    assert sorted(t.read().columns) == ["k", "stamp"]          # the mark folder is not table data
-
-
-def test_bucketed_watermark_falls_back_to_scan(spark, tmp_dir):
-    import datetime as dt
-    t = tb.BucketedTable(spark, f"{tmp_dir}/bt6", "k", buckets=4)
-    t.merge(spark.createDataFrame([("a", dt.datetime(2024, 1, 4))], "k string, stamp timestamp_ntz"),
-            lambda s, c: upsert(c, s, "k"), track_max="stamp")
-    tb.delete_path(spark, t._mark_path("stamp"))              # e.g. lost between two jobs
-    assert t.watermark("stamp") == dt.datetime(2024, 1, 4)
-
-
-def test_bucketed_merge_all_buckets_same_result(spark, tmp_dir):
-    a = tb.BucketedTable(spark, f"{tmp_dir}/ab1", "k", buckets=4)
-    b = tb.BucketedTable(spark, f"{tmp_dir}/ab2", "k", buckets=4)
-    first = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v"))
-    change = spark.createDataFrame([("3", 1), ("new", 2)], "k string, v int")
-    for t, full in ((a, False), (b, True)):
-        t.merge(first, lambda s, c: upsert(c, s, "k"))
-        t.merge(change, lambda s, c: upsert(c, s, "k"), all_buckets=full)
-    assert sorted(map(tuple, a.read().collect())) == sorted(map(tuple, b.read().collect()))

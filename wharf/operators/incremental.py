@@ -107,10 +107,9 @@ def stamp_and_merge(staged: DataFrame, target: DataFrame | None, key: str, run_t
     * key only in the target → row stays as it is (no deletes)
 
     ``staged`` must not hold a key twice (see ``assert_unique``); rows with a
-    NULL key are not merged.  One full outer join on the key replaces the
-    MERGE statement; the caller writes the result back (see
-    ``wharf.sources.tables.BucketedTable.merge``, which passes only the touched
-    buckets of the target).
+    NULL key are not merged (``wharf.sources.catalog.CatalogTable.merge`` raises
+    on them, ``wharf.operators.checks`` counts them).  One full outer join on the
+    key replaces the MERGE statement; the caller writes the result back.
     """
     ts = lit_ts(run_ts)
     staged = staged.where(F.col(key).isNotNull())
@@ -156,6 +155,27 @@ def upsert(target: DataFrame | None, src: DataFrame, key: str,
     return j.select(*out)
 
 
+def merge_versions(src: DataFrame, target: DataFrame | None, key: str, version: str) -> DataFrame:
+    """MERGE by key in which a row gives way only to one of the same or a later
+    ``version``, so a delivery that comes again late does not undo a correction.
+    ``src`` holds a key at most once; see ``latest_version``."""
+    if target is None:
+        return src
+    s = src.select(F.col(key).alias("_sk"), F.struct(*src.columns).alias("_s"))
+    t = target.select(F.col(key).alias("_tk"), F.struct(*src.columns).alias("_t"))
+    newer = F.col("_t").isNull() | (F.col(f"_s.{version}") >= F.col(f"_t.{version}"))
+    return (s.join(t, F.col("_sk") == F.col("_tk"), "full_outer")
+            .select(F.when(F.col("_s").isNotNull() & newer, F.col("_s")).otherwise(F.col("_t")).alias("_r")).select("_r.*"))
+
+
+def latest_version(df: DataFrame, key: str, version: str) -> DataFrame:
+    """One row for each key: the one of the latest version, ties by the greatest
+    row. An aggregate of a struct, so a hot key is combined before the shuffle."""
+    rest = [c for c in df.columns if c not in (key, version)]
+    return (df.groupBy(key).agg(F.max(F.struct(version, *rest)).alias("_r"))
+            .select(*[F.col(c) if c == key else F.col(f"_r.{c}") for c in df.columns]))
+
+
 def combined_stamp(left: Column, right: Column) -> Column:
     """Right stamp NULL → left; else the greater (Spark's greatest skips NULL)."""
     return F.greatest(left, right)

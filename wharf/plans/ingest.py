@@ -14,11 +14,13 @@ from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
 from wharf.plans.reports import users_transactions
-from wharf.session import read_table, work_dir
+from wharf.session import bucket_count, read_table, table_path, work_dir
 from wharf.sources import documents as docs
 from wharf.sources import events as evsrc
+from wharf.sources.catalog import CatalogTable, open_database
 from wharf.sources.files import read_csv, read_seed
-from wharf.streaming.ingest import ingest_event_files, read_ingested
+from wharf.sources.tables import path_bytes
+from wharf.streaming.ingest import ingest_event_files, merge_event_files, read_ingested, reconcile_loads
 
 # --- fixed values of the raw-event stand-in ----------------------------------
 EVENT_FIELDS = ["event_id", "event_timestamp", "platform", "user_id", "session_id",
@@ -35,14 +37,14 @@ def _q(c: F.Column) -> F.Column:
     return F.concat(F.lit("'"), c, F.lit("'"))
 
 
-def raw_event_lines(spark, sf_dir) -> DataFrame:
+def raw_event_lines(spark, sf_dir, events: DataFrame | None = None) -> DataFrame:
     """One almost-JSON line per event, as a game client would log it:
     single quotes, True/False/NULL words, ``'user_id': ,`` for a missing
     user, comma decimals for odd k, an apostrophe in some names, texts that
     look like structure (True, NULL, a colon before a comma), bytes that are
     no UTF-8, an unreadable time for k = 0, a line without a record for
     k = 98 and a broken one for k = 99."""
-    e = read_table(spark, sf_dir, "events")
+    e = read_table(spark, sf_dir, "events") if events is None else events
     k = F.get_json_object("props", "$.k").try_cast("int")
     uid = F.col("user_id")
     vtext = F.col("value").cast("string")
@@ -171,6 +173,69 @@ def q_nightly_event_ingest(spark, sf_dir):
     return read_ingested(spark, tgt).drop("batch_id")
 
 
+DELIVERY_CUT, CORRECTED_EVERY, CORRECTED_REST = "2024-01-16", 50, 7
+
+
+def event_deliveries(spark, sf_dir) -> list[dict[str, DataFrame]]:
+    """Raw lines by night, in three deliveries: the first night; the first night again
+    with the second, which also corrects (amount + 1) some events of the first; the first once more."""
+    e = read_table(spark, sf_dir, "events")
+    first = F.col("ts") < F.lit(DELIVERY_CUT).cast("timestamp_ntz")
+    corrected = (e.where(first & (F.col("event_id") % CORRECTED_EVERY == CORRECTED_REST))
+                 .withColumn("value", F.col("value") + 1))
+    one, two = (raw_event_lines(spark, sf_dir, x) for x in (e.where(first), e.where(~first).unionByName(corrected)))
+    return [{"2024-01-15": one}, {"2024-01-15": one, "2024-01-16": two}, {"2024-01-15": one}]
+
+
+def merged_events(spark, sf_dir) -> tuple[CatalogTable, str]:
+    """All deliveries loaded, each by a run of its own: the merged table and the landing folder."""
+    root = work_dir(spark, "merge")
+    db = open_database(spark, f"wharf_{root.rsplit('-', 1)[1]}", f"{root}/db")
+    table = CatalogTable(spark, f"{db}.events", f"{root}/db/events", "event_id",
+                         bucket_count(path_bytes(spark, table_path(sf_dir, "events"))))
+    night = F.regexp_extract("_metadata.file_path", "/night=([^/]+)/", 1)
+    for n, nights in enumerate(event_deliveries(spark, sf_dir)):
+        for name, lines in nights.items():
+            lines.write.text(f"{root}/incoming/delivery-{n}/night={name}")
+        merge_event_files(spark, f"{root}/incoming", table, f"{root}/landing", f"{root}/_checkpoint",
+                          EVENT_FIELDS, EVENT_TYPES, EVENT_MONEY, night)
+    return table, f"{root}/landing"
+
+
+_MERGED_BASE = f"""
+WITH d AS (
+  SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, ts < TIMESTAMP '{DELIVERY_CUT}' AS early FROM events),
+e AS (
+  SELECT * REPLACE (CASE WHEN early AND event_id % {CORRECTED_EVERY} = {CORRECTED_REST} THEN value + 1 ELSE value END AS value)
+  FROM d)
+"""
+
+
+@query("nightly_event_merge", stateful=True, covers=("S1", "I12"),
+       sql=_MERGED_BASE + _REPAIRED_SQL[len(_EVENTS_BASE):])
+def q_nightly_event_merge(spark, sf_dir):
+    """A file delivered three times and events corrected by a later file: one row for each event, as last corrected."""
+    table, _ = merged_events(spark, sf_dir)
+    return table.read().drop("version")
+
+
+@query("event_load_reconcile", stateful=True, covers=("S3", "C5", "I12"), sql=_MERGED_BASE + f"""
+, lines AS (
+  SELECT 0 AS batch_id, k FROM d WHERE early
+  UNION ALL SELECT 1, k FROM d
+  UNION ALL SELECT 1, k FROM d WHERE early AND event_id % {CORRECTED_EVERY} = {CORRECTED_REST}
+  UNION ALL SELECT 2, k FROM d WHERE early)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS input_lines,
+       CAST(count(*) FILTER (WHERE k NOT IN (98, 99)) AS BIGINT) AS loaded_rows,
+       CAST(count(*) FILTER (WHERE k IN (98, 99)) AS BIGINT) AS quarantined_rows, true AS matches
+FROM lines GROUP BY batch_id
+""")
+def q_event_load_reconcile(spark, sf_dir):
+    """Input lines = loaded + quarantined rows, for each load."""
+    _, landing = merged_events(spark, sf_dir)
+    return reconcile_loads(spark, landing)
+
+
 @query("category_totals_csv", stateful=True, covers=("S6", "J1", "A13", "P9"), sql="""
 SELECT t.o_orderpriority AS transaction_category_id,
        CAST(sum(CAST(floor(t.o_totalprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_amount,

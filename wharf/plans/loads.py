@@ -3,8 +3,8 @@ and the checks over the loaded tables.
 
 State between runs lives in parquet folders under the session's shared
 ``spark.checkpoint.dir`` (see ``wharf.session.work_dir``); each run reads
-the previous state and writes the touched buckets or partitions back, which
-also cuts lineage.
+the previous state and writes the next one beside it or restates its
+partitions, which also cuts lineage.
 The oracle SQL computes the final tables directly from the base tables.
 """
 
@@ -19,18 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.operators import checks as chk
-from wharf.operators.incremental import extract_since, insert_new, last_import, restated
+from wharf.operators.incremental import changed_ids, extract_since, insert_new, last_import, restated
 from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
 from wharf.session import bucket_count, read_table, table_path, work_dir
-from wharf.sources.tables import (BucketedTable, append, drop_table, ensure_table, path_bytes,
-                                  replace_table, replace_window_partitions)
+from wharf.sources.catalog import CatalogTable, open_database
+from wharf.sources.tables import append, ensure_table, path_bytes, replace_window_partitions
 
 # --- fixed values of the two-run stand-ins --------------------------------------
 COPY_RUN1, COPY_RUN2 = dt.date(1998, 1, 1), dt.date(2002, 1, 1)
 COPY_DEFAULT_MARK = dt.date(1990, 1, 1)
-STAGE_TS1, STAGE_TS2 = "2024-01-01 06:00:00", "2024-01-02 06:00:00"
+STAGE_TS1, STAGE_TS2, STAGE_TS3 = "2024-01-01 06:00:00", "2024-01-02 06:00:00", "2024-01-03 06:00:00"
 SNAPSHOT_CUT = "2000-01-01"
 NO_ID_EVERY, UNKNOWN_EVERY, TWICE_EVERY, VANISHED_EVERY = 101, 97, 103, 107      # damaged seeds, by order key
 RESTATE_RUN, RESTATE_DAYS, RESTATE_EMPTY_DAY = dt.date(2024, 1, 25), 14, dt.date(2024, 1, 20)
@@ -162,20 +162,18 @@ SELECT o_custkey, CAST(count(*) AS BIGINT) * 2 AS n FROM orders WHERE o_ordersta
 """)
 def q_recreate_table(spark, sf_dir):
     """A table dropped, created empty, filled, replaced by a plan that reads it,
-    emptied and filled again."""
-    path = f"{work_dir(spark, 'recreate')}/totals"
+    emptied and filled again: each replace is one write and one swap."""
+    root = work_dir(spark, "recreate")
+    db = open_database(spark, f"wharf_{root.rsplit('-', 1)[1]}", root)
+    table = CatalogTable(spark, f"{db}.totals", f"{root}/totals")
     totals = (read_table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
               .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")))
-    drop_table(spark, path)
-    empty = ensure_table(spark, path, totals.schema)
-    append(totals, path, columns=totals.columns)
-    doubled = replace_table(spark, spark.read.parquet(path).withColumn("n", F.col("n") * 2), path)
-    rows = work_dir(spark, "recreate-rows")
-    doubled.write.parquet(rows)
-    replace_table(spark, empty.limit(0), path)
-    append(spark.read.parquet(rows), path, columns=totals.columns)
-    drop_table(spark, rows)
-    return spark.read.schema(totals.schema).parquet(path)
+    table.drop()
+    table.replace(totals.limit(0))
+    table.replace(totals)
+    doubled = table.replace(table.read().withColumn("n", F.col("n") * 2))
+    table.replace(doubled.limit(0))
+    return table.replace(doubled)              # the version before the empty one is still there for its readers
 
 
 @query("reconcile_copy", stateful=True, covers=("C5", "O4"), sql="WITH " + _COPY_CTE + """
@@ -213,38 +211,59 @@ def order_snapshots(spark, sf_dir):
     return (o1, li1), (o, o2, li)
 
 
-def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int | None = None,
-                      with_fact: bool = True):
-    """Two runs of staging (acceptance, chargeback) and fact. Each table is
-    bucketed by ``transaction_id``; a run rewrites only the buckets its
-    changed ids fall in. Staging batches must hold each id once and no row
-    without one; ``BucketedTable.merge`` checks that inside its write job. The
-    bucket count follows the size of the seeds' source unless it is given."""
-    buckets = buckets or bucket_count(path_bytes(spark, table_path(sf_dir, "orders")))
+PAYMENT_TABLES = ("acceptance", "chargeback", "fact")
+
+
+def payment_tables(spark, sf_dir, buckets: int | None = None) -> tuple[CatalogTable, ...]:
+    """Staging and fact as catalog tables, all in the same buckets of ``transaction_id`` (by the size of the seeds'
+    source unless given; a table that exists keeps its own count until it is rebucketed)."""
     root = work_dir(spark, "payments")
-    acc_t, cb_t, fact_t = (BucketedTable(spark, f"{root}/{n}", "transaction_id", buckets)
-                           for n in ("acc", "cb", "fact"))
+    db = open_database(spark, f"wharf_{root.rsplit('-', 1)[1]}", root)
+    buckets = buckets or bucket_count(path_bytes(spark, table_path(sf_dir, "orders")))
+    return tuple(CatalogTable(spark, f"{db}.{n}", f"{root}/{n}", "transaction_id", buckets) for n in PAYMENT_TABLES)
+
+
+def stage_seeds(spark, sf_dir, acc_t: CatalogTable, cb_t: CatalogTable, ts: str, orders, lineitem,
+                full: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Merge both seeds into staging; ``full`` rebuilds staging from them alone."""
+    out = []
+    for table, cleaned in ((acc_t, pay.clean_acceptance(si.acceptance_seed(spark, sf_dir, orders))),
+                           (cb_t, pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem)))):
+        out.append(table.merge(cleaned, lambda src, cur: pay.stage(
+            src, ts, None if full else cur, check_unique=False)))
+    return tuple(out)
+
+
+def merge_changes(fact_t: CatalogTable, acc: DataFrame, cb: DataFrame, ts: str, backfill_days: int = 0) -> DataFrame:
+    """Changed rows of staging into the fact. All three tables have the same buckets, so nothing is shuffled;
+    ids are unique by construction (staging ids, left join to unique ids)."""
+    now = fact_t.read()
+    mark = fact_t.watermark("source_dw_modified_at") if now is not None else None
+    changed = pay.fact_changes(acc, cb, ts, now, backfill_days=backfill_days, mark=mark or pay.DEFAULT_SOURCE_MARK)
+    return fact_t.merge(changed, pay.merge_fact, dealt=True, track_max="source_dw_modified_at")
+
+
+def run_payment_model(spark, sf_dir, backfill_days: int = 0, buckets: int | None = None, with_fact: bool = True,
+                      tables: tuple[CatalogTable, ...] | None = None):
+    """Two runs of staging (acceptance, chargeback) and fact. Staging batches must hold each id once and no row
+    without one; that is checked inside the write job."""
+    acc_t, cb_t, fact_t = tables or payment_tables(spark, sf_dir, buckets)
     (o1, li1), (_, o2, li2) = order_snapshots(spark, sf_dir)
     for ts, orders, lineitem in ((STAGE_TS1, o1, li1), (STAGE_TS2, o2, li2)):
-        acc_clean = pay.clean_acceptance(si.acceptance_seed(spark, sf_dir, orders))
-        acc = acc_t.merge(  # seeds are full snapshots: every bucket is touched
-            acc_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False),
-            all_buckets=True)
-        cb_clean = pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem))
-        cb = cb_t.merge(  # seeds are full snapshots: every bucket is touched
-            cb_clean, lambda src, cur, ts=ts: pay.stage(src, ts, cur, check_unique=False),
-            all_buckets=True)
+        acc, cb = stage_seeds(spark, sf_dir, acc_t, cb_t, ts, orders, lineitem)
         if with_fact:
-            fact_now = fact_t.read()
-            mark = fact_t.watermark("source_dw_modified_at") if fact_now is not None else None
-            changed = pay.fact_changes(acc, cb, ts, fact_now, backfill_days=backfill_days,
-                                       mark=mark or pay.DEFAULT_SOURCE_MARK)
-            # ids are unique by construction: staging ids left-joined to unique chargeback ids
-            fact_t.merge(changed, lambda src, cur: pay.merge_fact(src, cur), unique=False,
-                         track_max="source_dw_modified_at")
+            merge_changes(fact_t, acc, cb, ts, backfill_days)
     return acc_t.read(), cb_t.read(), fact_t.read()
 
 
+def rebuild_payments(spark, sf_dir, tables: tuple[CatalogTable, ...], ts: str, orders, lineitem) -> DataFrame:
+    """Full refresh of staging and fact from the seeds alone: ids that vanished from the seeds go, all stamps are
+    the run's. Each table is written beside the old one and swapped in at once."""
+    acc_t, cb_t, fact_t = tables
+    acc, cb = stage_seeds(spark, sf_dir, acc_t, cb_t, ts, orders, lineitem, full=True)
+    return fact_t.merge(pay.build_fact(acc, cb, ts), lambda src, cur: src, dealt=True, track_max="source_dw_modified_at")
+
+
 _STAGE_CTE = """
 a1 AS (SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id,
               CASE WHEN o_orderstatus = 'F' THEN 'ACCEPTED' ELSE 'DECLINED' END AS transaction_state,
@@ -320,7 +339,57 @@ def q_upsert_staging(spark, sf_dir):
                       "dw_modified_at")
 
 
-@query("payment_fact_incremental", stateful=True, covers=("I6", "I7", "I8", "I9", "J5", "J6", "O5", "F3", "F19"),
+@query("payment_changed_rows", stateful=True, covers=("I6", "J5", "O5"), sql="WITH " + _STAGE_CTE.format(backfill="") + """
+SELECT 'acceptance' AS side, transaction_id, dw_modified_at FROM acc_final
+WHERE transaction_id IN (SELECT transaction_id FROM changed)
+UNION ALL
+SELECT 'chargeback', transaction_id, dw_modified_at FROM cb_final
+WHERE transaction_id IN (SELECT transaction_id FROM changed)
+""")
+def q_changed_rows(spark, sf_dir):
+    """Staged rows, on both sides, of the ids that changed on either side since the first run."""
+    acc, cb, _ = run_payment_model(spark, sf_dir, with_fact=False)
+    ids = changed_ids(acc, cb, STAGE_TS1)
+    return reduce(DataFrame.unionByName, [
+        pay.changed_rows(df, ids).select(F.lit(side).alias("side"), "transaction_id", "dw_modified_at")
+        for side, df in (("acceptance", acc), ("chargeback", cb))])
+
+
+_REBUILT_CTE = _STAGE_CTE.format(backfill="") + """, rebuilt AS (
+  SELECT a.transaction_id, a.transaction_state, a.amount, c.has_chargeback,
+         (c.transaction_id IS NULL OR c.has_chargeback IS NULL) AS is_missing_chargeback,
+         TIMESTAMP '2024-01-03 06:00:00' AS source_dw_modified_at, TIMESTAMP '2024-01-03 06:00:00' AS dw_created_at,
+         TIMESTAMP '2024-01-03 06:00:00' AS dw_modified_at
+  FROM a2 a LEFT JOIN c2 c ON a.transaction_id = c.transaction_id)
+"""
+
+
+def rebuilt_fact(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The fact after two incremental runs (kept on disk by the swap), and after a full refresh over it."""
+    tables = payment_tables(spark, sf_dir)
+    _, _, before = run_payment_model(spark, sf_dir, tables=tables)
+    _, (_, o2, li2) = order_snapshots(spark, sf_dir)
+    return before, rebuild_payments(spark, sf_dir, tables, STAGE_TS3, o2, li2)
+
+
+@query("payment_fact_rebuild", stateful=True, covers=("I10",), sql="WITH " + _REBUILT_CTE + "SELECT * FROM rebuilt")
+def q_fact_rebuild(spark, sf_dir):
+    _, fact = rebuilt_fact(spark, sf_dir)
+    return fact.select("transaction_id", "transaction_state", "amount", "has_chargeback", "is_missing_chargeback",
+                       "source_dw_modified_at", "dw_created_at", "dw_modified_at")
+
+
+@query("payment_rebuild_vanished", stateful=True, covers=("I10",), sql="WITH " + _REBUILT_CTE + """
+SELECT transaction_id, dw_created_at, dw_modified_at FROM fact_final
+WHERE transaction_id NOT IN (SELECT transaction_id FROM rebuilt)
+""")
+def q_rebuild_vanished(spark, sf_dir):
+    """Ids that the full refresh removed: in the old version of the fact, no longer in the seeds."""
+    before, fact = rebuilt_fact(spark, sf_dir)
+    return before.join(fact, "transaction_id", "left_anti").select("transaction_id", "dw_created_at", "dw_modified_at")
+
+
+@query("payment_fact_incremental", stateful=True, covers=("I6", "I7", "I8", "I9", "J6", "F3", "F19"),
        sql="WITH " + _STAGE_CTE.format(backfill="") + """
 SELECT * FROM fact_final
 """)

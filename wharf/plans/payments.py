@@ -13,11 +13,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wharf.functions.columns import (clean_upper, lit_ts, rates_map, ratio, record_hash,
+from wharf.functions.columns import (clean_upper, lit_date, lit_ts, rates_map, ratio, record_hash,
                                      seed_bool, usd_amount)
 from wharf.operators.aggregates import money_sum
-from wharf.operators.incremental import (DEFAULT_SOURCE_MARK, assert_unique, changed_ids,
-                                         combined_stamp, stamp_and_merge, upsert)
+from wharf.operators.incremental import (DEFAULT_SOURCE_MARK, assert_unique, combined_stamp,
+                                         stamp_and_merge, upsert)
 
 # --- fixed values ------------------------------------------------------------
 ACCEPTED = "ACCEPTED"
@@ -105,22 +105,28 @@ def join_payments(acceptance: DataFrame, chargeback: DataFrame) -> DataFrame:
 def fact_changes(acceptance: DataFrame, chargeback: DataFrame, run_ts,
                  fact: DataFrame | None = None, run_date=None,
                  backfill_days: int | None = 0, mark=None) -> DataFrame:
-    """New fact rows for this run. With an existing ``fact``: restrict both
-    staged inputs to the changed ids (each side read in full for those ids,
-    so an unchanged side is not mistaken for a missing one), then join.
-    Without: all rows (full build). ``mark`` is the fact's newest
-    ``source_dw_modified_at`` if already known (else it is computed)."""
+    """New fact rows for this run; without ``fact`` all rows (full build).
+
+    With it, the rows of the changed ids: those that ``changed_ids`` lists. Both
+    sides are read in full and joined first, so an unchanged side is not mistaken
+    for a missing one. The joined row's combined stamp is newer than ``mark``
+    exactly if either side's is, so the ids need no list of their own, and staging
+    tables in the same buckets are joined where they lie. ``mark`` is the fact's
+    newest ``source_dw_modified_at`` if already known (else it is computed)."""
+    joined = join_payments(acceptance, chargeback)
     if fact is not None:
-        if mark is None:
-            mark = fact_mark(fact)
-        ids = changed_ids(acceptance, chargeback, mark,
-                          run_date=run_date or dt.date.fromisoformat(str(run_ts)[:10]),
-                          backfill_days=backfill_days)
-        acceptance = acceptance.join(ids, "transaction_id", "left_semi")
-        chargeback = chargeback.join(ids, "transaction_id", "left_semi")
+        newer = F.col("source_dw_modified_at") > lit_ts(mark if mark is not None else fact_mark(fact))
+        if backfill_days is not None:
+            run_date = run_date or dt.date.fromisoformat(str(run_ts)[:10])
+            newer = newer | (F.col("transaction_date") >= F.date_sub(lit_date(run_date), int(backfill_days)))
+        joined = joined.where(newer)
     ts = lit_ts(run_ts)
-    return (join_payments(acceptance, chargeback)
-            .withColumn("dw_created_at", ts).withColumn("dw_modified_at", ts))
+    return joined.withColumn("dw_created_at", ts).withColumn("dw_modified_at", ts)
+
+
+def changed_rows(staged: DataFrame, ids: DataFrame) -> DataFrame:
+    """Staged rows of the listed ids (IN of a sub-select)."""
+    return staged.join(ids, "transaction_id", "left_semi")
 
 
 def merge_fact(new: DataFrame, fact: DataFrame | None) -> DataFrame:

@@ -11,7 +11,7 @@ afterwards with ``try_cast`` so a bad value nulls one field, not the row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,9 +63,15 @@ def read_lines(spark: SparkSession, path: str, record_sep: str | None = None) ->
     return df.select(F.concat(F.regexp_replace("value", r"[\r\n]+", " "), F.lit(closing)).alias("value"))
 
 
-def parse_events(lines: DataFrame, fields: list[str], line_col: str = "value") -> DataFrame:
+def is_record(line: Column) -> Column:
+    """Whether a raw line counts: not blank and not only the list's own brackets and commas."""
+    return ~line.rlike(r"^[\s\[\],]*$")
+
+
+def parse_events(lines: DataFrame, fields: list[str], line_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Repair and parse lines; every field comes back as text, plus
-    ``_corrupt_record`` holding the repaired text of lines that failed."""
+    ``_corrupt_record`` holding the repaired text of lines that failed, and the
+    columns to ``keep``."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields]
                           + [T.StructField(CORRUPT, T.StringType())])
     # Only blank lines and the list's own brackets are no records; any other
@@ -73,10 +79,10 @@ def parse_events(lines: DataFrame, fields: list[str], line_col: str = "value") -
     # chain is not pushed into it and evaluated twice; from_json keeps the text
     # of a failed record in its own corrupt-record field.
     body = repair_line(drop_bad_bytes(F.col(line_col)))
-    records = spread(lines.where(~F.col(line_col).rlike(r"^[\s\[\],]*$")))
-    parsed = records.select(F.from_json(body, schema, {"mode": "PERMISSIVE",
+    records = spread(lines.where(is_record(F.col(line_col))))
+    parsed = records.select(*keep, F.from_json(body, schema, {"mode": "PERMISSIVE",
                                                        "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
-    return parsed.select("r.*")
+    return parsed.select("r.*", *keep)
 
 
 def type_events(raw: DataFrame, types: Mapping[str, str], money: Mapping[str, str]) -> DataFrame:

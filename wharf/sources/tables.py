@@ -1,11 +1,11 @@
 """Table helpers on plain parquet folders.
 
-* ``BucketedTable``: partitioned by a hash bucket of its key; upserts read
-  and rewrite only the buckets their keys touch, check keys inside the write
-  job, and keep a watermark of a change stamp without scanning the table.
 * Date-partitioned tables restated over a rolling window of days.
 * Create-if-absent, replace, append by column name, drop, temp views.
 
+Tables that are merged by key or replaced as a whole under a name are in
+``wharf.sources.catalog``.
+
 File-system calls go through Hadoop's FileSystem API, so the same code
 works on HDFS, object stores and local disk. Its errors are raised: a store
 that cannot be asked is never taken for an absent table.
@@ -13,6 +13,7 @@ that cannot be asked is never taken for an absent table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.operators.incremental import window_days
-from wharf.session import work_dir
+
 
 def _fs(spark: SparkSession, path: str):
     """Hadoop FileSystem, path and JVM for ``path`` (any scheme)."""
@@ -55,16 +56,33 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """CREATE OR REPLACE: ``df``, which may read the table itself, becomes its
-    content. It is computed into a work folder first, so a plan that fails leaves
-    the table as it was; returns the new content."""
-    staged = work_dir(spark, "replace")
-    df.write.parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
-    delete_path(spark, staged)
+    """CREATE OR REPLACE of a folder: ``df``, which may read the table itself, becomes its
+    content. It is written once, beside the table, which is renamed away and back if the
+    new one cannot take its place; a plan that fails leaves it as it was. Returns the new content."""
+    mark, path = uuid.uuid4().hex[:12], path.rstrip("/")
+    staged, old = f"{path}__next-{mark}", f"{path}__old-{mark}"
+    try:
+        df.write.parquet(staged)
+        _put_in_place(spark, staged, path, old)
+    except Exception:
+        delete_path(spark, staged)
+        raise
+    delete_path(spark, old)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _put_in_place(spark: SparkSession, staged: str, path: str, old: str) -> None:
+    fs, there, jvm = _fs(spark, path)
+    to = jvm.org.apache.hadoop.fs.Path
+    had = fs.exists(there)
+    if had and not fs.rename(there, to(old)):
+        raise OSError(f"{path} cannot be renamed")
+    if not fs.rename(to(staged), there):
+        if had:
+            fs.rename(to(old), there)
+        raise OSError(f"{staged} cannot be renamed to {path}")
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """DROP TABLE IF EXISTS."""
     delete_path(spark, path)
@@ -112,149 +130,3 @@ def replace_window_partitions(spark: SparkSession, root: str, new: DataFrame, da
     for d in win:
         if not rows.get(d.isoformat()):
             delete_path(spark, f"{root.rstrip('/')}/{date_col}={d.isoformat()}")
-
-
-BUCKET_COL = "_bucket"
-
-
-def bucket_of(key, buckets: int):
-    """Bucket number of a key: ``pmod(hash(key), buckets)`` — the same value
-    as the partition id of ``repartition(buckets, key)`` (Murmur3, seed 42),
-    so a write task after that repartition holds exactly one bucket."""
-    return F.pmod(F.hash(F.col(key)), F.lit(buckets)).cast("int")
-
-
-DUPLICATE_KEY_MSG = "wharf: batch holds a key twice"
-NULL_KEY_MSG = "wharf: batch holds a row without a key"
-
-
-class BucketedTable:
-    """A parquet table partitioned by a hash bucket of its key. The bucket count
-    is part of every bucket's folder name (``_bucket=3-of-16``); a table opened
-    with another count is refused.
-
-    ``merge`` upserts a batch by rewriting only the buckets its keys fall
-    in. The touched bucket numbers (at most ``buckets`` values, from a
-    map-side combined ``distinct``) restrict the read of the current rows by
-    partition pruning; the caller's merge plan combines them with the batch;
-    the result is hash-partitioned into ``buckets`` tasks so each task
-    writes one file into one bucket, and a dynamic partition overwrite swaps
-    in exactly those buckets when the job commits.
-
-    Key checks run inside the write job itself: a row without a key, or a
-    key occurring twice in the merged output (the target's keys are unique,
-    so only a duplicated batch key can do that), raises an error in the task
-    and the job commits nothing. The per-key count runs over data already
-    hash-partitioned by key, so the check adds a sort but no shuffle and no
-    separate pass over the batch. A job that fails before its commit leaves
-    the table as it was (the commit moves the touched bucket folders one by
-    one, so it is not atomic across buckets); untouched buckets are never
-    read or written.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 64):
-        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
-
-    def exists(self) -> bool:
-        """True once a write has committed: bucket folders are moved in only at
-        job commit, so a failed first write leaves none."""
-        found = [n for n in list_dirs(self.spark, self.root) if n.startswith(BUCKET_COL + "=")]
-        counts = {n.rpartition("-of-")[2] for n in found}
-        if counts - {str(self.buckets)}:
-            raise ValueError(f"{self.root} has {', '.join(sorted(counts))} buckets, not {self.buckets}")
-        return bool(found)
-
-    def read(self) -> DataFrame | None:
-        if not self.exists():
-            return None
-        return self.spark.read.parquet(self.root).drop(BUCKET_COL)
-
-    def _label(self, bucket: int) -> str:
-        return f"{bucket}-of-{self.buckets}"
-
-    def _mark_path(self, col: str) -> str:
-        return f"{self.root}/_watermark_{col}"
-
-    def watermark(self, col: str):
-        """Newest ``col`` in the table, or None when empty. Kept up to date by
-        ``merge(..., track_max=col)`` in a one-row folder (names starting with
-        '_' are not part of the table for Spark's reader); if that is missing,
-        the column is scanned."""
-        if not self.exists():
-            return None
-        if path_exists(self.spark, f"{self._mark_path(col)}/_SUCCESS"):
-            return self.spark.read.parquet(self._mark_path(col)).first()["m"]
-        return self.read().agg(F.max(col).alias("m")).first()["m"]
-
-    def touched_buckets(self, batch: DataFrame) -> list[int]:
-        """Bucket numbers of the batch's non-NULL keys (one light job)."""
-        b = bucket_of(self.key, self.buckets)
-        rows = batch.where(F.col(self.key).isNotNull()).select(b.alias("b")).distinct().collect()
-        return sorted(r["b"] for r in rows)
-
-    def merge(self, batch: DataFrame, merge_fn, unique: bool = True,
-              track_max: str | None = None, all_buckets: bool = False) -> DataFrame:
-        """``merge_fn(batch, current_rows_of_touched_buckets_or_None)`` returns
-        the new content of the touched buckets. With ``unique`` the batch must
-        hold every key at most once and no row without a key (checked in the
-        write job; raises ``DuplicateKeyError`` / ``NullKeyError``).
-
-        ``track_max`` names a column that never decreases for a key (a change
-        stamp): its maximum over the written rows is observed during the write
-        and combined with the previous watermark, so ``watermark`` needs no
-        scan of the table.
-
-        ``all_buckets`` skips listing the touched buckets when the batch is a
-        full snapshot that touches every bucket anyway (rows of an untouched
-        bucket would pass through the merge unchanged)."""
-        from pyspark.sql import Window
-        from wharf.operators.incremental import DuplicateKeyError, NullKeyError
-        k = F.col(self.key)
-        if unique:
-            batch = batch.withColumn(self.key, F.when(k.isNull(), F.raise_error(F.lit(NULL_KEY_MSG)))
-                                     .otherwise(k))
-        previous = self.watermark(track_max) if track_max else None
-        staged = None
-        try:
-            current = None
-            if self.exists():
-                current = self.spark.read.parquet(self.root)
-                if not all_buckets:
-                    # evaluated once: its buckets are listed and its rows merged from what is written here
-                    staged, schema = work_dir(self.spark, "batch"), batch.schema
-                    batch.write.parquet(staged)
-                    batch = self.spark.read.schema(schema).parquet(staged)
-                    touched = [self._label(b) for b in self.touched_buckets(batch)]
-                    current = current.where(F.col(BUCKET_COL).isin(touched))
-                current = current.drop(BUCKET_COL)
-            merged = merge_fn(batch, current).repartition(self.buckets, k)
-            if unique:
-                per_key = F.count(F.lit(1)).over(Window.partitionBy(self.key))
-                merged = merged.withColumn(
-                    self.key, F.when(per_key > 1, F.raise_error(F.lit(DUPLICATE_KEY_MSG))).otherwise(k))
-            merged = merged.withColumn(BUCKET_COL, F.concat(
-                bucket_of(self.key, self.buckets).cast("string"), F.lit(f"-of-{self.buckets}")))
-            obs = None
-            if track_max:
-                obs = Observation(f"max_{track_max}")
-                merged = merged.observe(obs, F.max(track_max).alias("m"))
-            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET_COL).parquet(self.root))
-        except Exception as e:  # noqa: BLE001 - translate the in-task key checks
-            text = str(e)
-            if DUPLICATE_KEY_MSG in text:
-                raise DuplicateKeyError(f"batch holds a key of {self.key} twice") from None
-            if NULL_KEY_MSG in text:
-                raise NullKeyError(f"batch holds rows without {self.key}") from None
-            raise
-        finally:
-            if staged:
-                delete_path(self.spark, staged)
-        if track_max:
-            seen = obs.get.get("m")
-            marks = [m for m in (previous, seen) if m is not None]
-            if marks:
-                dtype = self.spark.read.parquet(self.root).schema[track_max].dataType.simpleString()
-                (self.spark.createDataFrame([(max(marks),)], f"m {dtype}")
-                 .write.mode("overwrite").parquet(self._mark_path(track_max)))
-        return self.read()
