@@ -1,4 +1,11 @@
-from wharf.streaming.ingest import ingest_event_files, read_ingested
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from wharf.sources.catalog import CatalogTable, open_database
+from wharf.streaming.ingest import ingest_event_files, merge_event_files, read_ingested, reconcile_loads
 
 
 def test_streaming_ingest_reads_each_file_once(spark, tmp_dir):
@@ -16,3 +23,78 @@ def test_streaming_ingest_reads_each_file_once(spark, tmp_dir):
     assert sorted(r["id"] for r in read_ingested(spark, tgt).collect()) == [1, 2, 3]
     probs = [(r["id"], r["problem"]) for r in spark.read.parquet(bad).collect()]
     assert probs == [("x", "unparseable record")]
+
+
+FIELDS, TYPES = ["id", "name"], {"id": "bigint"}
+
+
+def deliver(spark, folder, night, *lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/night={night}")
+
+
+class Merged:
+    """A merged event table with its stream's folders."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, root
+        db = open_database(spark, f"m_{uuid.uuid4().hex[:10]}", f"{root}/db")
+        self.table = CatalogTable(spark, f"{db}.events", f"{root}/db/events", "id", 4)
+
+    def run(self):
+        merge_event_files(self.spark, f"{self.root}/in", self.table, f"{self.root}/landing", f"{self.root}/ckpt",
+                          FIELDS, TYPES, {}, F.regexp_extract("_metadata.file_path", "/night=([^/]+)/", 1))
+
+    def rows(self):
+        return sorted((r["id"], r["name"], r["version"]) for r in self.table.read().collect())
+
+    def loads(self):
+        return [tuple(r) for r in reconcile_loads(self.spark, f"{self.root}/landing").orderBy("batch_id").collect()]
+
+
+def test_merge_of_repeated_and_corrected_deliveries(spark, tmp_dir):
+    m = Merged(spark, tmp_dir)
+    first = ["{'id': 1, 'name': 'a'},", "{'id': 2, 'name': 'b'},", "{'id': 2, 'name': 'B'},", "[", ""]
+    deliver(spark, f"{tmp_dir}/in/one", "1", *first)
+    m.run()
+    assert m.rows() == [(1, "a", "1"), (2, "b", "1")]                   # twice in a file: the greater row
+    deliver(spark, f"{tmp_dir}/in/two", "2", "{'id': 1, 'name': 'corrected'},", "{'id': 3, 'name': 'c'}", "no record",
+            "{'id': 'x', 'name': 'd'}", "{'id': , 'name': 'e'}")
+    deliver(spark, f"{tmp_dir}/in/two", "1", *first)
+    m.run()
+    want = [(1, "corrected", "2"), (2, "b", "1"), (3, "c", "2")]
+    assert m.rows() == want
+    deliver(spark, f"{tmp_dir}/in/three", "1", *first)                   # late: does not undo the correction
+    m.run()
+    m.run()                                                              # nothing new: no batch
+    assert m.rows() == want
+    assert m.loads() == [(0, 3, 3, 0, True), (1, 8, 5, 3, True), (2, 3, 3, 0, True)]
+    bad = {(r["problem"], r["value"], r["version"]) for r in spark.read.parquet(f"{tmp_dir}/landing/quarantine").collect()}
+    assert bad == {("no id", None, "2"), ("no id", "x", "2"), ("unparseable record", "no record", "2")}
+
+
+def test_replayed_batch_is_not_merged_twice(spark, tmp_dir):
+    m = Merged(spark, tmp_dir)
+    deliver(spark, f"{tmp_dir}/in/one", "1", "{'id': 1, 'name': 'a'}")
+    m.run()
+    files = m.table.read().inputFiles()
+    for name in ("0", ".0.crc"):                                        # the job ended before the batch was committed
+        os.remove(f"{tmp_dir}/ckpt/commits/{name}")
+    m.run()
+    assert m.table.read().inputFiles() == files and m.rows() == [(1, "a", "1")] and m.loads() == [(0, 1, 1, 0, True)]
+
+
+def test_batch_that_fails_is_merged_by_the_next_run(spark, tmp_dir, monkeypatch):
+    m = Merged(spark, tmp_dir)
+    deliver(spark, f"{tmp_dir}/in/one", "1", "{'id': 1, 'name': 'a'}", "bad")
+    merge = m.table.merge
+    monkeypatch.setattr(m.table, "merge", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        m.run()
+    assert not m.table.exists()
+    monkeypatch.setattr(m.table, "merge", merge)
+    monkeypatch.setattr(m.table, "set_property", lambda *a: (_ for _ in ()).throw(RuntimeError("late")))
+    with pytest.raises(Exception, match="late"):                         # after the merge, before it is noted
+        m.run()
+    monkeypatch.undo()
+    m.run()
+    assert m.rows() == [(1, "a", "1")] and m.loads() == [(0, 2, 1, 1, True)]

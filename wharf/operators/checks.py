@@ -1,16 +1,18 @@
 """Data checks: not-null, unique, accepted values, relationships, row
 expectations and source/target reconciliation.
 
-``run_checks`` evaluates all row-level rules of one table in a single
-aggregation pass (``count_if`` per rule); each uniqueness rule is one
-grouped count and each relationship one anti join. The result is a
-DataFrame ``(rule, column, failing_rows)`` — 0 means the check passed.
+``run_checks`` evaluates all rules of one table in one scan: every row turns
+into (rule, key) pairs, one for each uniqueness rule and relationship it takes
+part in and one for each row rule it breaks; the pairs are counted, combined
+before the shuffle, and joined once to the keys of all parents. The result is
+a DataFrame ``(rule, column, failing_rows)`` — 0 means the check passed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,49 +54,65 @@ class Expect:
     condition: Column = field(compare=False)
 
 
+def _key(*cols: Column) -> Column:
+    """A key of any columns in one type: their texts, null kept apart from every text."""
+    return F.array(*[c.cast("string") for c in cols])
+
+
+def _plain(df: DataFrame, name: str) -> Column:
+    """The column, with the two zeros of a floating type as one."""
+    c = F.col(name)
+    return F.when(c == 0, F.lit(0.0)).otherwise(c) if df.schema[name].dataType.simpleString() in ("float", "double") else c
+
+
 def run_checks(spark: SparkSession, df: DataFrame, rules: Sequence) -> DataFrame:
-    row_aggs, names = [], []
-    parts: list[DataFrame] = []
+    """Failing rows (of a uniqueness rule: failing keys) of every rule, one row each."""
+    names: list[tuple[str, str, str]] = []          # kind of count, rule, column
+    pairs: list[Column] = []
+    parents: list[DataFrame] = []
+
+    def add(kind: str, rule: str, column: str, when: Column, key: Column) -> None:
+        pairs.append(F.when(when, F.struct(F.lit(len(names)).alias("id"), key.alias("key"))))
+        names.append((kind, rule, column))
+
+    broken = F.lit(None).cast("array<string>")
     for r in rules:
         if isinstance(r, NotNull):
             for c in r.cols:
-                names.append(("not_null", c))
-                row_aggs.append(F.count_if(F.col(c).isNull()))
+                add("rows", "not_null", c, F.col(c).isNull(), broken)
         elif isinstance(r, AcceptedValues):
-            names.append(("accepted_values", r.col))
-            row_aggs.append(F.count_if(F.col(r.col).isNotNull() & ~F.col(r.col).isin(list(r.values))))
+            add("rows", "accepted_values", r.col, F.col(r.col).isNotNull() & ~F.col(r.col).isin(list(r.values)), broken)
         elif isinstance(r, Expect):
-            names.append(("expect", r.name))
-            row_aggs.append(F.count_if(~F.coalesce(r.condition, F.lit(False))))
+            add("rows", "expect", r.name, ~F.coalesce(r.condition, F.lit(False)), broken)
         elif isinstance(r, Unique):
-            cols = list(r.cols)
-            keyed = df.where(F.coalesce(*[F.col(c).isNotNull() for c in cols]))
-            dup = keyed.groupBy(*cols).count().where(F.col("count") > 1)
-            parts.append(dup.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-                F.lit("unique").alias("rule"), F.lit(",".join(cols)).alias("column"),
-                F.col("failing_rows").cast("bigint")))
+            add("unique", "unique", ",".join(r.cols), F.coalesce(*[F.col(c) for c in r.cols]).isNotNull()
+                if len(r.cols) == 1 else F.greatest(*[F.col(c).isNotNull() for c in r.cols]),
+                _key(*[_plain(df, c) for c in r.cols]))
         elif isinstance(r, Relationship):
-            # child rows counted per key first (map-side combined), so a hot
-            # key reaches the anti join as one row
-            pc = r.parent_col or r.col
-            child = (df.where(F.col(r.col).isNotNull())
-                     .groupBy(F.col(r.col).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
-            orphans = child.join(r.parent.select(F.col(pc).alias("_k")), "_k", "left_anti")
-            parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failing_rows")).select(
-                F.lit("relationships").alias("rule"), F.lit(r.col).alias("column"),
-                F.col("failing_rows").cast("bigint")))
+            there = r.parent.select(F.col(r.parent_col or r.col).try_cast(df.schema[r.col].dataType).alias("k"))
+            parents.append(there.where("k IS NOT NULL").select(
+                F.lit(len(names)).alias("_id"), _key(_plain(there, "k")).alias("_key")).distinct())
+            add("orphans", "relationships", r.col, F.col(r.col).isNotNull(), _key(_plain(df, r.col)))
         else:
             raise TypeError(f"unknown rule {r!r}")
-    if row_aggs:
-        one = df.agg(*[a.cast("bigint").alias(f"_r{i}") for i, a in enumerate(row_aggs)])
-        pairs = ", ".join(f"'{n}', '{c}', `_r{i}`" for i, (n, c) in enumerate(names))
-        parts.insert(0, one.selectExpr(f"stack({len(names)}, {pairs}) AS (rule, column, failing_rows)"))
-    if not parts:
+    if not names:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counted = (df.select(F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("p"))
+               .groupBy(F.col("p.id").alias("id"), F.col("p.key").alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    found = F.lit(False)
+    if parents:
+        counted = counted.join(reduce(DataFrame.unionByName, parents),
+                               (F.col("id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+        found = F.col("_id").isNotNull()
+    of = lambda kind: F.col("id").isin([i for i, n in enumerate(names) if n[0] == kind])
+    failing = (F.when(of("unique"), (F.col("n") > 1).cast("long")).when(of("orphans") & found, F.lit(0))
+               .otherwise(F.col("n")))
+    per_rule = counted.groupBy("id").agg(F.sum(failing).alias("failing"))
+    listed = F.explode(F.array(*[F.struct(F.lit(i).alias("_no"), F.lit(rule).alias("rule"), F.lit(column).alias("column"))
+                                 for i, (_, rule, column) in enumerate(names)]))
+    every = spark.range(1).select(listed.alias("r")).select("r.*")
+    return every.join(per_rule, F.col("_no") == F.col("id"), "left").select(
+        "rule", "column", F.coalesce("failing", F.lit(0)).cast("bigint").alias("failing_rows"))
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
