@@ -47,6 +47,27 @@ def profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFra
                       *[F.count_if(F.col("i") == i).alias(f"{c}_distinct_count") for i, c in enumerate(cols)])
 
 
+#: Relative standard error of a distinct count's sketch with 2 ** SKETCH_LG_K slots (bound of the estimator: 1.04).
+SKETCH_LG_K = 14
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LG_K / 2)
+
+
+def daily_sketches(df: DataFrame, day: Column, cols: Sequence[str], lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """One row a day: its row count and a mergeable HyperLogLog sketch of each column's values (NULL is one
+    value, as in ``profile``). Kept beside the data, a new day costs only its own rows."""
+    return df.groupBy(day.alias("day")).agg(
+        F.count(F.lit(1)).alias("rows_count"),
+        *[F.hll_sketch_agg(null_safe_text(c), F.lit(lg_k)).alias(f"{c}_sketch") for c in cols])
+
+
+def profile_of_sketches(sketches: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``profile`` of all days together, from their sketches alone, and the number of days; the counts are
+    estimates with a relative standard error of ``SKETCH_ERROR``."""
+    return sketches.agg(F.sum("rows_count").alias("rows_count"), F.count(F.lit(1)).alias("days"),
+                        *[F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(f"{c}_distinct_count")
+                          for c in cols])
+
+
 def constant_columns(profile_row: DataFrame) -> DataFrame:
     """Columns whose distinct count is 1, from a ``profile`` result."""
     dcols = [c for c in profile_row.columns if c.endswith("_distinct_count")]
@@ -202,4 +223,4 @@ def daily_totals(sales: DataFrame, goods: DataFrame, begin, end, good_key: str =
 __all__ = ["NULL_TEXT", "profile", "constant_columns", "frequency", "keys_with_many",
            "distinct_counts", "paid_conversion", "spender_conversion", "revenue_by",
            "control_totals", "category_totals", "occupation_counts", "period_totals",
-           "daily_totals", "money_sum"]
+           "daily_totals", "money_sum", "daily_sketches", "profile_of_sketches"]

@@ -8,12 +8,14 @@ shaped so that the rows one window partition holds are bounded:
   map task reaches the reducer);
 * the previous-days count windows over (key, day) counts, at most one row
   per calendar day and key, then joins back (AQE splits a skewed join);
-* compaction windows over one row per (key, from-date) version.
+* compaction windows over the versions of a key within a date range, and
+  over one row for each range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,7 +58,7 @@ def _same(a: Column, b: Column) -> Column:
 
 
 def compact_dim(df: DataFrame, key: str, attrs: Sequence[str], from_col: str,
-                to_col: str = "actual_to_dt", tiebreak: Sequence[str] = ()) -> DataFrame:
+                to_col: str = "actual_to_dt", tiebreak: Sequence[str] = (), span: str = "month") -> DataFrame:
     """Merge consecutive versions with equal attributes into one interval.
 
     Step 1: compare each row with the previous version of its key (lag) and
@@ -64,21 +66,36 @@ def compact_dim(df: DataFrame, key: str, attrs: Sequence[str], from_col: str,
     kept rows, the end date is the next kept start minus one day, or
     9999-12-31. The input's own end dates are not used, so gaps close.
 
+    Both steps have two levels, so that a key with a third of all versions
+    does not meet in one task: rows are compared within date ranges of a key
+    (``span``: any unit of ``trunc``), and only each range's last version and
+    first kept start, one row a range, go over its edge to the next range.
+
     Attributes are compared column by column (NULL ≡ ''), which avoids the
-    collisions of a '/'-joined text key.
+    collisions of a '/'-joined text key. Equal start dates are ordered by
+    ``tiebreak``, then by the attributes.
     """
-    order = [F.col(from_col)] + [F.col(c) for c in tiebreak]
-    w = Window.partitionBy(key).orderBy(*order)
-    prev = [F.lag(F.col(a)).over(w).alias(f"_prev_{a}") for a in attrs]
-    marked = df.select("*", F.row_number().over(w).alias("_rn"), *prev)
-    same_all = None
-    for a in attrs:
-        s = _same(F.col(a), F.col(f"_prev_{a}"))
-        same_all = s if same_all is None else same_all & s
-    kept = marked.where((F.col("_rn") == 1) | ~same_all)
-    w2 = Window.partitionBy(key).orderBy(*order)
-    end = F.lead(F.date_sub(F.col(from_col), 1), 1).over(w2)
-    return kept.select(key, from_col, F.coalesce(end, F.lit(OPEN_END)).alias(to_col), *attrs)
+    order = [F.col(from_col), *[F.col(c) for c in tiebreak], *[F.col(c) for c in attrs if c not in tiebreak]]
+    span_of = F.trunc(F.col(from_col).cast("date"), span)
+    own = Window.partitionBy(key, "_span").orderBy(*order)
+    over_spans = Window.partitionBy("_key").orderBy("_at")
+    here = F.col(key).eqNullSafe(F.col("_key")) & F.col("_span").eqNullSafe(F.col("_at"))
+
+    rows = df.withColumn("_span", span_of).withColumn("_attrs", F.struct(*attrs))
+    rows = rows.withColumns({"_before": F.lag("_attrs").over(own), "_no": F.row_number().over(own),
+                             "_last": F.lead(F.lit(1)).over(own).isNull()})
+    carried = (rows.where("_last").select(F.col(key).alias("_key"), F.col("_span").alias("_at"), "_attrs")
+               .select("_key", "_at", F.lag("_attrs").over(over_spans).alias("_carried")))
+    before = F.when(F.col("_no") == 1, F.col("_carried")).otherwise(F.col("_before"))
+    unchanged = reduce(Column.__and__, [_same(F.col(f"_attrs.{a}"), F.col(f"_prev.{a}")) for a in attrs])
+    kept = (rows.join(carried, here).withColumn("_prev", before).drop("_key", "_at")
+            .where(F.col("_prev").isNull() | ~unchanged))
+
+    starts = (kept.groupBy(F.col(key).alias("_key"), F.col("_span").alias("_at")).agg(F.min(from_col).alias("_start"))
+              .select("_key", "_at", F.lead("_start").over(over_spans).alias("_next_span")))
+    end = F.coalesce(F.lead(from_col).over(own), F.col("_next_span"))
+    return kept.join(starts, here).select(
+        key, from_col, F.coalesce(F.date_sub(end, 1), F.lit(OPEN_END)).alias(to_col), *attrs)
 
 
 def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],

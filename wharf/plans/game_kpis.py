@@ -9,6 +9,7 @@ from wharf.functions.columns import null_safe_text, paid_flag
 from wharf.operators import aggregates as agg
 from wharf.plans import standins as si
 from wharf.plans.registry import query
+from wharf.session import work_dir
 
 PROFILE_COLS = ["client_version", "event_name", "is_premium", "platform", "player_name",
                 "product_name", "server_version", "real_currency_type", "session_id",
@@ -50,6 +51,36 @@ def q_constant_columns(spark, sf_dir):
                                             PROFILE_COLS))
 
 
+SKETCHED_COLS = ["session_id", "user_id", "user_ip", "player_name", "platform"]
+
+
+@query("kpi_profile_sketches", stateful=True, covers=("A1",), sql=_sql("""
+, counts AS (SELECT """ + ",\n".join(
+    f"CAST(count(DISTINCT coalesce(CAST({c} AS VARCHAR), 'NULL')) AS BIGINT) AS {c}" for c in SKETCHED_COLS) + """ FROM ge),
+n AS (SELECT CAST(count(*) AS BIGINT) AS rows_count,
+             CAST(count(DISTINCT coalesce(CAST(event_timestamp AS DATE), DATE '1900-01-01')) AS BIGINT) AS days FROM ge)
+SELECT column_name, exact_count, rows_count, days, true AS within_bound
+FROM (UNPIVOT counts ON COLUMNS(*) INTO NAME column_name VALUE exact_count), n
+"""))
+def q_profile_sketches(spark, sf_dir):
+    """Distinct counts of the whole span from one stored sketch a day, held against the exact ones:
+    within three standard errors (2.5 %)."""
+    events = si.game_events(spark, sf_dir).select("event_timestamp", *SKETCHED_COLS)
+    path = work_dir(spark, "sketches")
+    agg.daily_sketches(events, F.to_date("event_timestamp"), SKETCHED_COLS).write.parquet(path)
+    estimate = agg.profile_of_sketches(spark.read.parquet(path), SKETCHED_COLS)
+    exact = agg.profile(events, SKETCHED_COLS).withColumn("days", F.lit(0))
+
+    def long(df, value):
+        pairs = ", ".join(f"'{c}', CAST(`{c}_distinct_count` AS BIGINT)" for c in SKETCHED_COLS)
+        return df.selectExpr("rows_count", "days", f"stack({len(SKETCHED_COLS)}, {pairs}) AS (column_name, {value})")
+
+    both = long(estimate, "estimate").join(long(exact, "exact_count").drop("rows_count", "days"), "column_name")
+    off = F.abs(F.col("estimate") - F.col("exact_count"))
+    return both.select("column_name", "exact_count", "rows_count", "days",
+                       (off <= 3 * agg.SKETCH_ERROR * F.col("exact_count")).alias("within_bound"))
+
+
 @query("kpi_product_frequency", covers=("A3", "O1"), sql=_sql("""
 SELECT product_name, CAST(count(*) AS BIGINT) AS cnt FROM ge GROUP BY product_name
 """))

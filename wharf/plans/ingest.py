@@ -5,8 +5,11 @@ events), so the work grows with the table."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wharf.functions.columns import is_text_false, is_text_true
 from wharf.operators import aggregates as agg
@@ -19,7 +22,7 @@ from wharf.sources import documents as docs
 from wharf.sources import events as evsrc
 from wharf.sources.catalog import CatalogTable, open_database
 from wharf.sources.files import read_csv, read_seed
-from wharf.sources.tables import path_bytes
+from wharf.sources.tables import path_bytes, replace_window_partitions
 from wharf.streaming.ingest import ingest_event_files, merge_event_files, read_ingested, reconcile_loads
 
 # --- fixed values of the raw-event stand-in ----------------------------------
@@ -102,6 +105,16 @@ def q_repaired_events(spark, sf_dir):
     return evsrc.type_events(raw, EVENT_TYPES, EVENT_MONEY)
 
 
+@query("repaired_events_multiline", stateful=True, covers=("S1", "S2"), sql=_REPAIRED_SQL)
+def q_repaired_events_multiline(spark, sf_dir):
+    """The same records written over several lines each (a break after every field), read record by
+    record: the file is split at the records' end, not at line ends, and stays splittable."""
+    path = work_dir(spark, "multiline")
+    lines = raw_event_lines(spark, sf_dir).where(F.col("value").contains("{"))     # lost lines have no record's end
+    lines.select(F.regexp_replace("value", ", '", ",\n  '").alias("value")).write.text(path)
+    return evsrc.read_events(spark, path, EVENT_FIELDS, EVENT_TYPES, EVENT_MONEY, record_sep="},\n")
+
+
 @query("event_problems", covers=("S3",), sql=_EVENTS_BASE + """
 SELECT CAST(event_id AS VARCHAR) AS event_id, 'unparseable record' AS problem, NULL AS value
 FROM e WHERE k = 99
@@ -283,13 +296,16 @@ def q_fx_usd_seed_csv(spark, sf_dir):
 NIGHT_RUNS = ["2024-01-19 03:00:00", "2024-01-20 03:00:00", "2024-01-20 03:00:00"]   # last is a rerun
 
 
-def nightly_weather_load(spark, sf_dir, root: str, run_ts: str) -> None:
-    """Flatten the hourly documents, keep the entries of the day before
-    ``run_ts`` and restate that one day of the date-partitioned table, so a
-    rerun of the same night replaces its day instead of doubling it."""
-    import datetime as dt
-    from wharf.sources.tables import replace_window_partitions
-    flat = docs.flatten_hourly(docs.parse_documents(hourly_documents(spark, sf_dir), keep=["doc_no"]))
+DOC_SCHEMA = T.StructType([T.StructField("doc_no", T.LongType()), T.StructField("value", T.StringType())])
+
+
+def nightly_weather_load(spark, landed: str, root: str, run_ts: str) -> None:
+    """Flatten the landed documents of the day before ``run_ts`` (no other day's
+    are read), keep that day's entries and restate that one day of the
+    date-partitioned table, so a rerun of the same night replaces its day
+    instead of doubling it."""
+    raw = docs.read_day(spark, landed, run_ts, DOC_SCHEMA)
+    flat = docs.flatten_hourly(docs.parse_documents(raw, keep=["doc_no"]))
     day_rows = (flat.where(docs.in_day_window(F.col("timestamp"), run_ts))
                 .select("time", "timestamp", "temperature", "summary",
                         F.to_date("timestamp").alias("day")))
@@ -304,9 +320,10 @@ SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS time,
 FROM events WHERE ts >= TIMESTAMP '2024-01-18 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
 """)
 def q_nightly_weather(spark, sf_dir):
-    root = work_dir(spark, "weather")
+    landed, root = work_dir(spark, "weather-landed"), work_dir(spark, "weather")
+    docs.land_by_day(hourly_documents(spark, sf_dir), landed)
     for run_ts in NIGHT_RUNS:
-        nightly_weather_load(spark, sf_dir, root, run_ts)
+        nightly_weather_load(spark, landed, root, run_ts)
     return spark.read.parquet(root).select("time", "timestamp", "temperature", "summary", "day")
 
 

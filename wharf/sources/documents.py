@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,3 +49,25 @@ def in_day_window(ts: Column, run_ts) -> Column:
     """``ts`` within the day before ``run_ts`` (a nightly load's window)."""
     start = day_window_start(lit_ts(run_ts))
     return (ts >= start) & (ts < start + F.expr("INTERVAL 1 DAY"))
+
+
+# -- landing by day ------------------------------------------------------------------
+
+_TIMES = T.StructType([T.StructField("hourly", T.StructType([T.StructField("data", T.ArrayType(
+    T.StructType([T.StructField("time", T.LongType())])))]))])
+DAY = "day"
+
+
+def land_by_day(raw: DataFrame, path: str, text_col: str = "value") -> None:
+    """Append raw documents to ``path``, partitioned by the days of their entries: a document that spans
+    two days is in both, one without entries under no day (null). Only the times are parsed."""
+    times = F.from_json(F.col(text_col), _TIMES)["hourly"]["data"]["time"]
+    days = F.array_distinct(F.transform(times, lambda t: F.to_date(F.timestamp_seconds(t).cast("timestamp_ntz"))))
+    raw.withColumn(DAY, F.explode_outer(days)).write.mode("append").partitionBy(DAY).parquet(path)
+
+
+def read_day(spark: SparkSession, path: str, run_ts, schema: T.StructType) -> DataFrame:
+    """Landed documents of the day before ``run_ts``: other days' folders are not read."""
+    landed = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    return spark.read.schema(landed).parquet(path).where(
+        F.col(DAY) == F.date_sub(lit_ts(run_ts).cast("date"), 1)).drop(DAY)
