@@ -17,7 +17,7 @@ from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
 from wharf.plans.reports import users_transactions
-from wharf.session import bucket_count, read_table, table_path, work_dir
+from wharf.session import bucket_count, read_table, spread, table_path, work_dir
 from wharf.sources import documents as docs
 from wharf.sources import events as evsrc
 from wharf.sources.catalog import CatalogTable, open_database
@@ -31,7 +31,7 @@ EVENT_FIELDS = ["event_id", "event_timestamp", "platform", "user_id", "session_i
 EVENT_TYPES = {"event_id": "bigint", "event_timestamp": "timestamp_ntz", "is_premium": "boolean"}
 EVENT_MONEY = {"real_currency_amount": "real_currency_amount_centum"}
 ENTRIES_PER_DOC = 24
-NOTES = ["Mr True", "ratio 3:, ok", "flag: True, yes", "see: NULL}"]     # by k mod 5
+NOTES = ["Mr True", "ratio 3:, ok", "flag: True, yes", "see: NULL}", r'say \"hi\"']     # by k mod 6
 # -------------------------------------------------------------------------------
 
 
@@ -44,10 +44,10 @@ def raw_event_lines(spark, sf_dir, events: DataFrame | None = None) -> DataFrame
     """One almost-JSON line per event, as a game client would log it:
     single quotes, True/False/NULL words, ``'user_id': ,`` for a missing
     user, comma decimals for odd k, an apostrophe in some names, texts that
-    look like structure (True, NULL, a colon before a comma), bytes that are
-    no UTF-8, an unreadable time for k = 0, a line without a record for
+    look like structure (True, NULL, a colon before a comma), escaped quotes,
+    bytes that are no UTF-8, an unreadable time for k = 0, a line without a record for
     k = 98 and a broken one for k = 99."""
-    e = read_table(spark, sf_dir, "events") if events is None else events
+    e = spread(read_table(spark, sf_dir, "events") if events is None else events)
     k = F.get_json_object("props", "$.k").try_cast("int")
     uid = F.col("user_id")
     vtext = F.col("value").cast("string")
@@ -56,11 +56,11 @@ def raw_event_lines(spark, sf_dir, events: DataFrame | None = None) -> DataFrame
         .otherwise(F.concat(F.lit("p"), uid.cast("string")))
     name_txt = F.when(k == 99, F.concat(F.lit("'"), name)).otherwise(_q(name))
     ts = F.when(k == 0, _q(F.lit("n/a"))).otherwise(_q(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
-    five = F.pmod(k, F.lit(5))
+    turn = F.pmod(k, F.lit(len(NOTES) + 1))
     bad = F.concat(F.lit("o"), F.unhex(F.lit("FFFE")).cast("string"), F.lit("k"))
-    note = F.when(five == len(NOTES), bad).otherwise(F.lit("ok"))
+    note = F.when(turn == len(NOTES), bad).otherwise(F.lit("ok"))
     for i, text in enumerate(NOTES):
-        note = F.when(five == i, F.lit(text)).otherwise(note)
+        note = F.when(turn == i, F.lit(text)).otherwise(note)
     parts = [
         F.concat(F.lit("'event_id': "), F.col("event_id").cast("string")),
         F.concat(F.lit("'event_timestamp': "), ts),
@@ -94,7 +94,7 @@ SELECT event_id,
        CAST(round(value * 100) AS BIGINT) AS real_currency_amount_centum,
        value > 250 AS is_premium,
        CASE WHEN user_id % 10 = 3 THEN 'O''p' ELSE 'p' END || CAST(user_id AS VARCHAR) AS player_name,
-       coalesce(['Mr True', 'ratio 3:, ok', 'flag: True, yes', 'see: NULL}'][k % 5 + 1], 'ok') AS note
+       coalesce(['Mr True', 'ratio 3:, ok', 'flag: True, yes', 'see: NULL}', 'say "hi"'][k % 6 + 1], 'ok') AS note
 FROM e WHERE k NOT IN (98, 99)
 """
 

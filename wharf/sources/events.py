@@ -2,11 +2,11 @@
 
 The raw form is a list of flat dicts in Python-literal style: single
 quotes, ``True``/``False``/``NULL`` words, missing values (``'k': ,``),
-comma decimals, one record per line inside ``[ ... ]``. Each line is
-repaired with JVM-side regular expressions anchored to the record
-structure (so apostrophes and the words True/False *inside* values survive)
-and parsed with ``from_json`` against an all-text schema; typing happens
-afterwards with ``try_cast`` so a bad value nulls one field, not the row.
+comma decimals, one record per line inside ``[ ... ]``. One JVM-side regular
+expression goes once over each line and marks its pairs (so apostrophes,
+quotes and the words True/False *inside* values survive); fields are then cut
+out at the marks. Typing happens afterwards with ``try_cast`` so a bad value
+nulls one field, not the row.
 """
 
 from __future__ import annotations
@@ -22,35 +22,48 @@ from wharf.session import spread
 
 CORRUPT = "_corrupt_record"
 
-# --- fixed values: the repair rules, in the order they are applied -----------
-# (pattern, replacement) pairs for Java regular expressions. Values are only
-# touched behind a quoted key that follows '{' or ',': content quotes are
-# escaped by then, so no text inside a value looks like one.
-KEY = r'([{,]\s*"[^"\\]+"\s*:\s*)'
-REPAIR_RULES = [
-    (r'"', r'\\"'),                                      # content quotes → escaped
-    (r"([{,]\s*)'([^']*)'\s*:", r'$1"$2":'),             # 'key':   → "key":
-    (KEY + r"""'(.*?)'(?=\s*(?:,\s*"[^"\\]*"\s*:|\}\s*$))""", r'$1"$2"'),   # 'val', up to the next key or the end
-    (KEY + r"(?:NULL|None)?\s*(?=[,}])", r"$1null"),     # missing, NULL and None
-    (KEY + r"True(?=\s*[,}])", r"$1true"),
-    (KEY + r"False(?=\s*[,}])", r"$1false"),
-]
+# --- fixed values: the form of a record ------------------------------------------
+# One pass takes a record apart: every pair must start where the one before
+# ended, and the last one must end the record, so text inside a value is never
+# taken for structure and what does not fit is left over.
+OPENS = r"[\s\[,]*\{"                                     # list bracket or separator, then the record
+CLOSES = r"\}[\s\],}]*$"
+NEXT_KEY = r"\s*'[^'\\]*'\s*:"
+BARE = r"NULL|None|null|True|False|true|false|-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?|"       # a missing value is null
+PAIR = (rf"(?s)(?:^{OPENS}|(?!^)\G)\s*'([^'\\]+)'\s*:\s*(?:('.*?')|({BARE}))\s*(?:,(?={NEXT_KEY})|{CLOSES})")
+KEY_MARK, VALUE_MARK, BARE_MARK, END_MARK = "\x01", "\x02", "\x03", "\x04"
+NULL_WORDS = ["", "NULL", "None", "null"]
 # -------------------------------------------------------------------------------
 
 
-def repair_line(line: Column) -> Column:
-    """One raw record line → JSON text (list brackets and separators trimmed)."""
-    s = F.trim(line)
-    s = F.regexp_replace(s, r"^\[\s*", "")
-    s = F.regexp_replace(s, r"\s*[,\]]*\s*$", "")
-    for pat, rep in REPAIR_RULES:
-        s = F.regexp_replace(s, pat, rep)
-    return s
+def take_apart(line: Column) -> Column:
+    """A raw record as marked pairs (key, then quoted or bare value), or text that
+    does not both begin with a key's and end with a pair's mark if it is no record."""
+    marks = KEY_MARK + VALUE_MARK + BARE_MARK + END_MARK
+    plain = F.translate(line, marks, " " * len(marks))
+    return F.regexp_replace(plain, PAIR, f"{KEY_MARK}$1{VALUE_MARK}$2{BARE_MARK}$3{END_MARK}")
+
+
+def _raw_value(pairs: Column, name: str) -> Column:
+    """The value of a field as written, null if the record lacks it (twice: the last one)."""
+    key = KEY_MARK + name + VALUE_MARK
+    found = F.substring_index(F.substring_index(pairs, key, -1), END_MARK, 1)
+    return F.when(F.contains(pairs, F.lit(key)), found)
+
+
+def _text(value: Column) -> Column:
+    """Text of a value: quoted ones without their quotes and escapes, bare ones as JSON would write them."""
+    inner = F.substr(value, F.lit(2), F.length(value) - 3)
+    json = F.concat(F.lit('["'), F.regexp_replace(inner, r'(?<!\\)"', r'\\"'), F.lit('"]'))
+    unescaped = F.coalesce(F.get(F.from_json(json, "array<string>"), F.lit(0)), inner)
+    bare = F.substr(value, F.lit(2))
+    return (F.when(F.startswith(value, F.lit("'")), F.when(F.contains(inner, F.lit("\\")), unescaped).otherwise(inner))
+            .when(bare.isin(NULL_WORDS), F.lit(None)).when(bare.isin("True", "False"), F.lower(bare)).otherwise(bare))
 
 
 def drop_bad_bytes(line: Column) -> Column:
     """Replace invalid UTF-8 by U+FFFD, then drop it (undecodable bytes ignored)."""
-    return F.regexp_replace(F.make_valid_utf8(line), "�", "")
+    return F.replace(F.make_valid_utf8(line), F.lit("\ufffd"), F.lit(""))
 
 
 def read_lines(spark: SparkSession, path: str, record_sep: str | None = None) -> DataFrame:
@@ -69,20 +82,21 @@ def is_record(line: Column) -> Column:
 
 
 def parse_events(lines: DataFrame, fields: list[str], line_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """Repair and parse lines; every field comes back as text, plus
-    ``_corrupt_record`` holding the repaired text of lines that failed, and the
-    columns to ``keep``."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields]
-                          + [T.StructField(CORRUPT, T.StringType())])
+    """Take lines apart; every field comes back as text, plus ``_corrupt_record``
+    holding the text of lines that failed, and the columns to ``keep``."""
     # Only blank lines and the list's own brackets are no records; any other
-    # line is loaded or reported. The filter is on the raw line, so the repair
-    # chain is not pushed into it and evaluated twice; from_json keeps the text
-    # of a failed record in its own corrupt-record field.
-    body = repair_line(drop_bad_bytes(F.col(line_col)))
-    records = spread(lines.where(is_record(F.col(line_col))))
-    parsed = records.select(*keep, F.from_json(body, schema, {"mode": "PERMISSIVE",
-                                                       "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
-    return parsed.select("r.*", *keep)
+    # line is loaded or reported. They go inside a generator: a filter would be
+    # pushed below whatever makes the lines and make them twice.
+    records = spread(lines).select(*keep, F.explode(F.filter(F.array(line_col), is_record)).alias("_raw"))
+    line = drop_bad_bytes(F.col("_raw"))
+    apart = records.select(*keep, line.alias("_line"), take_apart(line).alias("_pairs"))
+    # a key left inside a value means that a quote before it was never closed
+    ok = (F.startswith("_pairs", F.lit(KEY_MARK)) & F.endswith("_pairs", F.lit(END_MARK))
+          & ~F.col("_pairs").rlike(f",{NEXT_KEY}") | F.col("_pairs").rlike(rf"^{OPENS}\s*{CLOSES}"))
+    names = [f"_v{i}" for i in range(len(fields))]
+    values = apart.select(*keep, F.when(~ok, F.trim("_line")).alias(CORRUPT),
+                          *[F.when(ok, _raw_value(F.col("_pairs"), f)).alias(n) for f, n in zip(fields, names, strict=True)])
+    return values.select(*[_text(F.col(n)).alias(f) for f, n in zip(fields, names, strict=True)], CORRUPT, *keep)
 
 
 def type_events(raw: DataFrame, types: Mapping[str, str], money: Mapping[str, str]) -> DataFrame:
@@ -126,8 +140,8 @@ def problem_rows(raw: DataFrame, types: Mapping[str, str], money: Mapping[str, s
                             F.struct(F.lit(f"unreadable {c}").alias("problem"),
                                      F.col(c).alias("value"))))
     arr = F.filter(F.array(*probs), lambda x: x.isNotNull())
-    # the key of an unparseable line is read from its repaired text
-    found = F.regexp_extract(F.col(CORRUPT), rf'"{key}"\s*:\s*"?([^",}}\s]*)', 1)
+    # the key of an unparseable line is read from its text
+    found = F.regexp_extract(F.col(CORRUPT), rf"""['"]{key}['"]\s*:\s*['"]?([^'",}}\s]*)""", 1)
     k = F.coalesce(F.col(key).cast("string"), F.nullif(found, F.lit("")))
     return raw.select(k.alias(key), F.explode(arr).alias("p")).select(key, "p.problem", "p.value")
 
