@@ -41,9 +41,13 @@ def drop_common_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_D
                        lambda x: F.when(F.length(x) >= min_chars, digest(x)))
     base = materialise(pack(docs, row=F.monotonically_increasing_id(), keys=keys), "line-dedup")
     # written, so that the join below has the lines' shuffle to itself and AQE can split a common line
+    # distinct as texts: array_distinct hashes those, but compares all pairs of structs
+    written = F.transform("keys", lambda k: F.concat(k["a"].cast("string"), F.lit(":"), k["b"].cast("string")))
+    half = lambda n: F.substring_index("k", ":", n).cast("long")
     common = materialise(
-        base.select(F.explode(F.array_distinct("keys")).alias("k")).where("k is not null")
-        .groupBy("k.a", "k.b").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
+        base.select(F.explode(F.array_distinct(written)).alias("k")).where("k is not null")
+        .select(half(1).alias("a"), half(-1).alias("b"))
+        .groupBy("a", "b").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
         .select("a", "b"), "line-dedup-common")
     gone = (base.select("row", F.posexplode("keys").alias("at", "k"))
             .select("row", "at", "k.a", "k.b").join(common, ["a", "b"], "left_semi")
@@ -51,8 +55,10 @@ def drop_common_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_D
     rows = base.join(gone, "row", "left").select(
         "_row", F.size("keys").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), "gone")
-    lines = F.split(F.coalesce(F.col(f"_row.`{text}`"), F.lit("")), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-    kept = F.when(F.col("gone").isNull(), F.coalesce(F.col(f"_row.`{text}`"), F.lit(""))).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    # the lines as a column that is used twice, so that they aren't split again for each line that stays
+    whole = F.coalesce(F.col(f"_row.`{text}`"), F.lit(""))
+    rows = rows.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split(whole, "\n", -1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.when(F.col("gone").isNull(), whole).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
     return unpack(rows.withColumn("kept_text", kept), "kept_text", "n_lines", "n_dropped")
