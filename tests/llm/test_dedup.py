@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -145,3 +146,28 @@ def test_components(spark):
     want = roots(real, {x for p in real for x in p})
     assert {n: got.get(n, n) for n in want} == want
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_line_dedup_of_a_text_with_very_many_lines(spark):
+    many = "\n".join(f"line {i}" for i in range(60_000))
+    docs = frame(spark, [(1, many), (2, "line 1\nother"), (3, "line 1\n" + many)])
+    begun = time.time()
+    out = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_dedup.drop_common_lines(docs, min_docs=3).collect()}
+    assert out == {1: (60_000, 1), 2: (2, 1), 3: (60_001, 2)} and time.time() - begun < 60
+
+
+def test_one_row_for_each_node_of_repeated_rows_without_ids(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = [" ".join([*base[:117], f"a{i}", f"b{i}", f"c{i}"]) for i in range(6)]
+    rows = [(None, t) for t in texts for _ in range(400)] + [(None, t.upper()) for t in texts for _ in range(50)]
+    rows += [(7, "own words of this one"), (7, "own words of this one"), (7, texts[0]), (3, texts[1])]
+    seen = []
+    found = near_dedup._node_sets
+    monkeypatch.setattr(near_dedup, "_node_sets", lambda *a: (seen.append(found(*a)), seen[0])[1])
+    out = near_dedup.near_duplicates(frame(spark, rows).repartition(5)).collect()
+    counts = seen[0].groupBy("node").count().collect()
+    assert len(counts) == 6 and all(r["count"] == 1 for r in counts)
+    linked = [r for r in out if r["n_shingles"] > 100]
+    assert len(linked) == len(rows) - 2 and {r["component_id"] for r in linked} == {3}
+    assert sorted(r["doc_id"] for r in linked if r["kept"]) == [3]

@@ -12,6 +12,7 @@ from tests.llm.test_dedup import plain_near
 from tests.llm.test_mixing_sharding import filled
 from tests.llm.test_text_operators import plain_marks
 from wharf.llm import mixing, quality, queries
+from wharf.session import work_dir
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -128,3 +129,21 @@ def test_mixing_query_sorts_texts(spark):
     plan = queries.op3_mixing(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     sort = next(n for n, line in enumerate(plan.split("\n")) if "Sort [first_position" in line)
     assert "AS text#" in plan.split("\n")[sort + 1]
+
+
+def test_pipeline_keeps_columns_with_operators_names(spark):
+    clash = ["shard", "slot", "size", "position", "positions", "items", "n_words", "n_hit", "contaminated", "taken", "target",
+             "law", "row", "_row", "_c1", "Predicted", "kept"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    wide = docs.select("*", *[(docs.doc_id * 100 + i).alias(c) for i, c in enumerate(clash)])
+    now = wide
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        now = stage(spark, now, SF)
+        assert now.columns == wide.columns + ["shard_", "slot_"] * (n == 4)
+    path = f"{work_dir(spark, 'clash')}/out"
+    now.write.parquet(path)
+    rows = spark.read.parquet(path).collect()
+    assert rows and all(r[c] == r["doc_id"] * 100 + i for r in rows for i, c in enumerate(clash))
+    for n in {r["shard_"] for r in rows}:
+        own = sorted(r["slot_"] for r in rows if r["shard_"] == n)
+        assert own == list(range(len(own)))

@@ -310,6 +310,30 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
             .applyInPandas(_blockwise(bands, rows, least, percent), "u binary, v binary").distinct())
 
 
+def _node_sets(own: DataFrame, signed: DataFrame, nodes: DataFrame, n_nodes: int, shingle: int) -> DataFrame:
+    """The shingle set and sample of every node, one row each.
+
+    Texts are found by the node's id. An id that several rows have (null, as a
+    rule) finds them all: their texts are made distinct first, map-side and then
+    by text, and their sets by node."""
+    several = materialise(signed.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("twice")),
+                          "near-repeated-ids")
+    ids = (nodes.select(F.col("id").alias("wanted")).distinct()
+           .join(several.withColumn("many", F.lit(True)), F.col("wanted").eqNullSafe(F.col("twice")), "left"))
+    ids = materialise(ids.select("wanted", F.coalesce("many", F.lit(False)).alias("many")), "near-ids")
+    texts = own.join(_few(ids, n_nodes), F.col("id").eqNullSafe(F.col("wanted")))
+    kind = "node binary, shingles array<long>, sample array<int>"
+    one = materialise(texts.where("not many").select("text").mapInArrow(_sets(shingle), kind).where("node is not null"),
+                      "near-sets")
+    if ids.where("many").isEmpty():
+        return one
+    wanted = nodes.join(several, F.col("id").eqNullSafe(F.col("twice")), "left_semi").select("node")
+    more = materialise(texts.where("many").select("text").distinct().mapInArrow(_sets(shingle), kind)
+                       .where("node is not null").join(wanted, "node", "left_semi").dropDuplicates(["node"]),
+                       "near-repeated-sets")
+    return one.unionByName(more)
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK,
                     seed: int = SEED, row: str | None = None) -> DataFrame:
@@ -343,11 +367,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     nodes = materialise(signed.join(_few(named, n_nodes), "node", "left_semi")
                         .groupBy("node").agg(F.first("size").alias("size"), F.first("sig").alias("sig"),
                                              F.min("id").alias("id")), "near-nodes")
-    ids = _few(nodes.select(F.col("id").alias("wanted")).distinct(), n_nodes)
-    sets = own.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = materialise(sets.select("text").mapInArrow(
-        _sets(shingle), "node binary, shingles array<long>, sample array<int>")
-                       .where("node is not null"), "near-sets")
+    sets = _node_sets(own, signed, nodes, n_nodes, shingle)
     stars = materialise(_confirm(_stars(members, nodes, least), sets, percent), "near-stars")
     roots = connected_components(stars)
     more = materialise(_confirm(_rest(members, nodes, sets, roots, least, bands, rows, percent, block),
