@@ -2,7 +2,9 @@
 
 Quality classifier, near-dedup, benchmark decontamination, mixing to target
 weights, sharding. Each stage works on all that its predecessor kept and
-returns the columns of ``documents``; the last adds shard and slot. Stages are
+returns the columns of ``documents``, further ones and those with an operator's
+names included; the last adds shard and slot (``shard_``, ``slot_`` where the
+names are taken). Stages are
 written and read again in between, so a lost executor costs at most a stage's
 own tasks, and a stage deletes the tables that its predecessor worked with.
 """
@@ -62,20 +64,42 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _without(rows, near_dedup.near_duplicates(_fields(rows), row="row").where(~F.col("first")))
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names of the pipeline's own, which no added column can clash with, and those names."""
+    own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*own.values()), own
+
+
+def _back(df: DataFrame, own: dict[str, str], *added: str) -> DataFrame:
+    """The columns of ``documents`` again, with their values; an added column whose name is taken gets a ``_``."""
+    taken = {c.lower() for c in own}
+    out = [F.col(n).alias(c) for c, n in own.items()]
+    for name in added:
+        free = name
+        while free.lower() in taken:
+            free += "_"
+        taken.add(free.lower())
+        out.append(F.col(name).alias(free))
+    return df.select(*out)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = decontamination.mark_benchmark(docs, read(spark, sf_dir, "benchmark"))
-    return marked.where(~F.col("contaminated")).select(docs.columns)
+    rows, own = _apart(docs)
+    marked = decontamination.mark_benchmark(rows, read(spark, sf_dir, "benchmark"), text=own["text"])
+    return _back(marked.where(~F.col("contaminated")), own)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, as often as the mix takes them."""
-    mixed = mixing.curriculum(docs, count_words(F.col("text")))
-    return mixing.training_order(mixed).select(docs.columns)
+    rows, own = _apart(docs)
+    mixed = mixing.curriculum(rows, count_words(F.col(own["text"])), source=own["source"], key=own["doc_id"])
+    return _back(mixing.training_order(mixed), own)
 
 
 def shard_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    size = F.octet_length(F.coalesce("text", F.lit(""))) + 8
-    return sharding.shard(docs, SHARDS, size).select(*docs.columns, "shard", "slot")
+    rows, own = _apart(docs)
+    size = F.octet_length(F.coalesce(F.col(own["text"]), F.lit(""))) + 8
+    return _back(sharding.shard(rows, SHARDS, size, key=own["doc_id"]), own, "shard", "slot")
 
 
 STAGES = [("quality", _stage(keep_quality, first=True)), ("near_dedup", _stage(drop_near_copies)),
