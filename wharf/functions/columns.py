@@ -140,18 +140,6 @@ def day_window_start(run_ts) -> Column:
     return F.date_trunc("DAY", _col(run_ts)) - F.expr("INTERVAL 1 DAY")
 
 
-def in_year(ts, as_of) -> Column:
-    return F.year(_col(ts)) == F.year(_col(as_of))
-
-
-def in_month(ts, as_of) -> Column:
-    return in_year(ts, as_of) & (F.month(_col(ts)) == F.month(_col(as_of)))
-
-
-def in_quarter(ts, as_of) -> Column:
-    return in_year(ts, as_of) & (F.quarter(_col(ts)) == F.quarter(_col(as_of)))
-
-
 def lit_date(d) -> Column:
     return F.lit(str(d)).cast("date")
 

@@ -115,12 +115,6 @@ def run_checks(spark: SparkSession, df: DataFrame, rules: Sequence) -> DataFrame
         "rule", "column", F.coalesce("failing", F.lit(0)).cast("bigint").alias("failing_rows"))
 
 
-def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key is missing in the parent (expect none)."""
-    pk = parent_key or key
-    return child.join(parent.select(F.col(pk).alias(key)).distinct(), key, "left_anti")
-
-
 def match_counts(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """Rows of ``left`` and how many of them found a partner in ``right``
     (``right`` deduplicated on the key first, so partners never multiply;

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.operators import checks as chk
-from wharf.operators.incremental import changed_ids, extract_since, insert_new, last_import, restated
+from wharf.operators.incremental import changed_ids, extract_since, insert_new, last_import
 from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
@@ -430,12 +430,6 @@ def q_replace_window(spark, sf_dir):
     return spark.read.parquet(root).select("event_id", "day", "event_type", "value")
 
 
-def restated_logical(spark, sf_dir) -> DataFrame:
-    """The same restatement as a pure plan (no files), for tests."""
-    initial, settled = restate_inputs(spark, sf_dir)
-    return restated(initial, settled, "day", RESTATE_RUN, RESTATE_DAYS)
-
-
 # -- checks (C1–C4, C7, C8, J10, J11) --------------------------------------------------
 
 @query("checks_orders", covers=("C1", "C2", "C3", "C4", "C7", "C8", "J10"), sql="""
