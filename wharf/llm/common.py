@@ -36,10 +36,16 @@ def collected(paths: list[str]) -> Iterator[None]:
         _collecting.pop()
 
 
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1].replace("-", "_")
+
+
 def release(spark: SparkSession, paths: list[str]) -> None:
     """Delete collected tables, once what was computed from them is written."""
     while paths:
-        delete_path(spark, paths.pop())
+        path = paths.pop()
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+        delete_path(spark, path)
 
 
 def work_table(spark: SparkSession, name: str) -> str:
@@ -50,6 +56,16 @@ def work_table(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    usual = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, min(int(usual), BATCH_ROWS) if int(usual) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, usual)
+
+
 def materialise(df: DataFrame, name: str, **options: str | int) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
@@ -60,15 +76,25 @@ def materialise(df: DataFrame, name: str, **options: str | int) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_table(spark, name)
-    usual = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, min(int(usual), BATCH_ROWS) if int(usual) > 0 else BATCH_ROWS)
-    try:
+    with _small_batches(spark):
         df.write.options(**options).parquet(path)
-    finally:
-        spark.conf.set(BATCH, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``materialise``, with the rows dealt into buckets by ``key`` once:
+    joins on it then read them without a shuffle. Rows should have different
+    keys, since a bucket is one task's. As many buckets as shuffle partitions.
+    """
+    spark = df.sparkSession
+    path = work_table(spark, name)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with _small_batches(spark):
+        (df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path)
+         .saveAsTable(_table_name(path)))
+    return spark.table(_table_name(path))
+
+
 def pack(df: DataFrame, **cols: Column) -> DataFrame:
     """The input row as one struct beside the operator's own columns, so that
     no name of the input can clash with them."""

@@ -13,6 +13,8 @@ hold a large part of all nodes, so their pairs are never listed:
    components that signature and own shingles allow come out.
 
 Each pair of step 1 and 2 is confirmed on the whole sets; nothing is capped.
+The sets are written once, bucketed by node; ids that grow with the documents
+are joined by sort and merge at every size, never sent to every executor by us.
 With 25 bands of 5 minima a pair at a similarity of 0.85 is missed with a
 probability of 4e-7, a more similar one with less.
 """
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharf.llm import wordhash
-from wharf.llm.common import materialise
+from wharf.llm.common import bucketed, materialise
 from wharf.llm.components import connected_components
 
 SHINGLE = 3
@@ -37,7 +39,6 @@ BANDS, ROWS = 25, 5
 SLACK = 0.17                          # below the threshold, of estimates: over 5 standard deviations
 SAMPLE = 256                          # shingles of a node that blocks are compared by, at most about
 BLOCK = 256                           # members compared with as many others in a task
-BROADCAST_ROWS = 1_000_000            # ids sent to every executor at most: some 30 MB
 SEED = 20240203
 
 
@@ -174,26 +175,20 @@ def _agreement(a: Column, b: Column) -> Column:
     return F.size(F.filter(same, lambda t: t)) / F.size(a)
 
 
-def _few(ids: DataFrame, rows: int) -> DataFrame:
-    """``ids`` (or pairs of them), of which there are at most ``rows``, as a side
-    of a join: sent to the executors if that is little, else shuffled."""
-    return F.broadcast(ids) if rows <= BROADCAST_ROWS else ids
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that reach the threshold on whole shingle sets. Only sets
-    that occur in a pair are shuffled."""
-    pairs = materialise(pairs, "near-pairs")
-    n = pairs.count()
-
-    def side(end: str, name: str) -> DataFrame:
-        wanted = _few(pairs.select(F.col(end).alias("node")).distinct(), n)
-        return (sets.join(wanted, "node", "left_semi")
-                .select(F.col("node").alias(end), F.col("shingles").alias(name)))
+    """The pairs (u, v) that reach the threshold on whole shingle sets.
 
+    ``sets`` is read by its buckets and not shuffled; the pairs, and the sets of
+    those that occur in one, are. The sets of u, which may have very many
+    partners, are written first, so that AQE can split them."""
+    pairs = materialise(pairs, "near-pairs")
+    ends = pairs.select(F.col("u").alias("node")).distinct().hint("merge")
+    first = materialise(sets.join(ends, "node", "left_semi")
+                        .select(F.col("node").alias("u"), F.col("shingles").alias("s")), "near-first-sets")
     common = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - common
-    return (_few(pairs, n).join(side("v", "t"), "v").join(side("u", "s"), "u")
+    return (pairs.hint("merge").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("t")), "v")
+            .join(first.hint("merge"), "u")
             .where(100 * common >= percent * union).select("u", "v"))
 
 
@@ -285,12 +280,12 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
     open_ = materialise(known.groupBy("bucket").agg(*several).where("n > 2 and a <> b").select("bucket"), "near-buckets")
     left = materialise(known.join(open_, "bucket", "left_semi"), "near-open")
     names = materialise(left.select("node").distinct(), "near-rest")
-    n = names.count()
-    alone = (sets.join(_few(names, n), "node", "left_semi")
+    alone = (sets.join(names.hint("merge"), "node", "left_semi")
              .select(F.xxhash64("node").alias("of"), F.explode("shingles").alias("shingle"))
              .groupBy("shingle").agg(F.count("*").alias("n"), F.min("of").alias("of")).where("n = 1")
              .groupBy("of").agg(F.count("*").alias("own")))
-    nodes = materialise(nodes.join(_few(names, n), "node", "left_semi").withColumn("of", F.xxhash64("node"))
+    nodes = materialise(nodes.join(names.hint("merge"), "node", "left_semi").join(sets.select("node", "sample"), "node")
+                        .withColumn("of", F.xxhash64("node"))
                         .join(alone, "of", "left").withColumn("own", F.coalesce("own", F.lit(0))).drop("of"),
                         "near-own")
     left = materialise(left.join(nodes.select("node", "size", "own"), "node"), "near-sized")
@@ -304,14 +299,15 @@ def _rest(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFram
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
              .withColumn("left", F.col("mine") == F.col("i"))
-             .join(nodes.select("node", "sig"), "node").join(sets.select("node", "sample"), "node"))
+             .join(nodes.select("node", "sig", "sample"), "node"))
     dealt = dealt.withColumn("band", F.array_position(_bucket_names(bands, rows), F.col("bucket")).cast("int") - 1)
     return (dealt.groupBy("bucket", "i", "j")
             .applyInPandas(_blockwise(bands, rows, least, percent), "u binary, v binary").distinct())
 
 
-def _node_sets(own: DataFrame, signed: DataFrame, nodes: DataFrame, n_nodes: int, shingle: int) -> DataFrame:
-    """The shingle set and sample of every node, one row each.
+def _node_sets(own: DataFrame, signed: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """The shingle set and sample of every node, one row each, bucketed by node:
+    the joins that follow read them where they lie.
 
     Texts are found by the node's id. An id that several rows have (null, as a
     rule) finds them all: their texts are made distinct first, map-side and then
@@ -321,17 +317,16 @@ def _node_sets(own: DataFrame, signed: DataFrame, nodes: DataFrame, n_nodes: int
     ids = (nodes.select(F.col("id").alias("wanted")).distinct()
            .join(several.withColumn("many", F.lit(True)), F.col("wanted").eqNullSafe(F.col("twice")), "left"))
     ids = materialise(ids.select("wanted", F.coalesce("many", F.lit(False)).alias("many")), "near-ids")
-    texts = own.join(_few(ids, n_nodes), F.col("id").eqNullSafe(F.col("wanted")))
+    texts = own.join(ids.hint("merge"), F.col("id").eqNullSafe(F.col("wanted")))
     kind = "node binary, shingles array<long>, sample array<int>"
-    one = materialise(texts.where("not many").select("text").mapInArrow(_sets(shingle), kind).where("node is not null"),
-                      "near-sets")
+    one = texts.where("not many").select("text").mapInArrow(_sets(shingle), kind).where("node is not null")
     if ids.where("many").isEmpty():
-        return one
+        return bucketed(one, "near_sets", "node")
     wanted = nodes.join(several, F.col("id").eqNullSafe(F.col("twice")), "left_semi").select("node")
     more = materialise(texts.where("many").select("text").distinct().mapInArrow(_sets(shingle), kind)
                        .where("node is not null").join(wanted, "node", "left_semi").dropDuplicates(["node"]),
                        "near-repeated-sets")
-    return one.unionByName(more)
+    return bucketed(one.unionByName(more), "near_sets", "node")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
@@ -356,18 +351,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     signed = materialise(own.mapInArrow(_sign(shingle, bands * rows, seed),
                                         f"id long, node binary, size long, sig array<int>{more}"), "near-signed")
     # written before it is joined back, here and below, so that AQE can split a bucket's rows
-    some = F.xxhash64("node")
-    shared = materialise(_buckets(signed, bands, rows).groupBy("bucket")
-                         .agg(F.min(some).alias("a"), F.max(some).alias("b")).where("a <> b").select("bucket"),
-                         "near-shared")
-    members = materialise(_buckets(signed, bands, rows).join(_few(shared, shared.count()), "bucket", "left_semi")
-                          .distinct(), "near-members")
+    # copies are one node, combined before the shuffle
+    every = materialise(signed.where("size > 0").groupBy("node")
+                        .agg(F.first("size").alias("size"), F.first("sig").alias("sig"), F.min("id").alias("id")),
+                        "near-every")
+    shared = materialise(_buckets(every, bands, rows).groupBy("bucket").agg(F.count("*").alias("n"))
+                         .where("n > 1").select("bucket"), "near-shared")
+    members = materialise(_buckets(every, bands, rows).join(shared.hint("merge"), "bucket", "left_semi"),
+                          "near-members")
     named = materialise(members.select("node").distinct(), "near-named")
-    n_nodes = named.count()
-    nodes = materialise(signed.join(_few(named, n_nodes), "node", "left_semi")
-                        .groupBy("node").agg(F.first("size").alias("size"), F.first("sig").alias("sig"),
-                                             F.min("id").alias("id")), "near-nodes")
-    sets = _node_sets(own, signed, nodes, n_nodes, shingle)
+    nodes = materialise(every.join(named.hint("merge"), "node", "left_semi"), "near-nodes")
+    sets = _node_sets(own, signed, nodes, shingle)
     stars = materialise(_confirm(_stars(members, nodes, least), sets, percent), "near-stars")
     roots = connected_components(stars)
     more = materialise(_confirm(_rest(members, nodes, sets, roots, least, bands, rows, percent, block),
