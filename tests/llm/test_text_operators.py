@@ -2,6 +2,7 @@
 import os
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -190,3 +191,34 @@ def test_every_known_text_matches_itself(spark):
     known = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(licences.KNOWN)], "doc_id long, text string")
     out = licences.scan(known).select(F.col("doc_id"), "whole").collect()
     assert {r["doc_id"]: r["whole"] for r in out} == {i: n for i, (n, _) in enumerate(licences.KNOWN)}
+
+
+PUBLISHED = "/usr/share/common-licenses"              # where the system keeps texts of licences
+
+
+def rewrapped(text, width):
+    """Each paragraph on lines of another width; those with a copyright line, which counts as a line, stay."""
+    parts = re.split(r"\n\s*\n", text)
+    return "\n\n".join(p if re.search("(?im)^\\s*copyright", p) else textwrap.fill(" ".join(p.split()), width) for p in parts)
+
+
+def test_licences_alone_rewrapped_and_inside_other_text(spark):
+    texts = list(licences.KNOWN)
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    if os.path.isdir(PUBLISHED):
+        for name, file in files.items():
+            with open(f"{PUBLISHED}/{file}", encoding="utf-8") as f:
+                texts.append((name, f.read()))
+    rows, want = [], {}
+    for name, text in texts:
+        for form in (text, rewrapped(text, 61), re.sub(r"\bLICENSE\b", "LICENCE", text.upper())):
+            for whole in (True, False):
+                i = len(rows)
+                body = form if whole else f"Our own words come first.\n\nSome more.\n\n{form}\n\nAnd then others."
+                rows.append((i, body))
+                want[i] = (name if whole else None, [name])
+    got = {r["doc_id"]: (r["whole"], r["licences"]) for r in licences.scan(frame(spark, rows)).collect()}
+    assert {i: w for i, (w, _) in got.items()} == {i: w for i, (w, _) in want.items()}
+    assert all(set(want[i][1]) <= set(found) for i, (_, found) in got.items())
+    cut = [(1, licences._MIT.rsplit("\n\n", 1)[0]), (2, licences._MIT.replace("free of charge", "for a fee")), (3, "x\n\n" * 2000)]
+    assert all(r["licences"] == [] for r in licences.scan(frame(spark, cut)).collect())

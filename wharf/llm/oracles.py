@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wharf.llm.licences import KNOWN, SPELLINGS
+from wharf.llm.licences import HOLDER, KNOWN, LONG, SPELLINGS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -158,30 +158,57 @@ def _same_spelling(padded: str) -> str:
 def _canonical(rows: str) -> str:
     """SQL for (id, lines) of the (id, text) rows: canonical lines without those of copyright holders."""
     one = _same_spelling("' ' || trim(x) || ' '")
-    holder = "^(copyright|c) ((c )?[0-9]|by |the |all rights)|^all rights reserved$"
     return f"""(SELECT id, list_transform(list_filter(string_split(regexp_replace(lower(coalesce(text, '')),
-               '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)), lambda x: NOT regexp_matches(trim(x), '{holder}')),
+               '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)), lambda x: NOT regexp_matches(trim(x), '{HOLDER}')),
                lambda x: trim({one})) AS lines FROM {rows})"""
 
 
 _KNOWN_ROWS = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in KNOWN)
+_LONG_ROWS = ", ".join(f"('{name}', '{whole}', '{first}', {n}, '{run}')" for name, whole, first, n, run in LONG)
+
+
+def _parted(text: str) -> str:
+    """SQL for a text with the spellings of several words made one."""
+    padded = f"' ' || {text} || ' '"
+    for other, usual in SPELLINGS.items():
+        if " " in other:
+            padded = f"replace({padded}, ' {other} ', ' {usual} ')"
+    return f"trim({padded})"
+
+
+_BLOCKS = f"""list_transform(list_filter(list_transform(
+    regexp_split_to_array(array_to_string(lines, chr(10)), '\n\n+'), lambda x: trim(replace(x, chr(10), ' '))),
+    lambda x: x <> ''), lambda x: md5({_parted("x")}))"""
+_WHOLE = _parted("trim(array_to_string(list_filter(lines, lambda x: x <> ''), ' '))")
 LICENCE_SCAN = f"""
-WITH known AS (
-  SELECT trim(array_to_string(list_filter(lines, lambda x: x <> ''), ' ')) AS canon, min(id) AS licence
-  FROM {_canonical(f"(SELECT * FROM (VALUES {_KNOWN_ROWS}) AS v(id, text))")} GROUP BY 1),
+WITH texts AS (
+  SELECT id AS licence, md5({_WHOLE}) AS digest, {_BLOCKS} AS blocks
+  FROM {_canonical(f"(SELECT * FROM (VALUES {_KNOWN_ROWS}) AS v(id, text))")}),
+long AS (SELECT * FROM (VALUES {_LONG_ROWS}) AS v(licence, digest, first_, n, run)),
+known AS (
+  SELECT digest, min(licence) AS licence
+  FROM (SELECT licence, digest FROM texts UNION ALL SELECT licence, digest FROM long) GROUP BY 1),
+runs AS (
+  SELECT first_, n, run, min(licence) AS licence FROM (
+    SELECT licence, blocks[1] AS first_, len(blocks) AS n, md5(array_to_string(blocks, '')) AS run FROM texts
+    UNION ALL SELECT licence, first_, n, run FROM long) WHERE n > 1 GROUP BY 1, 2, 3),
 d AS (SELECT id, lines FROM {_canonical("(SELECT doc_id AS id, text FROM documents)")}),
+b AS (SELECT id, {_BLOCKS} AS blocks FROM d),
 units AS (
-  SELECT id, 'whole' AS unit, trim(array_to_string(list_filter(lines, lambda x: x <> ''), ' ')) AS canon FROM d
-  UNION ALL
-  SELECT id, 'block', trim(replace(unnest(regexp_split_to_array(array_to_string(lines, chr(10)), '\n\n+')), chr(10), ' '))
-  FROM d
+  SELECT id, 'whole' AS unit, md5({_WHOLE}) AS digest FROM d WHERE {_WHOLE} <> ''
+  UNION ALL SELECT id, 'block', unnest(blocks) FROM b
+  UNION ALL SELECT id, 'line', unnest(list_transform(list_filter(lines, lambda x: x <> ''), lambda x: md5(x))) FROM d),
+found AS (
+  SELECT id, unit, licence FROM units JOIN known USING (digest)
   UNION ALL
-  SELECT id, 'line', unnest(lines) FROM d),
+  SELECT id, 'run', licence FROM (SELECT id, blocks, unnest(range(1, len(blocks) + 1)) AS pos FROM b)
+  JOIN runs ON blocks[pos] = first_ AND md5(array_to_string(blocks[pos:pos + n - 1], '')) = run),
 m AS (
   SELECT id, max(licence) FILTER (WHERE unit = 'whole') AS whole, list_sort(list(DISTINCT licence)) AS licences,
-         count(*) AS n FROM units JOIN known USING (canon) WHERE canon <> '' GROUP BY id),
-n AS (SELECT id, count(*) FILTER (WHERE canon <> '') AS n_units FROM units GROUP BY id)
-SELECT d.id AS doc_id, whole, coalesce(array_to_string(licences, ','), '') AS licences, coalesce(m.n, 0) AS n_matches, n_units
+         count(*) AS n FROM found GROUP BY id),
+n AS (SELECT id, count(*) AS n_units FROM units GROUP BY id)
+SELECT d.id AS doc_id, whole, coalesce(array_to_string(licences, ','), '') AS licences, coalesce(m.n, 0) AS n_matches,
+       coalesce(n_units, 0) AS n_units
 FROM d LEFT JOIN m USING (id) LEFT JOIN n USING (id)
 """
 
