@@ -222,3 +222,30 @@ def test_licences_alone_rewrapped_and_inside_other_text(spark):
     assert all(set(want[i][1]) <= set(found) for i, (_, found) in got.items())
     cut = [(1, licences._MIT.rsplit("\n\n", 1)[0]), (2, licences._MIT.replace("free of charge", "for a fee")), (3, "x\n\n" * 2000)]
     assert all(r["licences"] == [] for r in licences.scan(frame(spark, cut)).collect())
+
+
+def test_leaves_that_grow_are_cut_again():
+    spent = []
+
+    def count(text):
+        spent.append(len(text))
+        return len(re.findall(r"\S+", text))
+
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(1000)}" for _ in range(1000))
+    doc = token_counts.Leaves.build(text, count)
+    small = len(doc.leaves)
+    new = " ".join(f"n{rng.randrange(10**6)}" for _ in range(25_000))
+    for a, b, more in [(2000, 2003, f" {new} "), (90_000, 90_001, "x"), (0, 0, "a" * 3000 + " " + "b" * 3000), (5, 180_000, ""),
+                       (7, 7, " y" * 700)]:
+        spent.clear()
+        doc.edit([(a, b, more)], count)
+        used = sum(spent)
+        text = text[:a] + more + text[b:]
+        assert "".join(doc.leaves) == text and doc.total == len(re.findall(r"\S+", text))
+        assert used <= len(more) + 8 * token_counts.LEAF + 3000 * (a < 8)
+        assert all(len(x) < 2 * token_counts.LEAF + 20 or " " not in x[1:] for x in doc.leaves)
+        if b == 2003:
+            assert len(doc.leaves) > small + 100
+        if more == "x":
+            assert used < 4 * token_counts.LEAF

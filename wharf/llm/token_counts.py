@@ -7,7 +7,9 @@ text is the sum over its leaves. The counts are kept in a segment tree.
 
 An edit re-encodes the leaves it touches. Where it spoils a leaf's end (no white
 space after other text any more) the leaf is encoded together with its
-neighbour. Then only the sums above the changed leaves are updated.
+neighbour. Then only the sums above the changed leaves are updated. A leaf that
+has outgrown two leaves is cut anew, each part encoded alone, and the sums are
+added up again over the larger number of leaves.
 """
 
 from __future__ import annotations
@@ -63,11 +65,7 @@ class Leaves:
     @classmethod
     def build(cls, text: str, count: Callable[[str], int], leaf: int = LEAF) -> Leaves:
         leaves = cut(text, leaf)
-        n = len(leaves)
-        tree = [0] * n + [count(x) for x in leaves]
-        for i in range(n - 1, 0, -1):
-            tree[i] = tree[2 * i] + tree[2 * i + 1]
-        return cls(leaves, tree)
+        return cls(leaves, _sums([count(x) for x in leaves]))
 
     @property
     def total(self) -> int:
@@ -80,11 +78,11 @@ class Leaves:
             self.tree[i] += by
             i //= 2
 
-    def edit(self, edits: Sequence[tuple[int, int, str]], count: Callable[[str], int]) -> int:
+    def edit(self, edits: Sequence[tuple[int, int, str]], count: Callable[[str], int], leaf: int = LEAF) -> int:
         """Apply edits (start, end, text) of the present text, ascending and not
         overlapping; returns how many texts were encoded for it."""
         if not self.leaves and edits:
-            new = Leaves.build("".join(x for _, _, x in edits), count)
+            new = Leaves.build("".join(x for _, _, x in edits), count, leaf)
             self.leaves, self.tree = new.leaves, new.tree
             return len(new.leaves)
         starts = [0, *accumulate(len(x) for x in self.leaves)][:-1]
@@ -97,6 +95,7 @@ class Leaves:
                                     *[tail] * (j > i)]
             touched.update(range(i, j + 1))
         encoded = done = 0
+        grown: dict[int, list[str]] = {}
         for i in sorted(touched):
             if i < done:
                 continue
@@ -105,9 +104,21 @@ class Leaves:
                 a -= 1
             while b < len(self.leaves) and (b in touched or not self._sound(b)):
                 b += 1
-            encoded += self._encode(a, b, count)
+            encoded += self._encode(a, b, count, leaf, grown)
             done = b
-        return encoded
+        return encoded + self._grow(grown, count)
+
+    def _grow(self, grown: dict[int, list[str]], count: Callable[[str], int]) -> int:
+        """Put the parts of grown leaves in their place; returns how many."""
+        if not grown:
+            return 0
+        n, leaves, counts = len(self.leaves), [], []
+        for i, text in enumerate(self.leaves):
+            parts = grown.get(i, [text] if text else [])
+            leaves += parts
+            counts += map(count, parts) if i in grown else self.tree[n + i:n + i + len(parts)]
+        self.leaves, self.tree = leaves, _sums(counts)
+        return sum(map(len, grown.values()))
 
     def _sound(self, i: int) -> bool:
         """Whether leaf i begins with white space after other text: then it
@@ -117,19 +128,32 @@ class Leaves:
             k -= 1
         return bool(here) and here[0] in CUTS and (k < 0 or self.leaves[k][-1] not in WHITE)
 
-    def _encode(self, a: int, b: int, count: Callable[[str], int]) -> int:
-        """Encode leaves a to b - 1 anew, those with unsound ends together."""
+    def _encode(self, a: int, b: int, count: Callable[[str], int], leaf: int, grown: dict[int, list[str]]) -> int:
+        """Encode leaves a to b - 1 anew, those with unsound ends together; parts
+        of those that have outgrown two leaves are left to ``_grow``."""
         first, encoded = a, 0
         for i in range(a + 1, b + 1):
             if i == b or self._sound(i):
                 text = "".join(self.leaves[first:i])
                 self.leaves[first:i] = [text] + [""] * (i - first - 1)
-                for j, value in enumerate([count(text), *[0] * (i - first - 1)], first):
+                parts = cut(text, leaf) if len(text) > 2 * leaf else [text]
+                if len(parts) > 1:
+                    grown[first] = parts
+                for j, value in enumerate([count(text) if len(parts) == 1 else 0, *[0] * (i - first - 1)], first):
                     self._set(j, value)
-                first, encoded = i, encoded + 1
+                first, encoded = i, encoded + (len(parts) == 1)
         return encoded
 
 
+def _sums(counts: list[int]) -> list[int]:
+    """The tree over the leaves' counts."""
+    n = len(counts)
+    tree = [0] * n + counts
+    for i in range(n - 1, 0, -1):
+        tree[i] = tree[2 * i] + tree[2 * i + 1]
+    return tree
+
+
 def cut(text: str, leaf: int = LEAF) -> list[str]:
     """Leaves: cut where white space begins, once a leaf has ``leaf`` characters."""
     out, start, n = [], 0, len(text)
@@ -170,7 +194,7 @@ def _load(text: str | None, ends: list[int], tree: list[int]) -> Leaves:
 
 
 def apply_edits(trees: DataFrame, vocabulary: str = VOCABULARY, edits: str | None = "edits",
-                pattern: str | None = None, replacement: str = "") -> DataFrame:
+                pattern: str | None = None, replacement: str = "", leaf: int = LEAF) -> DataFrame:
     """State after the edits, as ``build_trees`` returns it, with n_tokens_before,
     n_edits, n_leaves and n_encoded (texts encoded for the edits).
 
@@ -196,7 +220,7 @@ def apply_edits(trees: DataFrame, vocabulary: str = VOCABULARY, edits: str | Non
                                              todo, strict=True):
                 doc = _load(text, ends, tree)
                 before = doc.total
-                encoded = doc.edit(own, count)
+                encoded = doc.edit(own, count, leaf)
                 out.append((text if text is None and not own else "".join(doc.leaves),
                             [*accumulate(map(len, doc.leaves))], doc.tree, doc.total, before, len(own),
                             len(doc.leaves), encoded))
