@@ -3,7 +3,7 @@ import json
 import random
 from collections import defaultdict
 
-from wharf.llm import tool_calls
+from wharf.llm import common, tool_calls
 
 TOOLS = {"search": {"query": ("string", True), "limit": ("integer", False)},
          "add": {"a": ("number", True), "more": ("array", False), "o": ("object", False), "f": ("boolean", False)}}
@@ -66,6 +66,42 @@ def test_order_follows_dependencies(spark):
     assert {c for c, r in out.items() if r["status"] == "cycle"} == {"x", "y", "z", "self"}
 
 
+def test_long_chains_in_few_rounds(spark):
+    """A chain of 1,000 calls, a star of 300 on its last one, calls that depend on two links of it, a long cycle with
+    calls behind it: the levels of a walk over the calls, in rounds that grow with the logarithm of the chain."""
+    deps = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(1000)}
+    deps |= {f"s{i}": ["c999"] for i in range(300)}
+    deps |= {"two": ["c17", "c640"], "three": ["two", "c641", "s4"], "after": ["three"], "both": ["after", "c5"]}
+    deps |= {f"o{i}": [f"o{(i + 1) % 50}"] for i in range(50)} | {"behind": ["o3"], "partly": ["c3", "behind", "o7"]}
+    paths = []
+    with common.collected(paths):
+        calls = spark.createDataFrame([(c, d) for c, d in deps.items()], "call_id string, depends_on array<string>")
+        got = {r["call_id"]: r["level"] for r in tool_calls._levels(calls).collect()}
+    names = [p.rsplit("/", 1)[1] for p in paths]
+    want = {}
+    for c in [f"c{i}" for i in range(1000)] + [f"s{i}" for i in range(300)] + ["two", "three", "after", "both"]:
+        want[c] = max((want[d] + 1 for d in deps[c]), default=0)
+    assert got == want
+    assert sum(n.startswith("calls-links-1-") for n in names) <= 12 and len(names) <= 40
+
+
+def test_levels_against_a_walk(spark):
+    """Random graphs, a few of them with cycles, against settling calls one by one."""
+    rng = random.Random(4)
+    for density in (1, 2, 4):
+        deps = {i: [rng.randrange(i) for _ in range(rng.randint(0, density))] if i else [] for i in range(120)}
+        for i in rng.sample(range(100), 2):
+            deps[i].append(rng.randrange(i, 120))
+        want, last = {}, -1
+        while len(want) != last:
+            last = len(want)
+            want |= {c: max((want[d] + 1 for d in own), default=0) for c, own in deps.items()
+                     if c not in want and all(d in want for d in own)}
+        calls = spark.createDataFrame([(str(c), [str(d) for d in own]) for c, own in deps.items()],
+                                      "call_id string, depends_on array<string>")
+        assert {int(r["call_id"]): r["level"] for r in tool_calls._levels(calls).collect()} == want
+
+
 def test_edges(spark):
     calls = [(1, 0, "a", "add", '{"a":1}', None), (1, 5, "a", "add", '{"a":2}', None), (1, 0, None, "add", '{"a":3}', None),
              (None, None, "n", "add", '{"a":4}', ["a"]), (None, None, None, None, None, None)]

@@ -5,10 +5,13 @@ every call follows those it depends on, arguments validated against the tools'
 schemas, and each linked call serialised as canonical JSON (keys sorted at every
 depth, no white space: what Spark's variant type keeps and prints).
 
-The order is found level by level: each round settles the calls all of whose
-dependencies are settled, for all conversations at once, and takes only what is
-left to the next; there are as many rounds as the longest chain has calls. Calls
-on a cycle, or behind one, are never settled.
+A call's level is one more than the highest level it depends on. Calls with a
+single open dependency form chains, which are contracted by pointer doubling, a
+logarithm of their length in rounds, for all conversations at once; calls with
+several are rewired past the chains and settled or become part of a chain in the
+next turn of the same loop. So a conversation of single dependencies takes one
+turn, whatever its length; only calls that stay behind several open ones turn
+after turn cost a turn each. Calls on a cycle, or behind one, get no level.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from wharf.llm.common import materialise
 Schema = Mapping[str, tuple[str, bool]]
 _KINDS = {"string": r"^STRING$", "integer": r"^BIGINT$", "boolean": r"^BOOLEAN$",
           "number": r"^(?:BIGINT|DOUBLE|DECIMAL.*)$", "array": r"^ARRAY", "object": r"^OBJECT"}
+TABLES = 32                            # of earlier turns, before they are written as one
 TURNS = 256                            # calls are numbered in stretches of so many turns
 
 
@@ -48,26 +52,85 @@ def problems(arguments: Column, parsed: Column, tool: Column, tools: Mapping[str
     return out
 
 
+def _doubled(links: DataFrame, turn: int) -> DataFrame:
+    """Links (call_id, on, base, step) that lead past all further links: ``on`` is
+    then no link itself. A call's level is ``max(base, step + level of on)``, and
+    such functions compose. Links that end in a cycle are left out."""
+    heads = links.select(F.col("call_id").alias("on"), F.lit(False).alias("done"))
+    links = materialise(links.join(heads, "on", "left").select(
+        "call_id", "on", "base", "step", F.coalesce("done", F.lit(True)).alias("done")), f"calls-links-{turn}-0")
+    left, doubling = links.where("not done").count(), 0
+    while left:
+        doubling += 1
+        next_ = links.select(F.col("call_id").alias("via"), F.col("on").alias("end"), F.col("base").alias("b"),
+                             F.col("step").alias("s"), F.col("done").alias("ended"))
+        moved = (links.where("not done").join(next_, F.col("on") == F.col("via"))
+                 .select("call_id", F.col("end").alias("on"),
+                         F.greatest("base", F.col("step") + F.col("b")).alias("base"),
+                         (F.col("step") + F.col("s")).alias("step"), F.col("ended").alias("done")))
+        links = materialise(links.where("done").unionByName(moved), f"calls-links-{turn}-{doubling}")
+        before, left = left, links.where("not done").count()
+        if left == before:             # chains twice as long as any that ended: cycles
+            break
+    return links.where("done").drop("done")
+
+
 def _levels(calls: DataFrame) -> DataFrame:
     """(call_id, level): 0 for calls that depend on no known call, else one more
     than the highest level they depend on; no row for calls on or behind a cycle."""
     known = calls.select("call_id").distinct()
     edges = materialise(
         calls.select("call_id", F.explode("depends_on").alias("on")).where("on is not null").distinct()
-        .join(known.withColumnRenamed("call_id", "on"), "on", "left_semi"), "calls-edges")
-    done = materialise(known.join(edges, "call_id", "left_anti").withColumn("level", F.lit(0)), "calls-level-0")
-    levels, level = [done], 0
-    while not edges.isEmpty() and not done.isEmpty():
-        level += 1
-        # a settled call's edges are dropped; a call that has lost its last one is settled next
-        rest = materialise(edges.join(done.select(F.col("call_id").alias("on")), "on", "left_anti"),
-                           f"calls-left-{level}")
-        done = materialise(edges.select("call_id").distinct().join(rest, "call_id", "left_anti")
-                           .withColumn("level", F.lit(level)), f"calls-level-{level}")
-        levels.append(done)
-        edges = rest
-    out = levels[0]
-    for more in levels[1:]:
+        .join(known.withColumnRenamed("call_id", "on"), "on", "left_semi")
+        .withColumn("step", F.lit(1).cast("long")), "calls-edges")
+    # open calls: base is the level that their settled dependencies ask for, degree the open ones
+    open_ = materialise(known.withColumn("base", F.lit(0).cast("long")).join(
+        edges.groupBy("call_id").agg(F.count("*").alias("degree"), F.min("on").alias("on"),
+                                     F.min("step").alias("step")), "call_id", "left"), "calls-open")
+    settled, chained, turn = [], [], 0
+    while True:
+        turn += 1
+        free = open_.where("degree is null").select("call_id", F.col("base").alias("level"))
+        links = _doubled(open_.where("degree = 1").select("call_id", "on", "base", "step"), turn)
+        settled.append(free)
+        chained.append(links)
+        if len(settled) == TABLES:     # so that no plan reads more tables than these
+            settled = [materialise(_union(settled), "calls-settled")]
+            chained = [materialise(_union(chained), "calls-chained")]
+        joins = open_.where("degree > 1").select("call_id", "base")
+        if joins.isEmpty() or (free.isEmpty() and links.isEmpty()):
+            break
+        past = links.select(F.col("call_id").alias("on"), F.col("on").alias("end"), F.col("base").alias("b"),
+                            F.col("step").alias("s"))
+        ends = free.select(F.col("call_id").alias("end"), "level")
+        rewired = (edges.join(joins.select("call_id"), "call_id", "left_semi").join(past, "on", "left")
+                   .select("call_id", F.coalesce("end", "on").alias("end"),
+                           (F.col("step") + F.col("b")).alias("asked"),
+                           (F.col("step") + F.coalesce("s", F.lit(0))).alias("step"))
+                   .join(ends, "end", "left")
+                   .groupBy("call_id", "end").agg(F.max("asked").alias("asked"), F.max("step").alias("step"),
+                                                  F.max("level").alias("level")))
+        rewired = materialise(rewired.withColumn("asked", F.greatest("asked", F.col("step") + F.col("level"))),
+                              f"calls-rewired-{turn}")
+        edges = rewired.where("level is null").select("call_id", F.col("end").alias("on"), "step")
+        waits = F.col("level").isNull()
+        per_call = rewired.groupBy("call_id").agg(
+            F.max("asked").alias("asked"), F.nullif(F.count_if(waits), F.lit(0)).alias("degree"),
+            F.min(F.when(waits, F.col("end"))).alias("on"), F.min(F.when(waits, F.col("step"))).alias("step"))
+        open_ = materialise(joins.join(per_call, "call_id").select(
+            "call_id", F.greatest("base", F.coalesce("asked", F.lit(0))).alias("base"), "degree", "on", "step"),
+            f"calls-open-{turn}")
+    # each call was settled or became a link once, so the links of all turns are chains that end in a settled call
+    free = _union(settled)
+    ends = free.select(F.col("call_id").alias("on"), "level")
+    out = free.unionByName(_doubled(_union(chained), 0).join(ends, "on").select(
+        "call_id", F.greatest("base", F.col("step") + F.col("level")).alias("level")))
+    return out.select("call_id", F.col("level").cast("int").alias("level"))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
         out = out.unionByName(more)
     return out
 
