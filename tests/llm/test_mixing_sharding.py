@@ -36,6 +36,20 @@ def filled(sizes, weights, share=1.5, cap=2.0):
             return {s: cap * sizes[s] for s in full}
 
 
+def test_targets_of_many_sources(spark):
+    """Thousands of sources, ties of cap to weight and empty ones among them, over many ranges; no window without a
+    partition."""
+    rng = random.Random(8)
+    sizes = {f"s{i:05}": rng.choice([0, 1, 7, 7, 50, rng.randint(1, 10 ** 6)]) for i in range(3000)} | {None: 400}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long").withColumn("n_docs", F.lit(1))
+    out = mixing.targets(rows.repartition(7))
+    assert "windowspecdefinition(source" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["source"]: r["target"] for r in out.collect()}
+    want = filled(sizes, mixing.WEIGHTS)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(t, abs=1e-6) for s, t in want.items())
+    assert mixing.targets(rows.where("false")).count() == 0
+
+
 def test_targets_and_takes(spark):
     rng = random.Random(3)
     rows = [(i, " ".join("w" * rng.randint(0, 40)), rng.choice(["b", "a", "a", "a", "é", "Z", None]))

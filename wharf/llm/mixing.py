@@ -19,7 +19,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wharf.llm.common import materialise, pack, unpack
+from wharf.llm.common import PART_BITS, materialise, pack, unpack
 
 WEIGHTS = (5, 2, 1)                    # mean weights, repeating over the sources in order
 #: Weight over time relative to its mean, as (time, height) knots for each of WEIGHTS:
@@ -66,21 +66,37 @@ def targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP) -> DataFr
     row each): shares by weight, none above ``cap`` times its source, the excess
     reshared by weight. In order of cap to weight the capped sources come first;
     the level that fits is the highest of those that each prefix leaves."""
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
     kinds = F.array(*[F.lit(float(w)) for w in weights])
-    s = (sources.withColumn("kind", ((F.row_number().over(by_name) - 1) % len(weights)).cast("int"))
+    s = (_running(sources.withColumn("rows", F.lit(1)), ["source is null", "source"], ["rows"], "mixing-names")
+         .withColumn("kind", (F.col("rows_before") % len(weights)).cast("int"))
          .withColumn("weight", F.element_at(kinds, F.col("kind") + 1))
-         .withColumn("most", F.col("source_size") * F.lit(float(cap))))
-    order = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    level = ((F.sum("source_size").over(everything) * F.lit(float(share))
-              - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
-             / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
-    return (s.withColumn("level", level)
-            .withColumn("level", F.max("level").over(everything))
-            .withColumn("target", F.least("most", F.col("level") * F.col("weight")))
-            .select("source", "source_size", "n_docs", "kind", "target"))
+         .withColumn("most", F.col("source_size") * F.lit(float(cap)))
+         .select("source", "source_size", "n_docs", "kind", "weight", "most"))
+    s = _running(s, ["most / weight", "source is null", "source"], ["most", "weight", "source_size"], "mixing-caps")
+    level = ((F.col("source_size_all") * F.lit(float(share)) - F.col("most_before"))
+             / (F.col("weight_all") - F.col("weight_before")))
+    fits = s.agg(F.max(level)).first()[0]                  # one number, null without sources
+    return s.select("source", "source_size", "n_docs", "kind",
+                    F.least("most", F.lit(fits).cast("double") * F.col("weight")).alias("target"))
+
+
+def _running(rows: DataFrame, order: Sequence[str], cols: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with ``<c>_before`` (sum over the rows before in ``order``) and ``<c>_all`` (over all rows) for
+    each of ``cols``. One range sort; each range adds up its own rows and gets the sums of the ranges before, so
+    no task sees more than a range, or one number a range."""
+    ordered = materialise(rows.repartitionByRange(*map(F.expr, order)).sortWithinPartitions(*map(F.expr, order))
+                          .withColumn("place", F.monotonically_increasing_id()), name)
+    ordered = ordered.withColumn("part", F.shiftright("place", PART_BITS))
+    parts = ordered.groupBy("part").agg(*[F.sum(c).alias(f"{c}_part") for c in cols]).withColumn("every", F.lit(0))
+    own = Window.partitionBy("every")
+    before = own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", *[F.sum(f"{c}_part").over(own).alias(f"{c}_all") for c in cols],
+                         *[F.sum(f"{c}_part").over(before).alias(f"{c}_ahead") for c in cols])
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    return (ordered.join(parts, "part")
+            .withColumns({f"{c}_before": F.coalesce(f"{c}_ahead", F.lit(0)) + F.coalesce(F.sum(c).over(inside), F.lit(0))
+                          for c in cols})
+            .drop("part", "place", *[f"{c}_ahead" for c in cols]))
 
 
 def seeded_order(key: Column, seed: int = SEED) -> Column:
