@@ -221,3 +221,9 @@ def test_profile_of_empty_table_and_nulls(spark):
 def test_profile_does_not_expand(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     assert "Expand" not in agg.profile(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_money_sum_rounds_the_total_alone(spark):
+    rows = [("a", 0.0000004)] * 1000 + [("a", 0.1)] * 3 + [("a", None), ("b", None), ("c", -2.5), ("c", 12345678.9)]
+    out = spark.createDataFrame(rows, "k string, x double").groupBy("k").agg(agg.money_sum("x", "s"))
+    assert {r["k"]: r["s"] for r in out.collect()} == {"a": 0.3004, "b": None, "c": 12345676.4}

@@ -17,10 +17,10 @@ from wharf.functions.columns import NULL_TEXT, lit_date, null_safe_text, ratio
 
 
 def money_sum(c, name: str | None = None) -> Column:
-    """Money sum in millionths of a unit: the same in any order and engine, no
-    row rounded to cents; returned as double units."""
+    """Money sum over decimals of ten places, the same in any order; only the
+    total is rounded, to millionths of a unit, and returned as double units."""
     col = F.col(c) if isinstance(c, str) else c
-    out = F.sum(F.floor(col * 1e6 + 0.5).cast("decimal(28,0)")).cast("double") / 1e6
+    out = F.round(F.sum(col.cast("decimal(38,10)")), 6).cast("double")
     return out.alias(name) if name else out
 
 

@@ -65,10 +65,10 @@ def q_acceptance_monthly(spark, sf_dir):
 @query("declined_by_country", covers=("A17", "P11"), sql=_with_fact("""
 SELECT country_code,
        CAST(count(*) AS BIGINT) AS declined_transaction_count,
-       CAST(sum(CAST(floor(amount_usd * 1e6 + 0.5) AS DECIMAL(28, 0))) AS DOUBLE) / 1e6 AS declined_amount_usd,
+       CAST(round(sum(CAST(amount_usd AS DECIMAL(38, 10))), 6) AS DOUBLE) AS declined_amount_usd,
        max(dw_modified_at) AS dw_modified_at
 FROM fact WHERE is_declined GROUP BY country_code
-HAVING sum(CAST(amount_usd AS DECIMAL(38, 10))) > 25000000
+HAVING round(sum(CAST(amount_usd AS DECIMAL(38, 10))), 6) > 25000000
 """))
 def q_declined_by_country(spark, sf_dir):
     return pay.declined_by_country(payment_fact(spark, sf_dir))
