@@ -106,6 +106,25 @@ def test_the_bucket_count_belongs_to_the_table(spark, table):
     assert grown.buckets == 16 and dict(rows(grown))["0"] == 9
 
 
+def test_a_new_table_is_dealt_out_once(spark, table, no_broadcast, monkeypatch):
+    t, plans, stage = table(buckets=8), [], CatalogTable._stage
+    monkeypatch.setattr(CatalogTable, "_stage", lambda self, df, n: plans.append(shuffles(df)) or stage(self, df, n))
+    put(t, keyed(spark, 200))
+    assert plans == [1] and t.buckets == 8 and len(t.read().inputFiles()) == 8 and len(rows(t)) == 200
+
+
+def test_payment_buckets_grow_with_the_rows(spark, tmp_dir):
+    """Well-compressed rows: a few MB of file, but too many rows for the sorts of one bucket's task."""
+    for name, n in (("orders", 5 << 18), ("lineitem", 0)):
+        spark.range(n).write.parquet(f"{tmp_dir}/{name}.parquet")
+    assert {t.buckets for t in loads.payment_tables(spark, tmp_dir)} == {8}
+    spark.range(17 << 18).write.mode("overwrite").parquet(f"{tmp_dir}/orders.parquet")
+    assert {t.buckets for t in loads.payment_tables(spark, tmp_dir)} == {32}
+    spark.range(40 << 18).coalesce(4).write.mode("overwrite").parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.range(9).write.mode("overwrite").parquet(f"{tmp_dir}/orders.parquet")
+    assert {t.buckets for t in loads.payment_tables(spark, tmp_dir)} == {16}
+
+
 def test_replace_reads_what_it_replaces_and_keeps_one_version(spark, table, tmp_dir):
     t = table(key=None)
     t.replace(spark.range(5).toDF("x"))

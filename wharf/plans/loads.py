@@ -23,7 +23,7 @@ from wharf.operators.incremental import changed_ids, extract_since, insert_new,
 from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
-from wharf.session import bucket_count, read_table, table_path, work_dir
+from wharf.session import merge_buckets, read_table, table_path, work_dir
 from wharf.sources.catalog import CatalogTable, open_database
 from wharf.sources.tables import append, ensure_table, path_bytes, replace_window_partitions
 
@@ -212,14 +212,17 @@ def order_snapshots(spark, sf_dir):
 
 
 PAYMENT_TABLES = ("acceptance", "chargeback", "fact")
+LINES_PER_ROW = 4           # a chargeback, of one or more line items, is narrower than an acceptance row by this much
 
 
 def payment_tables(spark, sf_dir, buckets: int | None = None) -> tuple[CatalogTable, ...]:
-    """Staging and fact as catalog tables, all in the same buckets of ``transaction_id`` (by the size of the seeds'
+    """Staging and fact as catalog tables, all in the same buckets of ``transaction_id`` (by the rows of the seeds'
     source unless given; a table that exists keeps its own count until it is rebucketed)."""
     root = work_dir(spark, "payments")
     db = open_database(spark, f"wharf_{root.rsplit('-', 1)[1]}", root)
-    buckets = buckets or bucket_count(path_bytes(spark, table_path(sf_dir, "orders")))
+    if not buckets:
+        rows, lines = (read_table(spark, sf_dir, n).count() for n in ("orders", "lineitem"))       # from the footers
+        buckets = merge_buckets(max(rows, lines // LINES_PER_ROW), path_bytes(spark, table_path(sf_dir, "orders")))
     return tuple(CatalogTable(spark, f"{db}.{n}", f"{root}/{n}", "transaction_id", buckets) for n in PAYMENT_TABLES)
 
 

@@ -124,12 +124,13 @@ class CatalogTable:
             run(f"DROP TABLE {self.name}__old")
         self.spark.catalog.refreshTable(self.name)
 
-    def replace(self, df: DataFrame, buckets: int | None = None) -> DataFrame:
-        """Make ``df``, which may read the table itself, the table's whole content; returns it."""
+    def replace(self, df: DataFrame, buckets: int | None = None, dealt: bool = False) -> DataFrame:
+        """Make ``df``, which may read the table itself, the table's whole content; returns it. The rows of a new
+        table are dealt out to its buckets, unless they come ``dealt`` by ``keyed``."""
         before = self._described()["Location"] if self.exists() else None
         now = self.buckets if self.key else None
         n = min(buckets or now, MOST_BUCKETS) if self.key else None
-        if self.key and (before is None or n != now):
+        if self.key and (n != now or before is None and not dealt):
             df = df.repartition(n, F.col(self.key))
         same = before is not None and n == now and df.schema.simpleString() == self.read().schema.simpleString()
         version = self._stage(df, n)
@@ -170,14 +171,15 @@ class CatalogTable:
         """``merge_fn(batch, current rows or None)`` returns the new content. The batch is shuffled to the table's
         buckets unless it comes ``dealt`` like them. ``track_max`` names a change stamp that never decreases; its
         maximum over the written rows becomes the table's watermark."""
-        if not dealt:
+        keyed = not dealt
+        if keyed:
             batch = self.keyed(batch, unique)
         merged, seen = merge_fn(batch, self.read()), None
         if track_max:
             seen = Observation(f"max_{track_max}")
             merged = merged.observe(seen, F.max(track_max).alias("m"))
         try:
-            out = self.replace(merged)
+            out = self.replace(merged, dealt=keyed)
         except Exception as e:  # noqa: BLE001 - translate the in-task key checks
             text = str(e)
             if DUPLICATE_KEY_MSG in text:
