@@ -4,6 +4,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from wharf.plans import ingest
 from wharf.sources.catalog import CatalogTable, open_database
 from wharf.streaming.ingest import ingest_event_files, merge_event_files, read_ingested, reconcile_loads
 
@@ -98,3 +99,26 @@ def test_batch_that_fails_is_merged_by_the_next_run(spark, tmp_dir, monkeypatch)
     monkeypatch.undo()
     m.run()
     assert m.rows() == [(1, "a", "1")] and m.loads() == [(0, 2, 1, 1, True)]
+
+
+def some_events(spark, path):
+    """Events of both nights, and such whose raw line has no readable time."""
+    spark.sql("""SELECT id AS event_id, ts, id % 12 AS user_id, 'view' AS event_type, 1.5D * id AS value,
+                        concat('{"k": ', k, '}') AS props
+                 FROM range(40) LATERAL VIEW explode(array('1', '0', '98', '99', 'null')) AS k LATERAL VIEW explode(array(
+                   TIMESTAMP_NTZ '2024-01-15 23:59:59.9', TIMESTAMP_NTZ '2024-01-16 00:00:00', NULL)) AS ts
+              """).write.parquet(f"{path}/events.parquet")
+
+
+def test_raw_lines_are_made_of_one_night_and_read_k_once(spark, tmp_dir, monkeypatch):
+    some_events(spark, tmp_dir)
+    make, given = ingest.raw_event_lines, []
+    monkeypatch.setattr(ingest, "raw_event_lines",
+                        lambda s, d, events=None: given.append(events) or make(s, d, events))
+    written = F.regexp_extract("value", r"'event_timestamp': '(\d{4}-\d{2}-\d{2})", 1)
+    rows = ingest.q_nightly_event_ingest(spark, tmp_dir).count()
+    nights = [make(spark, tmp_dir, e).select((written < "2024-01-16").alias("first")) for e in given]
+    assert [[r["first"] for r in n.distinct().collect()] for n in nights] == [[True], [False]]
+    assert sum(n.count() for n in nights) == 600 and rows == 360
+    plan = make(spark, tmp_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1

@@ -40,6 +40,16 @@ def _q(c: F.Column) -> F.Column:
     return F.concat(F.lit("'"), c, F.lit("'"))
 
 
+def _event_k() -> F.Column:
+    return F.get_json_object("props", "$.k").try_cast("int")
+
+
+def _written_day() -> F.Column:
+    """The day in an event's raw line (see ``raw_event_lines``), empty where it has none to read."""
+    day = F.regexp_extract(F.date_format("ts", "yyyy-MM-dd"), r"^\d{4}-\d{2}-\d{2}$", 0)
+    return F.when(_event_k().isin(0, 98), F.lit("")).otherwise(F.coalesce(day, F.lit("")))
+
+
 def raw_event_lines(spark, sf_dir, events: DataFrame | None = None) -> DataFrame:
     """One almost-JSON line per event, as a game client would log it:
     single quotes, True/False/NULL words, ``'user_id': ,`` for a missing
@@ -47,11 +57,12 @@ def raw_event_lines(spark, sf_dir, events: DataFrame | None = None) -> DataFrame
     look like structure (True, NULL, a colon before a comma), escaped quotes,
     bytes that are no UTF-8, an unreadable time for k = 0, a line without a record for
     k = 98 and a broken one for k = 99."""
-    e = spread(read_table(spark, sf_dir, "events") if events is None else events)
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    # k is a column of its own, read once a row: a dozen copies of its JSON path make a method too long to be compiled
+    e = spread(read_table(spark, sf_dir, "events") if events is None else events).withColumn("_k", _event_k())
+    k = F.col("_k")
     uid = F.col("user_id")
     vtext = F.col("value").cast("string")
-    amount = F.when(F.pmod(k, F.lit(2)) == 1, _q(F.regexp_replace(vtext, r"\.", ","))).otherwise(vtext)
+    amount = F.when(F.pmod(k, F.lit(2)) == 1, _q(F.replace(vtext, F.lit("."), F.lit(",")))).otherwise(vtext)
     name = F.when(F.pmod(uid, F.lit(10)) == 3, F.concat(F.lit("O'p"), uid.cast("string"))) \
         .otherwise(F.concat(F.lit("p"), uid.cast("string")))
     name_txt = F.when(k == 99, F.concat(F.lit("'"), name)).otherwise(_q(name))
@@ -176,11 +187,9 @@ def q_nightly_event_ingest(spark, sf_dir):
     streaming query; the second run reads only the second night's files."""
     root = work_dir(spark, "nightly")
     src, tgt, bad, ckpt = (f"{root}/{n}" for n in ("incoming", "events", "problems", "_checkpoint"))
-    lines = raw_event_lines(spark, sf_dir).withColumn(
-        "_night", F.regexp_extract("value", r"'event_timestamp': '(\d{4}-\d{2}-\d{2})", 1))
-    cut = "2024-01-16"
-    for night in (lines.where(F.col("_night") < cut), lines.where(~(F.col("_night") < cut))):
-        night.select("value").write.mode("append").text(src)
+    e, first = read_table(spark, sf_dir, "events"), _written_day() < "2024-01-16"
+    for night in (e.where(first), e.where(~first)):
+        raw_event_lines(spark, sf_dir, night).write.mode("append").text(src)
         ingest_event_files(spark, src, tgt, bad, ckpt, EVENT_FIELDS, EVENT_TYPES, EVENT_MONEY,
                            "event_id")
     return read_ingested(spark, tgt).drop("batch_id")
