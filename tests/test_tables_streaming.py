@@ -122,3 +122,24 @@ def test_raw_lines_are_made_of_one_night_and_read_k_once(spark, tmp_dir, monkeyp
     assert sum(n.count() for n in nights) == 600 and rows == 360
     plan = make(spark, tmp_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("get_json_object") == 1
+
+
+def test_a_night_delivered_again_is_a_copy_of_its_file(spark, tmp_dir, monkeypatch):
+    some_events(spark, tmp_dir)
+    one = spark.range(3).select(F.concat(F.lit("{'event_id': "), "id", F.lit(", 'note': '"), F.uuid(), F.lit("'},"))
+                                .alias("value"))                                        # made anew, it would be another
+    monkeypatch.setattr(ingest, "event_deliveries", lambda *a: [{"a": one}, {"a": one}])
+    monkeypatch.setattr(ingest, "work_dir", lambda *a: f"{tmp_dir}/merge-{uuid.uuid4().hex[:12]}")
+    _, landing = ingest.merged_events(spark, tmp_dir)
+    first, again = ([r["value"] for r in spark.read.text(f"{landing}/../incoming/delivery-{n}/night=a").orderBy("value").collect()]
+                    for n in (0, 1))
+    assert first == again and len(first) == 3
+    assert [tuple(r)[1:] for r in reconcile_loads(spark, landing).collect()] == [(3, 3, 0, True)] * 2
+
+
+def test_event_buckets_grow_with_the_rows(spark, tmp_dir, monkeypatch):
+    some_events(spark, tmp_dir)
+    monkeypatch.setattr(ingest, "event_deliveries", lambda *a: [])
+    assert ingest.merged_events(spark, tmp_dir)[0].buckets == 8
+    spark.range(9 << 18).write.mode("overwrite").parquet(f"{tmp_dir}/events.parquet")
+    assert ingest.merged_events(spark, tmp_dir)[0].buckets == 16

@@ -17,7 +17,7 @@ from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
 from wharf.plans.reports import users_transactions
-from wharf.session import bucket_count, read_table, spread, table_path, work_dir
+from wharf.session import merge_buckets, read_table, spread, table_path, work_dir
 from wharf.sources import documents as docs
 from wharf.sources import events as evsrc
 from wharf.sources.catalog import CatalogTable, open_database
@@ -213,12 +213,15 @@ def merged_events(spark, sf_dir) -> tuple[CatalogTable, str]:
     """All deliveries loaded, each by a run of its own: the merged table and the landing folder."""
     root = work_dir(spark, "merge")
     db = open_database(spark, f"wharf_{root.rsplit('-', 1)[1]}", f"{root}/db")
-    table = CatalogTable(spark, f"{db}.events", f"{root}/db/events", "event_id",
-                         bucket_count(path_bytes(spark, table_path(sf_dir, "events"))))
+    table = CatalogTable(spark, f"{db}.events", f"{root}/db/events", "event_id", merge_buckets(
+        read_table(spark, sf_dir, "events").count(), path_bytes(spark, table_path(sf_dir, "events"))))
     night = F.regexp_extract("_metadata.file_path", "/night=([^/]+)/", 1)
+    files = {}                                     # a night delivered again is a copy of its file, not made anew
     for n, nights in enumerate(event_deliveries(spark, sf_dir)):
         for name, lines in nights.items():
-            lines.write.text(f"{root}/incoming/delivery-{n}/night={name}")
+            path = f"{root}/incoming/delivery-{n}/night={name}"
+            (spark.read.text(files[id(lines)]) if id(lines) in files else lines).write.text(path)
+            files.setdefault(id(lines), path)
         merge_event_files(spark, f"{root}/incoming", table, f"{root}/landing", f"{root}/_checkpoint",
                           EVENT_FIELDS, EVENT_TYPES, EVENT_MONEY, night)
     return table, f"{root}/landing"

@@ -86,9 +86,8 @@ def merge_event_files(spark: SparkSession, source_dir: str, table: CatalogTable,
         parsed = ev.parse_events(raw, fields, keep=[version_col]).persist(StorageLevel.DISK_ONLY)
         loaded, kept = Observation("loaded"), F.col(table.key).isNotNull()
         typed = ev.type_events(parsed, types, money).where(kept).observe(loaded, F.count(F.lit(1)).alias("n"))
-        dealt = table.keyed(typed, unique=False)
-        table.merge(latest_version(dealt, table.key, version_col),
-                    lambda src, cur: merge_versions(src, cur, table.key, version_col), dealt=True)
+        table.merge(typed, lambda src, cur: merge_versions(
+            latest_version(src, table.key, version_col), cur, table.key, version_col), unique=False)
         quarantined(parsed, types, table.key, version_col).write.mode("overwrite").parquet(at("quarantine"))
         parsed.unpersist()
         (spark.range(1).select(F.lit(loaded.get["n"]).cast("bigint").alias("loaded_rows"))
