@@ -125,6 +125,40 @@ def test_payment_buckets_grow_with_the_rows(spark, tmp_dir):
     assert {t.buckets for t in loads.payment_tables(spark, tmp_dir)} == {16}
 
 
+def test_seeds_are_read_and_shuffled_in_as_many_tasks_as_buckets(spark, tmp_dir, monkeypatch):
+    """Else a scan task of 6 GB holds millions of wide rows, as a shuffle to over 200 buckets keeps them in memory."""
+    for name, sql in (
+            ("orders", """SELECT id AS o_orderkey, id % 7 AS o_custkey, 'F' AS o_orderstatus, 1.5D * id AS o_totalprice,
+                                 TIMESTAMP_NTZ '2024-01-05 00:00:00' AS o_orderdate, '2-HIGH' AS o_orderpriority
+                          FROM range(3000)"""),
+            ("lineitem", "SELECT id % 2000 AS l_orderkey, 'R' AS l_returnflag FROM range(5000)"),
+            ("customer", "SELECT id AS c_custkey, 0 AS c_nationkey FROM range(7)"),
+            ("nation", "SELECT 0 AS n_nationkey, 'PERU' AS n_name")):
+        spark.sql(sql).coalesce(1).write.parquet(f"{tmp_dir}/{name}.parquet")
+    orders, lineitem = (f"{tmp_dir}/{n}.parquet" for n in ("orders", "lineitem"))
+    cost, names = "spark.sql.files.openCostInBytes", ("spark.sql.shuffle.partitions", "spark.sql.files.minPartitionNum",
+                                                      "spark.sql.adaptive.coalescePartitions.minPartitionNum")
+    usual, before, seen, stage = spark.conf.get(cost), [spark.conf.get(k, None) for k in names], [], CatalogTable._stage
+
+    def count(self, df, buckets):
+        seen.extend([spark.read.parquet(p).rdd.getNumPartitions() for p in (orders, lineitem)])
+        seen.append(spark.range(9).repartition(F.col("id"))._jdf.queryExecution().sparkPlan().outputPartitioning()
+                    .numPartitions())
+        return stage(self, df, buckets)
+    monkeypatch.setattr(CatalogTable, "_stage", count)
+    spark.conf.set(cost, "1")                    # splits of a small file
+    try:
+        acc_t, cb_t, _ = loads.payment_tables(spark, tmp_dir, buckets=32)
+        acc, cb = loads.stage_seeds(spark, tmp_dir, acc_t, cb_t, loads.STAGE_TS1, *map(spark.read.parquet, (orders, lineitem)))
+        twice = spark.read.parquet(orders).union(spark.read.parquet(orders))
+        with pytest.raises(DuplicateKeyError):
+            loads.stage_seeds(spark, tmp_dir, acc_t, cb_t, loads.STAGE_TS2, twice, spark.read.parquet(lineitem))
+    finally:
+        spark.conf.set(cost, usual)
+    assert len(seen) == 9 and min(seen) >= 32 and (acc.count(), cb.count()) == (3000, 2000)
+    assert [spark.conf.get(k, None) for k in names] == before
+
+
 def test_replace_reads_what_it_replaces_and_keeps_one_version(spark, table, tmp_dir):
     t = table(key=None)
     t.replace(spark.range(5).toDF("x"))

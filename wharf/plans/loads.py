@@ -23,7 +23,7 @@ from wharf.operators.incremental import changed_ids, extract_since, insert_new,
 from wharf.plans import payments as pay
 from wharf.plans import standins as si
 from wharf.plans.registry import query
-from wharf.session import merge_buckets, read_table, table_path, work_dir
+from wharf.session import merge_buckets, read_table, table_path, tasks_for, work_dir
 from wharf.sources.catalog import CatalogTable, open_database
 from wharf.sources.tables import append, ensure_table, path_bytes, replace_window_partitions
 
@@ -228,12 +228,14 @@ def payment_tables(spark, sf_dir, buckets: int | None = None) -> tuple[CatalogTa
 
 def stage_seeds(spark, sf_dir, acc_t: CatalogTable, cb_t: CatalogTable, ts: str, orders, lineitem,
                 full: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Merge both seeds into staging; ``full`` rebuilds staging from them alone."""
+    """Merge both seeds into staging; ``full`` rebuilds staging from them alone. A seed is read and shuffled in as
+    many tasks as the table has buckets, so that their rows are bounded like a bucket's."""
     out = []
     for table, cleaned in ((acc_t, pay.clean_acceptance(si.acceptance_seed(spark, sf_dir, orders))),
                            (cb_t, pay.clean_chargeback(si.chargeback_seed(spark, sf_dir, lineitem)))):
-        out.append(table.merge(cleaned, lambda src, cur: pay.stage(
-            src, ts, None if full else cur, check_unique=False)))
+        with tasks_for(spark, table.buckets):
+            out.append(table.merge(cleaned, lambda src, cur: pay.stage(
+                src, ts, None if full else cur, check_unique=False)))
     return tuple(out)
 
 
